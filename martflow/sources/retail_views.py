@@ -36,69 +36,54 @@ class RetailViews:
     def orders(self) -> DataFrame:
         # Only the customer key and nation travel; Spark broadcasts them when small enough.
         place = self.base("customer").select("c_custkey", "c_nationkey")
-        return (
-            self.base("orders")
-            .join(place, F.col("o_custkey") == F.col("c_custkey"))
-            .select(
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_orderdate").cast("date").alias("order_date"),
-                F.col("o_custkey").alias("customer_id"),
-                F.col("c_nationkey").alias("zip"),
-                F.when(F.col("o_orderstatus") == "F", "delivered")
-                .when(F.col("o_orderstatus") == "O", "shipped")
-                .otherwise("cancelled")
-                .alias("order_status"),
-                F.col("o_orderpriority").alias("payment_method"),
-            )
+        return self.base("orders").join(place, F.expr("o_custkey = c_custkey")).selectExpr(
+            "o_orderkey as order_id",
+            "cast(o_orderdate as date) as order_date",
+            "o_custkey as customer_id",
+            "c_nationkey as zip",
+            "case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' else 'cancelled' end as order_status",
+            "o_orderpriority as payment_method",
         )
 
     def order_items(self) -> DataFrame:
-        discount = F.col("l_discount")
-        percent = F.round(discount * 100).cast("int").cast("string")
-        return self.base("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").alias("quantity"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-            (F.col("l_extendedprice") * discount).alias("discount_amount"),
-            F.when(discount >= 0.05, F.concat(F.lit("P"), percent)).alias("promo_id"),
-            F.when(discount >= 0.09, "X").alias("promo_id_2"),
+        return self.base("lineitem").selectExpr(
+            "l_orderkey as order_id",
+            "l_partkey as product_id",
+            "l_quantity as quantity",
+            "l_extendedprice / l_quantity as unit_price",
+            "l_extendedprice * l_discount as discount_amount",
+            "case when l_discount >= 0.05D then concat('P', cast(round(l_discount * 100) as int)) end as promo_id",
+            "case when l_discount >= 0.09D then 'X' end as promo_id_2",
         )
 
     def products(self) -> DataFrame:
-        return self.base("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("segment"),
-            F.col("p_size").alias("size"),
-            (F.lit(2.0) * F.col("p_retailprice")).alias("price"),
-            (F.lit(1.6) * F.col("p_retailprice")).alias("cogs"),
+        return self.base("part").selectExpr(
+            "p_partkey as product_id",
+            "p_name as product_name",
+            "p_type as category",
+            "p_brand as segment",
+            "p_size as size",
+            "2.0D * p_retailprice as price",
+            "1.6D * p_retailprice as cogs",
         )
 
     def customers(self) -> DataFrame:
-        return self.base("customer").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_nationkey").alias("zip"),
-            F.col("c_mktsegment").alias("age_group"),
+        return self.base("customer").selectExpr(
+            "c_custkey as customer_id", "c_nationkey as zip", "c_mktsegment as age_group"
         )
 
     def geography(self) -> DataFrame:
         return (
             self.base("nation")
-            .join(self.base("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.col("n_nationkey").alias("zip"),
-                F.col("n_name").alias("district"),
-                F.col("r_name").alias("region"),
-            )
+            .join(self.base("region"), F.expr("n_regionkey = r_regionkey"))
+            .selectExpr("n_nationkey as zip", "n_name as district", "r_name as region")
         )
 
     def payments(self) -> DataFrame:
-        return self.base("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_totalprice").alias("payment_value"),
-            (F.lit(1) + F.col("o_orderkey") % 12).cast("int").alias("installments"),
+        return self.base("orders").selectExpr(
+            "o_orderkey as order_id",
+            "o_totalprice as payment_value",
+            "cast(1 + o_orderkey % 12 as int) as installments",
         )
 
     def shipments(self) -> DataFrame:
@@ -107,114 +92,105 @@ class RetailViews:
             self.base("lineitem")
             .groupBy("l_orderkey")
             .agg(
-                F.min("l_shipdate").cast("date").alias("ship_date"),
-                F.max("l_shipdate").cast("date").alias("delivery_date"),
-                F.sum(F.col("l_tax") * F.col("l_extendedprice")).alias("shipping_fee"),
+                F.expr("min(l_shipdate)").alias("first_shipped"),
+                F.expr("max(l_shipdate)").alias("last_shipped"),
+                F.expr("sum(l_tax * l_extendedprice)").alias("shipping_fee"),
             )
         )
-        sendable = self.base("orders").where(F.col("o_orderstatus") != "P").select("o_orderkey")
-        return shipped.join(sendable, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").withColumnRenamed(
-            "l_orderkey", "order_id"
+        sendable = self.base("orders").where("o_orderstatus <> 'P'").select("o_orderkey")
+        return shipped.join(sendable, F.expr("l_orderkey = o_orderkey"), "left_semi").selectExpr(
+            "l_orderkey as order_id",
+            "cast(first_shipped as date) as ship_date",
+            "cast(last_shipped as date) as delivery_date",
+            "shipping_fee",
         )
 
     def returns(self) -> DataFrame:
-        line = F.col("l_linenumber")
-        return (
-            self.base("lineitem")
-            .where(F.col("l_returnflag") == "R")
-            .select(
-                (F.col("l_orderkey") * 10 + line).alias("return_id"),
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_shipdate").cast("date").alias("return_date"),
-                F.when(line % 4 == 0, "wrong_size")
-                .when(line % 4 == 1, "defective")
-                .when(line % 4 == 2, "late_delivery")
-                .otherwise("changed_mind")
-                .alias("return_reason"),
-                F.col("l_quantity").alias("return_quantity"),
-                (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("refund_amount"),
-            )
+        return self.base("lineitem").where("l_returnflag = 'R'").selectExpr(
+            "l_orderkey * 10 + l_linenumber as return_id",
+            "l_orderkey as order_id",
+            "l_partkey as product_id",
+            "cast(l_shipdate as date) as return_date",
+            "case l_linenumber % 4 when 0 then 'wrong_size' when 1 then 'defective' when 2 then 'late_delivery' "
+            "else 'changed_mind' end as return_reason",
+            "l_quantity as return_quantity",
+            "l_extendedprice * (1 - l_discount) as refund_amount",
         )
 
     def reviews(self) -> DataFrame:
         buyer = self.base("orders").select("o_orderkey", "o_custkey")
         return (
             self.base("lineitem")
-            .where(F.col("l_returnflag").isin("A", "R"))
-            .join(buyer, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
-                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("review_id"),
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.col("l_shipdate").cast("date").alias("review_date"),
-                (F.lit(1) + (F.col("l_partkey") + F.col("l_linenumber")) % 5).cast("int").alias("rating"),
+            .where("l_returnflag in ('A', 'R')")
+            .join(buyer, F.expr("l_orderkey = o_orderkey"))
+            .selectExpr(
+                "l_orderkey * 10 + l_linenumber as review_id",
+                "l_orderkey as order_id",
+                "l_partkey as product_id",
+                "o_custkey as customer_id",
+                "cast(l_shipdate as date) as review_date",
+                "cast(1 + (l_partkey + l_linenumber) % 5 as int) as rating",
             )
         )
 
     def sales(self) -> DataFrame:
         """Daily revenue and cost: one row per calendar day with orders."""
-        net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-        cost = F.col("l_quantity") * 1.6 * F.col("p_retailprice")
-        day = self.base("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("Date"))
+        cost = self.base("part").select("p_partkey", "p_retailprice")
+        day = self.base("orders").selectExpr("o_orderkey", "cast(o_orderdate as date) as Date")
         return (
             self.base("lineitem")
-            .join(self.base("part").select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(day, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(cost, F.expr("l_partkey = p_partkey"))
+            .join(day, F.expr("l_orderkey = o_orderkey"))
             .groupBy("Date")
-            .agg(F.sum(net).alias("Revenue"), F.sum(cost).alias("COGS"))
+            .agg(
+                F.expr("sum(l_extendedprice * (1 - l_discount))").alias("Revenue"),
+                F.expr("sum(l_quantity * 1.6D * p_retailprice)").alias("COGS"),
+            )
         )
 
     def web_traffic(self) -> DataFrame:
-        return (
-            self.base("lineitem")
-            .groupBy(F.col("l_shipdate").cast("date").alias("date"), F.col("l_returnflag").alias("traffic_source"))
-            .agg(
-                F.count(F.lit(1)).alias("sessions"),
-                F.count_distinct("l_suppkey").alias("unique_visitors"),
-                F.sum("l_quantity").alias("page_views"),
-                F.avg("l_discount").alias("bounce_rate"),
-                (F.avg("l_tax") * 1000).alias("avg_session_duration_sec"),
-            )
+        lines = self.base("lineitem").selectExpr("*", "cast(l_shipdate as date) as date")
+        return lines.groupBy("date", F.col("l_returnflag").alias("traffic_source")).agg(
+            F.expr("count(*)").alias("sessions"),
+            F.expr("count(distinct l_suppkey)").alias("unique_visitors"),
+            F.expr("sum(l_quantity)").alias("page_views"),
+            F.expr("avg(l_discount)").alias("bounce_rate"),
+            F.expr("avg(l_tax) * 1000").alias("avg_session_duration_sec"),
         )
 
     def event_traffic(self) -> DataFrame:
-        return (
-            self.base("events")
-            .groupBy(F.col("ts").cast("date").alias("date"), F.col("event_type").alias("traffic_source"))
-            .agg(
-                F.count(F.lit(1)).alias("sessions"),
-                F.count_distinct("user_id").alias("unique_visitors"),
-                F.count(F.lit(1)).alias("page_views"),
-                F.avg(F.when(F.col("value") < 20, 1.0).otherwise(0.0)).alias("bounce_rate"),
-                F.avg("value").alias("avg_session_duration_sec"),
-            )
+        events = self.base("events").selectExpr("*", "cast(ts as date) as date")
+        return events.groupBy("date", F.col("event_type").alias("traffic_source")).agg(
+            F.expr("count(*)").alias("sessions"),
+            F.expr("count(distinct user_id)").alias("unique_visitors"),
+            F.expr("count(*)").alias("page_views"),
+            F.expr("avg(case when value < 20 then 1.0D else 0.0D end)").alias("bounce_rate"),
+            F.expr("avg(value)").alias("avg_session_duration_sec"),
         )
 
     def inventory(self) -> DataFrame:
         # Units are summed per product and month first; product attributes join the smaller result.
         sold = (
             self.base("lineitem")
-            .groupBy(F.last_day(F.col("l_shipdate").cast("date")).alias("snapshot_date"), "l_partkey")
-            .agg(F.sum("l_quantity").alias("units_sold"))
+            .selectExpr("last_day(cast(l_shipdate as date)) as snapshot_date", "l_partkey", "l_quantity")
+            .groupBy("snapshot_date", "l_partkey")
+            .agg(F.expr("sum(l_quantity)").alias("units_sold"))
         )
-        units, size = F.col("units_sold"), F.col("p_size")
-        return sold.join(self.base("part"), F.col("l_partkey") == F.col("p_partkey")).select(
+        return sold.join(self.base("part"), F.expr("l_partkey = p_partkey")).selectExpr(
             "snapshot_date",
-            F.col("l_partkey").alias("product_id"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("segment"),
-            F.col("p_name").alias("product_name"),
+            "l_partkey as product_id",
+            "p_type as category",
+            "p_brand as segment",
+            "p_name as product_name",
             "units_sold",
-            (size * 4).alias("stock_on_hand"),
-            F.greatest(F.lit(0.0), F.least(F.lit(30.0), units - size)).alias("stockout_days"),
-            (F.lit(30.0) * size / units).alias("days_of_supply"),
-            F.least(F.lit(1.0), size / units).alias("fill_rate"),
-            (units / (units + size)).alias("sell_through_rate"),
-            F.when(units > size, 1).otherwise(0).alias("stockout_flag"),
-            F.when(units < 0.5 * size, 1).otherwise(0).alias("overstock_flag"),
-            F.when(units > 0.8 * size, 1).otherwise(0).alias("reorder_flag"),
+            "p_size * 4 as stock_on_hand",
+            "greatest(0.0D, least(30.0D, units_sold - p_size)) as stockout_days",
+            "30.0D * p_size / units_sold as days_of_supply",
+            "least(1.0D, p_size / units_sold) as fill_rate",
+            "units_sold / (units_sold + p_size) as sell_through_rate",
+            "case when units_sold > p_size then 1 else 0 end as stockout_flag",
+            "case when units_sold < 0.5D * p_size then 1 else 0 end as overstock_flag",
+            "case when units_sold > 0.8D * p_size then 1 else 0 end as reorder_flag",
         )
 
     # (view name, method) in the order the audit reports list them.
