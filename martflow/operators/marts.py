@@ -31,6 +31,14 @@ PAYMENT = ["order_id", "payment_value", "installments"]
 SHIPMENT = ["order_id", "ship_date", "delivery_date", "shipping_fee"]
 
 
+# Builders check their join keys unless told that the caller has done so (``checked=False``): a key
+# check reads and shuffles the key column once more, which a job over many tables does only once.
+
+
+def _many_to_one(checked: bool) -> str | None:
+    return "m:1" if checked else None
+
+
 def _as_count(condition_column: str):
     return F.sum(F.col(condition_column).cast("int"))
 
@@ -57,14 +65,16 @@ def reviews_agg(reviews: DataFrame) -> DataFrame:
     )
 
 
-def item_measures(items: DataFrame, products: DataFrame, returns: DataFrame, reviews: DataFrame) -> DataFrame:
+def item_measures(
+    items: DataFrame, products: DataFrame, returns: DataFrame, reviews: DataFrame, checked: bool = True
+) -> DataFrame:
     """Order lines with product context, money, promotion and return facts, but no order columns.
 
     Enough for the order, customer and product tables, which therefore skip the five order-side
     joins of :func:`item_fact`.
     """
     item_keys = ["order_id", "product_id"]
-    enriched = checked_left_join(items, products, "product_id")
+    enriched = checked_left_join(items, products, "product_id", _many_to_one(checked))
     enriched = checked_left_join(enriched, returns_agg(returns), item_keys, validate=None)
     enriched = checked_left_join(enriched, reviews_agg(reviews), item_keys, validate=None)
     promo = [c for c in ("promo_id", "promo_id_2") if c in items.columns]
@@ -74,17 +84,22 @@ def item_measures(items: DataFrame, products: DataFrame, returns: DataFrame, rev
 
 
 def order_context(
-    orders: DataFrame, customers: DataFrame, geography: DataFrame, payments: DataFrame, shipments: DataFrame
+    orders: DataFrame,
+    customers: DataFrame,
+    geography: DataFrame,
+    payments: DataFrame,
+    shipments: DataFrame,
+    checked: bool = True,
 ) -> DataFrame:
     """Orders with customer profile, place, payment and shipment.
 
     Built at order grain, so each of these joins moves one row per order instead of one per line.
     """
-    profile = keep_present(customers, PROFILE)
-    enriched = checked_left_join(orders, profile, "customer_id")
-    enriched = checked_left_join(enriched, keep_present(geography, PLACE), "zip", suffix="_geo")
-    enriched = checked_left_join(enriched, keep_present(payments, PAYMENT), "order_id")
-    return checked_left_join(enriched, keep_present(shipments, SHIPMENT), "order_id")
+    validate = _many_to_one(checked)
+    enriched = checked_left_join(orders, keep_present(customers, PROFILE), "customer_id", validate)
+    enriched = checked_left_join(enriched, keep_present(geography, PLACE), "zip", validate, "_geo")
+    enriched = checked_left_join(enriched, keep_present(payments, PAYMENT), "order_id", validate)
+    return checked_left_join(enriched, keep_present(shipments, SHIPMENT), "order_id", validate)
 
 
 def item_fact(
@@ -97,13 +112,15 @@ def item_fact(
     shipments: DataFrame,
     returns: DataFrame,
     reviews: DataFrame,
+    checked: bool = True,
 ) -> DataFrame:
     """Full order-line fact; one row per line, because returns and reviews are summed beforehand."""
-    lines = item_measures(items, products, returns, reviews)
-    context = order_context(orders, customers, geography, payments, shipments)
-    # Checked left joins keep the grain of orders, so it is enough to check the orders themselves.
-    checked = lines.where(key_is_unique(orders, ["order_id"], "orders"))
-    return checked.join(context, "order_id", "left").withColumn("order_month", month_key("order_date"))
+    lines = item_measures(items, products, returns, reviews, checked)
+    context = order_context(orders, customers, geography, payments, shipments, checked)
+    # Left joins on unique keys keep the grain of orders, so only the orders themselves are checked.
+    if checked:
+        lines = lines.where(key_is_unique(orders, ["order_id"], "orders"))
+    return lines.join(context, "order_id", "left").withColumn("order_month", month_key("order_date"))
 
 
 def order_line_fact(
@@ -114,6 +131,7 @@ def order_line_fact(
     shipments: DataFrame | None = None,
     returns: DataFrame | None = None,
     reviews: DataFrame | None = None,
+    checked: bool = True,
 ) -> DataFrame:
     """Lighter order-line fact with optional payment, shipment, return and review parts.
 
@@ -121,16 +139,18 @@ def order_line_fact(
     """
     order_side = orders
     if payments is not None:
-        order_side = checked_left_join(order_side, keep_present(payments, PAYMENT), "order_id")
+        order_side = checked_left_join(order_side, keep_present(payments, PAYMENT), "order_id", _many_to_one(checked))
     if shipments is not None:
         if {"ship_date", "delivery_date"} <= set(shipments.columns):
             shipments = shipments.withColumn("delivery_lead_days", F.datediff("delivery_date", "ship_date"))
         wanted = ["order_id", "shipping_fee", "delivery_lead_days"]
         order_side = order_side.join(keep_present(shipments, wanted), "order_id", "left")
 
-    fact = checked_left_join(items, products, "product_id", suffix="_product")
+    fact = checked_left_join(items, products, "product_id", _many_to_one(checked), "_product")
     # Shipments are allowed to repeat, so only the orders table itself is checked.
-    fact = fact.where(key_is_unique(orders, ["order_id"], "orders")).join(order_side, "order_id", "left")
+    if checked:
+        fact = fact.where(key_is_unique(orders, ["order_id"], "orders"))
+    fact = fact.join(order_side, "order_id", "left")
     if returns is not None:
         records = F.count_distinct("return_id") if "return_id" in returns.columns else F.count(F.lit(1))
         per_line = returns.groupBy("order_id", "product_id").agg(
@@ -187,9 +207,10 @@ def order_fact(
     geography: DataFrame,
     payments: DataFrame,
     shipments: DataFrame,
+    checked: bool = True,
 ) -> DataFrame:
     """Order fact; ``lines`` needs the columns of :func:`item_measures`."""
-    context = order_context(orders, customers, geography, payments, shipments)
+    context = order_context(orders, customers, geography, payments, shipments, checked)
     fact = checked_left_join(context, order_item_totals(lines), "order_id", validate=None)
     return fact.withColumns(
         {

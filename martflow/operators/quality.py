@@ -40,7 +40,6 @@ def _rows() -> Column:
 
 
 def _missing(name: str) -> Column:
-    """A float NaN is a missing value too, as it is in the source data's own tools."""
     return F.col(name).isNull()
 
 
@@ -213,6 +212,15 @@ def cardinality_checks(
     return union_all([key_profile(tables[t], t, keys, unique) for t, keys, unique in checks if t in tables])
 
 
+def require_unique(keys: dict[str, tuple[DataFrame, list[str]]]) -> None:
+    """Fail when a table's key repeats. One job over key columns; each table yields one row."""
+    checks = union_all([key_profile(df, name, key, True) for name, (df, key) in keys.items()])
+    bad = checks.where(F.col("duplicate_key_rows") > 0).select("table", "key_cols", "duplicate_key_rows").collect()
+    if bad:
+        listed = "; ".join(f"{r['table']} ({r['key_cols']}): {r['duplicate_key_rows']}" for r in bad)
+        raise ValueError(f"join keys are not unique, surplus rows: {listed}")
+
+
 def candidate_keys(items: DataFrame, keys: list[list[str]] = CANDIDATE_ITEM_KEYS) -> DataFrame:
     """Surplus rows for each candidate key, to find the real grain of a table."""
     tried = [[c for c in key if c in items.columns] for key in keys]
@@ -400,18 +408,27 @@ def data_dictionary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DATA_DICTIONARY, names)
 
 
+def repeated_row_count(df: DataFrame) -> DataFrame:
+    """One row: how many rows repeat an earlier one in every column.
+
+    Only a 64-bit hash of each row is shuffled to find candidates; whole rows are compared among
+    the candidates alone, so equal hashes of different rows do no harm.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    shared = hashed.groupBy("_hash").agg(_rows().alias("_n")).where(F.col("_n") > 1).select("_hash")
+    copies = hashed.join(shared, "_hash", "left_semi").groupBy(*df.columns).agg(_rows().alias("_n"))
+    return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+
+
 def audit_overview(tables: dict[str, DataFrame]) -> DataFrame:
     """Size, null density and fully repeated rows per table."""
     overviews = []
     for name, df in tables.items():
         width = len(df.columns)
-        whole = df.groupBy(*df.columns).agg(_rows().alias("_n"))
         nulls_per_row = reduce(lambda a, b: a + b, [_missing(c).cast("bigint") for c in df.columns])
-        counts = whole.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(nulls_per_row * F.col("_n")), F.lit(0)).alias("total_null_values"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
-        )
+        counts = df.agg(
+            _rows().alias("rows"), F.coalesce(F.sum(nulls_per_row), F.lit(0)).alias("total_null_values")
+        ).withColumn("duplicate_rows", repeated_row_count(df).scalar())
         overviews.append(
             counts.select(
                 F.lit(name).alias("table"),

@@ -30,21 +30,36 @@ def write_joined_tables(t: dict[str, DataFrame], interim_dir: str) -> dict[str,
     return {name: save_layer(df, interim_dir, name) for name, df in built.items()}
 
 
+# Tables joined by key, whose keys must be unique.
+JOINED_BY_KEY = {
+    "orders": ["order_id"], "products": ["product_id"], "customers": ["customer_id"], "geography": ["zip"],
+    "payments": ["order_id"], "shipments": ["order_id"],
+}
+
+
+def require_join_keys(t: dict[str, DataFrame]) -> None:
+    """Check every join key once, before any fact is built on it."""
+    quality.require_unique({name: (t[name], key) for name, key in JOINED_BY_KEY.items() if name in t})
+
+
 def build_facts(t: dict[str, DataFrame], interim_dir: str) -> tuple[DataFrame, DataFrame]:
     """(item fact, order fact), both written."""
     item_fact = marts.item_fact(
         t["order_items"], t["orders"], t["products"], t["customers"], t["geography"], t["payments"],
-        t["shipments"], t["returns"], t["reviews"],
+        t["shipments"], t["returns"], t["reviews"], checked=False,
     )
     item_fact = save_layer(item_fact, interim_dir, "item_fact", month_of="order_date")
     order_fact = marts.order_fact(
-        t["orders"], item_fact, t["customers"], t["geography"], t["payments"], t["shipments"]
+        t["orders"], item_fact, t["customers"], t["geography"], t["payments"], t["shipments"], checked=False
     )
     return item_fact, save_layer(order_fact, interim_dir, "order_fact", month_of="order_date")
 
 
 def build_marts(t: dict[str, DataFrame], out_dir: str) -> dict[str, DataFrame]:
-    """All facts and marts under ``out_dir/interim`` and ``out_dir/marts``; returns them read back."""
+    """All facts and marts under ``out_dir/interim`` and ``out_dir/marts``; returns them read back.
+
+    Call :func:`require_join_keys` first; the builders do not repeat that check.
+    """
     interim, layer = f"{out_dir}/interim", f"{out_dir}/marts"
     item_fact, order_fact = build_facts(t, interim)
     built = {
@@ -63,7 +78,7 @@ def build_light_marts(t: dict[str, DataFrame], out_dir: str) -> dict[str, DataFr
     """The lighter definitions: line fact, customer and product marts, daily business panel."""
     fact = marts.order_line_fact(
         t["order_items"], t["orders"], t["products"], t.get("payments"), t.get("shipments"),
-        t.get("returns"), t.get("reviews"),
+        t.get("returns"), t.get("reviews"), checked=False,
     )
     fact = save_layer(fact, f"{out_dir}/interim", "order_line_fact", month_of="order_date")
     built = {
@@ -95,6 +110,7 @@ def write_build_reports(t: dict[str, DataFrame], built: dict[str, DataFrame], ou
 
 def run(spark: SparkSession, data_dir: str, out_dir: str) -> dict[str, DataFrame]:
     tables = load_raw_data(spark, data_dir)
+    require_join_keys(tables)
     write_joined_tables(tables, f"{out_dir}/interim")
     built = build_marts(tables, out_dir)
     light = build_light_marts(tables, out_dir)

@@ -22,15 +22,15 @@ H1 = ("2001-01-01", "2001-07-01")
 
 
 def items(v: RetailViews):
-    return raw.item_level(v.order_items(), v.orders(), v.products())
+    return raw.item_level(v.order_items(), v.orders_without_place(), v.products())
 
 
 def orders_paid(v: RetailViews):
-    return raw.order_level(v.orders(), v.payments())
+    return raw.order_level(v.orders_without_place(), v.payments())
 
 
 def shipped_orders(v: RetailViews):
-    return orders_shipments(v.orders(), v.shipments())
+    return orders_shipments(v.orders_without_place(), v.shipments())
 
 
 def promo_orders(v: RetailViews):
@@ -174,7 +174,7 @@ QUERIES: dict[str, Query] = {
     ),
     "safe_divide": Query(
         "Date:d cancel_rate:6 cancelled_per_shipped:6 cancelled_per_shipped_or_zero:6",
-        lambda v: v.orders()
+        lambda v: v.orders_without_place()
         .groupBy(F.col("order_date").alias("Date"))
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -212,7 +212,7 @@ QUERIES: dict[str, Query] = {
     ),
     "order_gap_stats": Query(
         "metric value:6",
-        lambda v: customers.order_gap_stats(v.orders()),
+        lambda v: customers.order_gap_stats(v.orders_without_place()),
         """select 'repeat_orders' as metric, cast(count(*) as double) as value from m_gaps
            union all select 'median_inter_order_gap', median(gap_days) from m_gaps
            union all select 'mean_inter_order_gap', avg(gap_days) from m_gaps
@@ -220,7 +220,7 @@ QUERIES: dict[str, Query] = {
     ),
     "order_gap_hist": Query(
         "bin:i bin_start:6 bin_end:6 n:i",
-        lambda v: customers.order_gap_histogram(v.orders()),
+        lambda v: customers.order_gap_histogram(v.orders_without_place()),
         """select bin, lo + (hi - lo) * bin / 40.0 as bin_start, lo + (hi - lo) * (bin + 1) / 40.0 as bin_end, count(*) as n
            from (select lo, hi, least(((g - lo) * 40) // (hi - lo), 39) as bin
                  from (select least(gap_days, 730) as g, min(least(gap_days, 730)) over () as lo, max(least(gap_days, 730)) over () as hi from m_gaps) a) b
@@ -233,20 +233,20 @@ QUERIES: dict[str, Query] = {
     ),
     "age_group_intensity": Query(
         "age_group customers:i total_orders:i avg_orders_per_customer:6",
-        lambda v: customers.age_group_intensity(v.customers(), v.orders()),
+        lambda v: customers.age_group_intensity(v.customers(), v.orders_without_place()),
         """select age_group, count(distinct c.customer_id) as customers, sum(coalesce(n, 0)) as total_orders, avg(coalesce(n, 0)) as avg_orders_per_customer
            from v_customers c left join (select customer_id, count(distinct order_id) as n from v_orders group by customer_id) o
              on c.customer_id = o.customer_id where age_group is not null group by age_group""",
     ),
     "payment_status_share": Query(
         "payment_method order_status orders:i total_orders:i status_share:6",
-        lambda v: customers.payment_status_share(v.orders()),
+        lambda v: customers.payment_status_share(v.orders_without_place()),
         """select *, sum(orders) over (partition by payment_method) as total_orders, orders / cast(sum(orders) over (partition by payment_method) as double) as status_share
            from (select payment_method, order_status, count(distinct order_id) as orders from v_orders group by 1, 2) t""",
     ),
     "cancelled_share": Query(
         "payment_method orders:i total_orders:i status_share:6",
-        lambda v: customers.cancelled_share(v.orders()),
+        lambda v: customers.cancelled_share(v.orders_without_place()),
         """select payment_method, count(distinct case when order_status = 'cancelled' then order_id end) as orders, count(distinct order_id) as total_orders,
                   count(distinct case when order_status = 'cancelled' then order_id end) / cast(count(distinct order_id) as double) as status_share
            from v_orders group by payment_method""",

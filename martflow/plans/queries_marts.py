@@ -69,11 +69,11 @@ def line_fact(v: RetailViews):
 
 def slim_line_fact(v: RetailViews, **parts):
     """Line fact with only the optional parts an answer needs."""
-    return marts.order_line_fact(v.order_items(), v.orders(), v.products(), **parts)
+    return marts.order_line_fact(v.order_items(), v.orders_without_place(), v.products(), **parts)
 
 
 def dated_lines(v: RetailViews):
-    return item_lines(v).join(v.orders().select("order_id", "order_date"), "order_id", "inner")
+    return item_lines(v).join(v.orders_without_place().select("order_id", "order_date"), "order_id", "inner")
 
 
 def item_facts(v: RetailViews):
@@ -85,7 +85,7 @@ def item_facts(v: RetailViews):
 
 
 def customers_360(v: RetailViews):
-    return marts.customer_360(v.customers(), marts.order_outcomes(v.orders(), item_lines(v)))
+    return marts.customer_360(v.customers(), marts.order_outcomes(v.orders_without_place(), item_lines(v)))
 
 
 def product_months(v: RetailViews):
@@ -94,7 +94,7 @@ def product_months(v: RetailViews):
 
 def product_marts(v: RetailViews):
     lines = v.order_items().select("order_id", "product_id", "quantity", "unit_price", "promo_id", "promo_id_2")
-    fact = marts.order_line_fact(lines, v.orders(), v.products(), returns=v.returns())
+    fact = marts.order_line_fact(lines, v.orders_without_place(), v.products(), returns=v.returns())
     return marts.product_mart(v.products(), fact, v.inventory())
 
 
@@ -157,7 +157,7 @@ QUERIES: dict[str, Query] = {
     "customer_mart": Query(
         "customer_id:i zip:i age_group n_orders:i first_order_date:d last_order_date:d total_revenue:2 avg_order_value:6 "
         "active_days:i orders_per_active_day:6",
-        lambda v: marts.customer_mart(v.customers(), v.orders(), slim_line_fact(v)),
+        lambda v: marts.customer_mart(v.customers(), v.orders_without_place(), slim_line_fact(v)),
         """select c.*, coalesce(a.n_orders, 0) as n_orders, first_order_date, last_order_date,
                   coalesce(total_revenue, 0) as total_revenue, avg_order_value,
                   date_diff('day', first_order_date, last_order_date) + 1 as active_days,
@@ -196,7 +196,7 @@ QUERIES: dict[str, Query] = {
     ),
     "daily_orders": Query(
         "Date:d n_orders:i cancelled_orders:i cancel_rate:6",
-        lambda v: marts.daily_orders(v.orders()),
+        lambda v: marts.daily_orders(v.orders_without_place()),
         """select order_date as "Date", count(distinct order_id) as n_orders,
                   sum(case when order_status = 'cancelled' then 1 else 0 end) as cancelled_orders,
                   sum(case when order_status = 'cancelled' then 1.0 else 0.0 end) / count(distinct order_id) as cancel_rate
@@ -213,7 +213,7 @@ QUERIES: dict[str, Query] = {
     "daily_business_panel": Query(
         "Date:d Revenue:2 COGS:2 gross_profit:2 gross_margin_pct:6 sessions:i unique_visitors:i page_views:2 bounce_rate:6 "
         "avg_session_duration_sec:6 n_orders:i cancelled_orders:i cancel_rate:6 year:i month:i dayofweek:i weekofyear:i",
-        lambda v: marts.daily_business_panel(v.sales(), v.web_traffic(), v.orders()),
+        lambda v: marts.daily_business_panel(v.sales(), v.web_traffic(), v.orders_without_place()),
         """select s.*, s."Revenue" - s."COGS" as gross_profit, (s."Revenue" - s."COGS") / nullif(s."Revenue", 0) as gross_margin_pct,
                   sessions, unique_visitors, page_views, bounce_rate, avg_session_duration_sec, n_orders, cancelled_orders,
                   cancelled_orders / cast(nullif(n_orders, 0) as double) as cancel_rate,

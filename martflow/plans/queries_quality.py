@@ -177,7 +177,7 @@ QUERIES: dict[str, Query] = {
     "item_level": Query(
         "order_id:i product_id:i quantity:2 unit_price:6 discount_amount:4 customer_id:i order_date:d order_status category "
         "gross_merch_value:4 net_item_revenue:4 item_cogs:4 gross_profit:4 promo_used_flag:i",
-        lambda v: raw.item_level(v.order_items(), v.orders(), v.products()),
+        lambda v: raw.item_level(v.order_items(), v.orders_without_place(), v.products()),
         "select * from v_item_level",
     ),
     "null_report": Query(
@@ -214,7 +214,7 @@ QUERIES: dict[str, Query] = {
     ),
     "candidate_keys": Query(
         "candidate_key duplicate_rows:i",
-        lambda v: quality.candidate_keys(joins.items_orders(v.order_items(), v.orders())),
+        lambda v: quality.candidate_keys(v.order_items()),
         _union(
             [
                 f"select '{', '.join(k)}' as candidate_key, dup as duplicate_rows from ({_duplicates_sql('v_order_items', k)}) d"
@@ -253,12 +253,12 @@ QUERIES: dict[str, Query] = {
     ),
     "no_future_dates": Query(
         "no_future_dates",
-        lambda v: quality.no_future_dates(v.orders(), "order_date", "2001-07-31"),
+        lambda v: quality.no_future_dates(v.orders_without_place(), "order_date", "2001-07-31"),
         "select bool_and(coalesce(order_date <= date '2001-07-31', false)) as no_future_dates from v_orders",
     ),
     "order_payment_recon": Query(
         "orders:i payments:i orders_without_payment:i payments_without_order:i status",
-        lambda v: quality.order_payment_reconciliation(v.orders(), v.payments()),
+        lambda v: quality.order_payment_reconciliation(v.orders_without_place(), v.payments()),
         """select *, case when orders_without_payment = 0 and payments_without_order = 0 then 'PASS' else 'WARN' end as status from
            (select (select count(distinct order_id) from v_orders) as orders, (select count(distinct order_id) from v_payments) as payments,
              (select count(*) from (select order_id from v_orders except select order_id from v_payments) a) as orders_without_payment,
@@ -271,13 +271,13 @@ QUERIES: dict[str, Query] = {
     ),
     "shipment_status_rule": Query(
         "order_id:i order_status allowed_status",
-        lambda v: quality.shipment_status_rule(v.orders(), v.shipments()),
+        lambda v: quality.shipment_status_rule(v.orders_without_place(), v.shipments()),
         """select s.order_id, o.order_status, coalesce(o.order_status in ('shipped', 'delivered', 'returned'), false) as allowed_status
            from (select distinct order_id from v_shipments) s left join v_orders o on s.order_id = o.order_id""",
     ),
     "shipment_violations": Query(
         "missing_shipment:i unexpected_shipment:i",
-        lambda v: quality.shipment_violations(joins.orders_shipments(v.orders(), v.shipments())),
+        lambda v: quality.shipment_violations(joins.orders_shipments(v.orders_without_place(), v.shipments())),
         """select sum(case when needs and not has then 1 else 0 end) as missing_shipment,
                   sum(case when not needs and has then 1 else 0 end) as unexpected_shipment
            from (select order_status in ('shipped', 'delivered', 'returned') as needs,

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
+
 from martflow.operators import joins, quality
 from tests.conftest import by_key
 
@@ -126,3 +128,15 @@ def test_submission_contract(spark):
     assert status([("2023-01-01", 1.0, None), ("2023-01-02", 2.0, 1.0)])["complete_ok"] is False
     assert status([("2023-01-01", -1.0, 1.0), ("2023-01-02", 2.0, 1.0)])["non_negative_ok"] is False
     assert status([("2023-01-01", 1.0, 1.0), ("2023-01-02", 2.0, 1.0)], "Date string, COGS double, Revenue double")["columns_ok"] is False
+
+
+def test_repeated_rows_with_nulls(spark):
+    rows = [(1, None), (None, 1), (1, None), (1, None), (2, 2)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    assert quality.repeated_row_count(df).first()[0] == 2
+
+
+def test_require_unique_names_the_table(shop):
+    quality.require_unique({"orders": (shop["orders"], ["order_id"])})
+    with pytest.raises(ValueError, match="orders .order_id.: 6"):
+        quality.require_unique({"orders": (shop["orders"].union(shop["orders"]), ["order_id"]), "geo": (shop["geography"], ["zip"])})
