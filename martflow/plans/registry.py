@@ -44,7 +44,7 @@ def _shaped_sql(name: str, kind: str) -> str:
     elif kind == "d":
         c = f"CAST(CAST({c} AS DATE) AS VARCHAR)"
     elif kind:
-        nudge = f"{NUDGE * 10.0 ** -int(kind):.12f}"
+        nudge = f"{NUDGE * 10.0 ** -int(kind):.20f}"
         c = f"ROUND(CAST({c} AS DOUBLE) + CAST({nudge} AS DOUBLE), {int(kind)}) + CAST(0 AS DOUBLE)"
     return f'{c} AS "{name}"'
 
