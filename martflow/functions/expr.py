@@ -109,6 +109,13 @@ def keep_present(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     return df.select(*[c for c in wanted if c in df.columns])
 
 
+def known(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys are all present: a missing key forms no group."""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def with_line_money(items: DataFrame, profit: str = "gross_profit", margin: str = "gross_margin") -> DataFrame:
     """Revenue, cost, profit and margin of an order line from quantity, unit price and unit cost."""
     revenue = F.col("quantity") * F.col("unit_price")

@@ -10,7 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martflow.functions.expr import SOLD_STATUSES, flag, in_years, is_true, period_label, safe_divide
+from martflow.functions.expr import (
+    SOLD_STATUSES,
+    flag,
+    in_years,
+    is_true,
+    known,
+    period_label,
+    safe_divide,
+)
 from martflow.functions.ordering import materialize
 from martflow.operators.joins import group_share
 from martflow.operators.revenue import compare_periods
@@ -27,12 +35,12 @@ def customer_health(order_level: DataFrame, first: int, split: int, last: int) -
         .groupBy(F.year("order_date").alias("year"), "customer_id")
         .agg(F.count_distinct("order_id").alias("orders"), F.sum("payment_value").alias("revenue"))
     )
-    known = F.col("customer_id").isNotNull()
+    has_customer = F.col("customer_id").isNotNull()
     yearly = per_customer.groupBy("year").agg(
         F.count("customer_id").alias("active_customers"),
         F.sum("orders").alias("orders"),
         F.sum("revenue").alias("revenue"),
-        F.avg(F.when(known, flag(F.col("orders") >= 2))).alias("repeat_rate"),
+        F.avg(F.when(has_customer, flag(F.col("orders") >= 2))).alias("repeat_rate"),
     )
     return yearly.withColumns(
         {
@@ -65,7 +73,7 @@ def customer_health_shift(order_level: DataFrame, first: int, split: int, last:
 def customer_days(orders: DataFrame) -> DataFrame:
     """One row per customer and order day: orders, first and last order id, neighbouring days."""
     days = (
-        orders.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
+        known(orders, "customer_id", "order_date")
         .groupBy("customer_id", "order_date")
         .agg(F.count(F.lit(1)).alias("n_orders"), F.max("order_id").alias("last_order_id"))
     )
@@ -174,9 +182,9 @@ def repurchase_90d(order_level: DataFrame, days: int = 90) -> DataFrame:
 def age_group_intensity(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Customers, orders and orders per customer of each age group."""
     counts = orders.groupBy("customer_id").agg(F.count_distinct("order_id").alias("orders"))
-    known = customers.where(F.col("age_group").isNotNull()).select("customer_id", "age_group")
+    grouped = known(customers, "age_group").select("customer_id", "age_group")
     n = F.coalesce("orders", F.lit(0))
-    return known.join(counts, "customer_id", "left").groupBy("age_group").agg(
+    return grouped.join(counts, "customer_id", "left").groupBy("age_group").agg(
         F.count_distinct("customer_id").alias("customers"),
         F.sum(n).alias("total_orders"),
         F.avg(n).alias("avg_orders_per_customer"),
@@ -185,8 +193,8 @@ def age_group_intensity(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 def payment_status_share(orders: DataFrame) -> DataFrame:
     """Distinct orders per payment method and status, and the status's share of the method."""
-    known = orders.where(F.col("payment_method").isNotNull() & F.col("order_status").isNotNull())
-    counted = known.groupBy("payment_method", "order_status").agg(F.count_distinct("order_id").alias("orders"))
+    keys = ["payment_method", "order_status"]
+    counted = known(orders, *keys).groupBy(*keys).agg(F.count_distinct("order_id").alias("orders"))
     return group_share(counted, "orders", "payment_method", "status_share", "total_orders")
 
 

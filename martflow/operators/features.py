@@ -20,7 +20,7 @@ from martflow.functions.calendar import (
     add_holiday_features,
     slot,
 )
-from martflow.functions.expr import flag, safe_divide
+from martflow.functions.expr import flag, known, safe_divide
 from martflow.operators.joins import slot_lookup
 
 # Feature lists of the two forecast variants (33 and 39 columns) and their groups.
@@ -90,7 +90,7 @@ def add_rolling_features(
 
 def slot_revenue_flags(sales: DataFrame, high: float = 0.90, low: float = 0.10) -> DataFrame:
     """Mean revenue per (month, day), its ratio to the overall mean, and high/low slot flags."""
-    slots = sales.groupBy(*[c.alias(n) for n, c in slot("Date").items()]).agg(
+    slots = known(sales, "Date").groupBy(*[c.alias(n) for n, c in slot("Date").items()]).agg(
         F.avg("Revenue").alias("md_avg_rev")
     )
     overall = sales.agg(F.avg("Revenue")).scalar()
@@ -112,7 +112,7 @@ def slot_revenue_flags(sales: DataFrame, high: float = 0.90, low: float = 0.10)
 def slot_cost_ratios(sales: DataFrame, post_from: int = 2019) -> DataFrame:
     """Mean daily cost ratio per (month, day) over odd, even and recent years, in one pass."""
     year, ratio = F.year("Date"), safe_divide("COGS", "Revenue")
-    return sales.groupBy(*[c.alias(n) for n, c in slot("Date").items()]).agg(
+    return known(sales, "Date").groupBy(*[c.alias(n) for n, c in slot("Date").items()]).agg(
         F.avg(F.when(year % 2 == 1, ratio)).alias("md_ratio_odd"),
         F.avg(F.when(year % 2 == 0, ratio)).alias("md_ratio_even"),
         F.avg(F.when(year >= post_from, ratio)).alias("md_ratio_post"),
@@ -163,9 +163,9 @@ def aux_slots(
     inventory: DataFrame, web_traffic: DataFrame, returns: DataFrame, shipments: DataFrame
 ) -> AuxSlots:
     def by_slot(df: DataFrame, day: str) -> tuple[DataFrame, list[Column]]:
-        return df.where(F.col(day).isNotNull()), [c.alias(n) for n, c in slot(day).items()]
+        return known(df, day), [c.alias(n) for n, c in slot(day).items()]
 
-    stock = inventory.groupBy(F.month("snapshot_date").alias("Month")).agg(
+    stock = known(inventory, "snapshot_date").groupBy(F.month("snapshot_date").alias("Month")).agg(
         F.avg("stockout_days").alias("inv_stockout"),
         F.avg("fill_rate").alias("inv_fillrate"),
         F.avg("sell_through_rate").alias("inv_sellthru"),
@@ -216,6 +216,7 @@ def seasonal_profiles(train: DataFrame, target_col: str = "Revenue", date_col: s
     A slot holds one row per year (a weekday slot a few per year), so exact medians stay small.
     """
     d = F.col(date_col)
+    train = known(train, date_col)
     month, day, weekday, doy = F.month(d), F.dayofmonth(d), F.weekday(d), F.dayofyear(d)
     return SeasonalProfiles(
         train.groupBy(doy.alias("DayOfYear")).agg(F.median(target_col).alias("rev_doy_median")),

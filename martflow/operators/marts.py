@@ -17,6 +17,7 @@ from martflow.functions.expr import (
     divide_if_positive,
     flag,
     keep_present,
+    known,
     safe_divide,
     sum_or_zero,
     with_line_money,
@@ -48,7 +49,7 @@ def _as_count(condition_column: str):
 
 def returns_agg(returns: DataFrame) -> DataFrame:
     """Returns per (order, product). Of equally frequent reasons the alphabetically first is kept."""
-    return returns.groupBy("order_id", "product_id").agg(
+    return known(returns, "order_id", "product_id").groupBy("order_id", "product_id").agg(
         F.count_distinct("return_id").alias("return_records"),
         F.sum("return_quantity").alias("return_quantity"),
         F.sum("refund_amount").alias("refund_amount"),
@@ -58,7 +59,7 @@ def returns_agg(returns: DataFrame) -> DataFrame:
 
 
 def reviews_agg(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy("order_id", "product_id").agg(
+    return known(reviews, "order_id", "product_id").groupBy("order_id", "product_id").agg(
         F.count_distinct("review_id").alias("review_records"),
         F.avg("rating").alias("avg_rating"),
         F.min("review_date").alias("first_review_date"),
@@ -412,7 +413,7 @@ def daily_traffic(web_traffic: DataFrame) -> DataFrame:
     sources = (
         F.count_distinct("traffic_source") if "traffic_source" in web_traffic.columns else F.count(F.lit(1))
     )
-    per_day = web_traffic.groupBy("date").agg(
+    per_day = known(web_traffic, "date").groupBy("date").agg(
         F.sum("sessions").alias("sessions"),
         F.sum("unique_visitors").alias("unique_visitors"),
         F.sum("page_views").alias("page_views"),
@@ -430,7 +431,7 @@ def daily_traffic(web_traffic: DataFrame) -> DataFrame:
 
 def daily_orders(orders: DataFrame) -> DataFrame:
     """Orders, cancelled orders and cancellation rate per day."""
-    return orders.groupBy("order_date").agg(
+    return known(orders, "order_date").groupBy("order_date").agg(
         F.count_distinct("order_id").alias("n_orders"),
         F.count_if(F.col("order_status") == "cancelled").alias("cancelled_orders"),
     ).withColumn("cancel_rate", safe_divide("cancelled_orders", "n_orders")).withColumnRenamed("order_date", "Date")
@@ -438,7 +439,7 @@ def daily_orders(orders: DataFrame) -> DataFrame:
 
 def daily_order_facts(order_facts: DataFrame) -> DataFrame:
     """Orders, units, promoted and returned orders and mean delivery lead per day."""
-    return order_facts.groupBy(F.col("order_date").alias("Date")).agg(
+    return known(order_facts, "order_date").groupBy(F.col("order_date").alias("Date")).agg(
         F.count_distinct("order_id").alias("orders"),
         sum_or_zero("order_units").alias("order_units"),
         F.coalesce(_as_count("any_promo"), F.lit(0)).alias("promo_orders"),
@@ -492,7 +493,7 @@ def daily_promo_features(line_fact: DataFrame) -> DataFrame:
     """Promoted share of lines and revenue, and discount, per day."""
     promoted = F.when(F.col("has_promo"), F.col("line_revenue"))
     discount = sum_or_zero("discount_amount") if "discount_amount" in line_fact.columns else F.lit(0.0)
-    return line_fact.groupBy(F.col("order_date").alias("Date")).agg(
+    return known(line_fact, "order_date").groupBy(F.col("order_date").alias("Date")).agg(
         F.avg(F.col("has_promo").cast("int")).alias("promo_line_rate"),
         sum_or_zero(promoted).alias("promo_revenue"),
         sum_or_zero("line_revenue").alias("total_revenue_items"),
@@ -504,7 +505,7 @@ def daily_promo_features(line_fact: DataFrame) -> DataFrame:
 
 
 def monthly_inventory_features(inventory: DataFrame) -> DataFrame:
-    return inventory.groupBy(month_key("snapshot_date").alias("year_month")).agg(
+    return known(inventory, "snapshot_date").groupBy(month_key("snapshot_date").alias("year_month")).agg(
         F.sum("stockout_days").alias("stockout_days"),
         F.avg("stockout_flag").alias("stockout_product_rate"),
         F.avg("overstock_flag").alias("overstock_product_rate"),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martflow.functions.calendar import month_start
-from martflow.functions.expr import SOLD_STATUSES, clip, in_years, is_true, safe_divide, sum_or_zero, zero_if_null
+from martflow.functions.expr import SOLD_STATUSES, clip, in_years, is_true, known, safe_divide, sum_or_zero
 from martflow.functions.ordering import exact_quantiles, materialize
 
 # Labels of the median rule.
@@ -138,7 +138,8 @@ def sku_ops(panel: DataFrame, product_360: DataFrame | None = None) -> DataFrame
         F.avg("sell_through_rate").alias("sell_through_rate"),
         sum_or_zero("item_revenue" if "item_revenue" in panel.columns else F.lit(0.0)).alias("revenue"),
     ]
-    skus = panel.groupBy("product_id", "product_name", "category", "segment").agg(*measures)
+    keys = ["product_id", "product_name", "category", "segment"]
+    skus = known(panel, *keys).groupBy(*keys).agg(*measures)
     if product_360 is None:
         return skus
     skus = materialize(skus)

@@ -10,6 +10,7 @@ from martflow.functions.expr import (
     clip,
     in_years,
     is_true,
+    known,
     period_label,
     point_change,
     safe_divide,
@@ -212,9 +213,7 @@ def return_reason_summary(returns: DataFrame, products: DataFrame | None = None)
     if products is not None and "category" not in returns.columns:
         rows = rows.join(products.select("product_id", "category"), "product_id", "left")
     keys = ["return_reason"] + (["category"] if "category" in rows.columns else [])
-    for key in keys:
-        rows = rows.where(F.col(key).isNotNull())
-    return rows.groupBy(*keys).agg(
+    return known(rows, *keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("return_records"),
         sum_or_zero("return_quantity").alias("return_units"),
         sum_or_zero("refund_amount").alias("refund_amount"),

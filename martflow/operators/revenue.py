@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from martflow.functions.calendar import month_key, month_start
 from martflow.functions.expr import (
     in_years,
+    known,
     pct_change,
     period_label,
     point_change,
@@ -54,7 +55,7 @@ def portfolio_counts(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 def monthly_revenue(daily: DataFrame) -> DataFrame:
     """Revenue, cost, mean daily revenue, days and margin per month that occurs."""
-    return daily.groupBy(month_key("Date").alias("year_month")).agg(
+    return known(daily, "Date").groupBy(month_key("Date").alias("year_month")).agg(
         F.sum("Revenue").alias("revenue"),
         F.sum("COGS").alias("cogs"),
         F.avg("Revenue").alias("avg_daily_revenue"),
@@ -87,7 +88,7 @@ def monthly_resample(daily: DataFrame) -> DataFrame:
 def seasonality(daily: DataFrame) -> DataFrame:
     """Mean daily revenue and margin per calendar month."""
     day_margin = F.when(F.col("Revenue") > 0, margin("Revenue", "COGS"))
-    return daily.groupBy(F.month("Date").alias("month")).agg(
+    return known(daily, "Date").groupBy(F.month("Date").alias("month")).agg(
         F.avg("Revenue").alias("avg_daily_revenue"),
         F.avg(day_margin).alias("avg_margin"),
         F.count("Date").alias("days"),
@@ -95,7 +96,7 @@ def seasonality(daily: DataFrame) -> DataFrame:
 
 
 def annual_mean_revenue(daily: DataFrame) -> DataFrame:
-    return daily.groupBy(F.year("Date").alias("year")).agg(F.avg("Revenue").alias("avg_daily_revenue"))
+    return known(daily, "Date").groupBy(F.year("Date").alias("year")).agg(F.avg("Revenue").alias("avg_daily_revenue"))
 
 
 def regime_months(daily: DataFrame, first: int, split: int, last: int) -> DataFrame:
@@ -225,4 +226,4 @@ def scenario_lift(monthly: DataFrame, targets: dict[str, float]) -> DataFrame:
 
 
 def month_totals(daily: DataFrame) -> DataFrame:
-    return daily.groupBy(month_start("Date").alias("month")).agg(sum_or_zero("Revenue").alias("revenue"))
+    return known(daily, "Date").groupBy(month_start("Date").alias("month")).agg(sum_or_zero("Revenue").alias("revenue"))
