@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martflow.functions.expr import money_text, period_label, safe_divide
 from martflow.operators import customers, marts, products, promotions, revenue, traffic
 from martflow.operators.joins import orders_shipments
-from martflow.plans.queries_marts import dated_lines, product_marts, product_months, slim_line_fact
+from martflow.plans.queries_marts import product_marts, product_months, slim_line_fact
 from martflow.plans.queries_quality import item_lines
 from martflow.plans.registry import Query
 from martflow.sources import raw

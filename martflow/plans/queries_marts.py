@@ -55,9 +55,9 @@ PRODUCT_MONTH = (
 )
 
 
-def order_facts(v: RetailViews):
+def order_facts(v: RetailViews, checked: bool = False):
     return marts.order_fact(
-        v.orders(), item_lines(v), v.customers(), v.geography(), v.payments(), v.shipments()
+        v.orders(), item_lines(v), v.customers(), v.geography(), v.payments(), v.shipments(), checked
     )
 
 
@@ -69,18 +69,18 @@ def line_fact(v: RetailViews):
 
 def slim_line_fact(v: RetailViews, **parts):
     """Line fact with only the optional parts an answer needs."""
-    return marts.order_line_fact(v.order_items(), v.orders_without_place(), v.products(), **parts)
+    return marts.order_line_fact(v.order_items(), v.orders_without_place(), v.products(), **parts, checked=False)
 
 
 def dated_lines(v: RetailViews):
     return item_lines(v).join(v.orders_without_place().select("order_id", "order_date"), "order_id", "inner")
 
 
-def item_facts(v: RetailViews):
+def item_facts(v: RetailViews, checked: bool = False):
     t = v.tables()
     return marts.item_fact(
         t["order_items"], t["orders"], t["products"], t["customers"], t["geography"], t["payments"],
-        t["shipments"], t["returns"], t["reviews"],
+        t["shipments"], t["returns"], t["reviews"], checked,
     )
 
 
@@ -94,7 +94,7 @@ def product_months(v: RetailViews):
 
 def product_marts(v: RetailViews):
     lines = v.order_items().select("order_id", "product_id", "quantity", "unit_price", "promo_id", "promo_id_2")
-    fact = marts.order_line_fact(lines, v.orders_without_place(), v.products(), returns=v.returns())
+    fact = marts.order_line_fact(lines, v.orders_without_place(), v.products(), returns=v.returns(), checked=False)
     return marts.product_mart(v.products(), fact, v.inventory())
 
 
@@ -146,13 +146,13 @@ QUERIES: dict[str, Query] = {
         lambda v: marts.reviews_agg(v.reviews()),
         "select * from m_reviews_agg",
     ),
-    "item_fact": Query(ITEM_FACT, item_facts, "select * from m_item_fact"),
+    "item_fact": Query(ITEM_FACT, lambda v: item_facts(v, checked=True), "select * from m_item_fact"),
     "order_line_fact": Query(
         ORDER_LINE_FACT,
         line_fact,
         "select * from m_order_line_fact",
     ),
-    "order_fact": Query(ORDER_FACT, order_facts, "select * from m_order_fact"),
+    "order_fact": Query(ORDER_FACT, lambda v: order_facts(v, checked=True), "select * from m_order_fact"),
     "customer_360": Query(CUSTOMER_360, customers_360, "select * from m_customer_360"),
     "customer_mart": Query(
         "customer_id:i zip:i age_group n_orders:i first_order_date:d last_order_date:d total_revenue:2 avg_order_value:6 "
