@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.calendar import (
+    LUNAR_COLUMNS,
     LUNAR_NEW_YEAR,
+    SALE_WINDOW_COLUMNS,
     add_calendar_features,
     add_forecast_calendar,
     add_holiday_features,
@@ -158,6 +160,10 @@ FEATURE_COLUMNS = (
     "md_ratio_odd:6 md_ratio_even:6 md_ratio_post:6"
 )
 
+HOLIDAY_FEATURE_COLUMNS = FEATURE_COLUMNS.partition(" md_rev_ratio")[0] + "".join(
+    f" {c}:i" for c in SALE_WINDOW_COLUMNS + LUNAR_COLUMNS
+)
+
 
 def _corrected_sql(blowout: str, year_end: str) -> str:
     return f"""select "Date", "Revenue", ub as ub_window, ye as ye_window, cogs1 as cogs_after_ub,
@@ -304,10 +310,10 @@ QUERIES: dict[str, Query] = {
     ),
     "forecast_features": Query(FEATURE_COLUMNS, feature_frame, FEATURES_SQL),
     "holiday_forecast_features": Query(
-        "Date:d role Revenue:2 Month:i Day:i rev_doy_median:2 rev_month_dow_mean:2 rev_month_day_median:2 inv_stockout:6 sessions_md:6 "
-        "avg_delivery_days:6 returns_md:4",
+        HOLIDAY_FEATURE_COLUMNS,
         lambda v: features.holiday_forecast_features(*train_and_future(v), aux(v)),
-        FEATURES_SQL,
+        f"""select f.*, {", ".join(f'h."{c}"' for c in SALE_WINDOW_COLUMNS + LUNAR_COLUMNS)}
+            from ({FEATURES_SQL}) f join ({HOLIDAY_SQL}) h on f."Date" = h."Date" """,
     ),
     # ---- splits, baselines, metrics
     "time_split": Query(
