@@ -45,7 +45,7 @@ def test_item_fact_keeps_the_line_grain(shop):
     assert (first["order_month"], first["region"], first["age_group"]) == ("2018-01", "north", "18-24")
     zero = [r for r in rows if r["order_id"] == 4][0]
     assert zero["gross_margin"] is None and zero["has_promo"] is False
-    assert len(fact.columns) == 45 + 2  # the reference layout: 47 columns on the full raw tables
+    assert len(fact.columns) == 45 + 2  # the published width of the full fact
 
 
 def test_order_fact(orders_built):
