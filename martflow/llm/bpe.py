@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 
 from martflow.llm.common import list_array, per_slice
 
-LEAF_CHARS = 16_384
+LEAF_CHARS = 32_768
 #: Marks that are neither letter, digit nor space in every version of Unicode.
 _MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789")
 #: Pre-tokenisation of this family of vocabularies (fixed value).
@@ -53,7 +53,7 @@ def _byte_of_char() -> dict[str, int]:
 class Codec(dict):
     """Encoder and decoder of one vocabulary file. As a dict it keeps the ids of recent runs, as int32 bytes."""
 
-    LIMIT = 600_000
+    LIMIT = 400_000
 
     def __init__(self, path: str):
         super().__init__()
@@ -125,6 +125,10 @@ class Codec(dict):
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), np.int32).tolist()
 
+    def text(self, ids: list[int]) -> str:
+        """The text of a leaf; nothing but its tokens has to be sent to the join."""
+        return b"".join(map(self.text_of.__getitem__, ids)).decode()
+
     def decode(self, ids) -> str:
         return b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -226,33 +230,40 @@ def _encode_rows(path: str, text: str):
 
 
 def _leaves(path: str, leaf_chars: int):
-    """Rows (key, piece, leaf, special, part) of the halves of each long text."""
+    """Rows (doc_id, key, piece, leaf, special, text) of the halves of each long text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
-        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+        doc_ids = batch.column("doc_id")
+        for row, (key, text) in enumerate(zip(batch.column("key").to_pylist(), batch.column("text").to_pylist())):
             for k, piece in enumerate(codec(path).pieces(text)):
                 if isinstance(piece, int):
-                    out.append((key, k, 0, piece, None))
+                    out.append((row, key, k, 0, piece, ""))
                     continue
-                depth = max(0, (max(1, -(-len(piece) // leaf_chars)) - 1).bit_length())
+                depth = (max(1, -(-len(piece) // leaf_chars)) - 1).bit_length()
                 cuts = [len(piece) * j >> depth for j in range((1 << depth) + 1)]
-                out += [(key, k, j, None, piece[s:e]) for j, (s, e) in enumerate(zip(cuts, cuts[1:]))]
-        names = ["key", "piece", "leaf", "special", "part"]
+                out += [(row, key, k, j, None, piece[s:e]) for j, (s, e) in enumerate(zip(cuts, cuts[1:]))]
+        rows, *columns = zip(*out)
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+        arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays([doc_ids.take(pa.array(rows)), *arrays], names=["doc_id", "key", "piece", "leaf", "special", "text"])
 
     return per_slice(work, "text")
 
 
 def _joined(path: str):
     def join(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: (r["piece"], r["leaf"]))
+        rows = table.select(["piece", "leaf", "special", "ids"]).to_pylist()
+        copies = sum((r["piece"], r["leaf"]) == (0, 0) for r in rows)
+        once = {(r["piece"], r["leaf"]): r for r in rows}
         ids: list[int] = []
-        for k in sorted({r["piece"] for r in rows}):
-            own = [r for r in rows if r["piece"] == k]
-            ids += [own[0]["special"]] if own[0]["special"] is not None else codec(path).tree([(r["part"], r["ids"]) for r in own])
-        return pa.table({"key": [rows[0]["key"]], "ids": pa.array([ids], pa.list_(pa.int32()))})
+        for k in sorted({piece for piece, _ in once}):
+            own = [once[at] for at in sorted(once) if at[0] == k]
+            if own[0]["special"] is not None:
+                ids.append(own[0]["special"])
+            else:
+                ids += codec(path).tree([(codec(path).text(r["ids"]), r["ids"]) for r in own])
+        return pa.table({"doc_id": table.column("doc_id").combine_chunks().slice(0, 1).take(pa.array([0] * copies)), "ids": pa.array([ids] * copies, pa.list_(pa.int32()))})
 
     return join
 
@@ -261,24 +272,19 @@ def bpe_encode(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text: s
     """Token ids of every text: (doc_id, ids), one row for each row of ``docs``, in no special order.
 
     Ids are those of the tokenizers library for the same file, special tokens in a text included. Null
-    and empty texts have no ids. Ids of documents may be null or repeat: rows are never merged; equal
-    long texts are encoded once and joined back by their sha-256. Other columns are not looked at.
+    and empty texts have no ids. Ids of documents may be null or repeat: the leaves of a
+    long text find each other by id and sha-256, and a row that occurs several times comes out as often.
+    Other columns are not looked at.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     is_long = F.length("text") > leaf_chars
     kind = dict(rows.dtypes)["doc_id"]
     short = rows.where(~is_long).mapInArrow(_encode_rows(vocab_path, "text"), f"doc_id {kind}, ids array<int>")
 
-    keyed = rows.where(is_long).withColumn("key", F.sha2("text", 256))
-    leaves = (
-        keyed.select("key", "text").dropDuplicates(["key"])
-        .mapInArrow(_leaves(vocab_path, leaf_chars), "key string, piece int, leaf int, special int, part string")
-        .repartition("key", "piece", "leaf")
-        .withColumn("text", F.coalesce("part", F.lit("")))
-    )
-    encoded = leaves.mapInArrow(_encode_rows(vocab_path, "text"), "key string, piece int, leaf int, special int, part string, ids array<int>")
-    whole = encoded.groupBy("key").applyInArrow(_joined(vocab_path), "key string, ids array<int>")
-    long = keyed.select("doc_id", "key").join(whole, "key").select("doc_id", "ids")
+    leaf = f"doc_id {kind}, key string, piece int, leaf int, special int"
+    leaves = rows.where(is_long).withColumn("key", F.sha2("text", 256)).mapInArrow(_leaves(vocab_path, leaf_chars), f"{leaf}, text string")
+    encoded = leaves.repartition("doc_id", "key", "piece", "leaf").mapInArrow(_encode_rows(vocab_path, "text"), f"{leaf}, ids array<int>")
+    long = encoded.groupBy("doc_id", "key").applyInArrow(_joined(vocab_path), f"doc_id {kind}, ids array<int>")
     return short.unionByName(long)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +14,30 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Texts of a batch that are worked on at once take about this many bytes at most.
 SLICE_BYTES = 8 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, in case it isn't installed where they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_martflow_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    with tempfile.TemporaryDirectory() as folder:
+        path = f"{folder}/{root.name}.zip"
+        with zipfile.ZipFile(path, "w") as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, file.relative_to(root.parent))
+        sc.addPyFile(path)
+    sc._martflow_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,24 +72,24 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in slices of at most SLICE_BYTES of ``column``, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of about ``size`` bytes of ``column``, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes.astype(np.int64)) // SLICE_BYTES
+        part = np.cumsum(sizes.astype(np.int64)) // size
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)
 
 
-def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str):
+def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str, size: int = SLICE_BYTES):
     """A function for mapInArrow that applies ``work`` to slices of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, size):
             out = work(batch)
             if out is not None:
                 yield out
@@ -120,3 +140,24 @@ def list_array(values: np.ndarray | pa.Array, lengths: list[int] | np.ndarray, k
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values, kind))
+
+
+def with_computed(df: DataFrame, text: str, ddl: str, work: Callable[[list[bytes | None]], list], size: int = SLICE_BYTES) -> DataFrame:
+    """Adds the columns of ``ddl`` to every row, computed from the bytes of column ``text``.
+
+    ``work`` gets the texts of a slice and returns one sequence (or Arrow array) a column. Columns of
+    the same name are replaced; all others, whatever their names, are passed through.
+    """
+    new = T.StructType.fromDDL(ddl)
+    kept = [c for c in df.columns if c not in new.names]
+    source = df if text in kept else df.withColumn(kept_text := f"{text}__in", F.col(text))
+    column = text if text in kept else kept_text
+    kinds = [to_arrow_type(f.dataType) for f in new]
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = work(as_bytes(batch.column(column)))
+        made = [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(found, kinds)]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], names=[*kept, *new.names])
+
+    schema = T.StructType([*(f for f in df.schema if f.name in kept), *new])
+    return source.mapInArrow(per_slice(one, column, size), schema)

@@ -12,12 +12,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe
-from martflow.llm.common import read_table
+from martflow.llm import bpe, compression_quality, decontamination, language_id, licenses, quality_rules
+from martflow.llm.common import fold_of, read_table
 
 BPE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit_languages(docs, fold_of("doc_id", 4) != 2)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.bpe_encode(read_table(spark, sf_dir, "documents"), BPE_VOCAB)
     decoded = bpe.bpe_decode(encoded, BPE_VOCAB)
@@ -29,8 +36,62 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        decontamination.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.quality_cascade(docs)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return (
+        judged.select("doc_id", *(F.col(f"counts.{c}").alias(c) for c in columns), "kept")
+        .withColumn("base_failed", failed)
+        .withColumn("kept", F.col("kept") & ~failed)
+    )
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").cast("long").alias("first_word"),
+        F.array_max("base.word").cast("long").alias("last_word"),
+        joined(F.col("base.label")).alias("base_labels"),
+        joined(F.concat("base.label", "licenses.label")).alias("labels"),
+        F.col("license_score").alias("score"),
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = compression_quality.fit_quality(docs, labels, fold_of("doc_id", 5) != 0)
+    scored = compression_quality.quality_scores(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op5_bpe": op5_bpe,
+    "op6_quality": op6_quality,
+    "op7_decontamination": op7_decontamination,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str | None] = {}
