@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -27,12 +29,14 @@ def ship(spark: SparkSession) -> None:
     if getattr(sc, "_martflow_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
-    with tempfile.TemporaryDirectory() as folder:
-        path = f"{folder}/{root.name}.zip"
-        with zipfile.ZipFile(path, "w") as archive:
-            for file in sorted(root.rglob("*.py")):
-                archive.write(file, file.relative_to(root.parent))
-        sc.addPyFile(path)
+    # the driver serves this file to the workers as long as it runs
+    folder = tempfile.mkdtemp(prefix="martflow-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    sc.addPyFile(path)
     sc._martflow_shipped = True
 
 

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, compression_quality, decontamination, language_id, licenses, quality_rules
+from martflow.llm import bpe, compression_quality, decontamination, language_id, licenses, ngram_join, quality_rules
 from martflow.llm.common import fold_of, read_table
 
 BPE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +49,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules.quality_cascade(docs)
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
+    "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_licenses": op10_licenses,
 }
