@@ -12,12 +12,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, compression_quality, decontamination, language_id, licenses, ngram_join, quality_rules
+from martflow.llm import bpe, compression_quality, decontamination, language_id, licenses, ngram_join, quality_rules, substring_dedup
 from martflow.llm.common import fold_of, read_table
 
 BPE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language_id.fit_languages(docs, fold_of("doc_id", 4) != 2)
@@ -90,6 +95,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
