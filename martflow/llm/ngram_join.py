@@ -54,7 +54,7 @@ def set_key(shingles: np.ndarray) -> int | None:
 
 
 def _profiles(size: int, percent: int):
-    """Rows (doc_id, n, key, n_first, first, later): shingles of the first class, and those of the second
+    """Rows (doc_id, th, n, key, n_first, first, later): shingles of the first class, and those of the second
     that the prefix still reaches."""
     hashes = WordHashes()
 
@@ -64,8 +64,8 @@ def _profiles(size: int, percent: int):
         first = [s[:k] for s, k in zip(sets, n_first)]
         later = [s[k : max(k, prefix_size(len(s), percent))] if len(s) else s for s, k in zip(sets, n_first)]
         flat = lambda parts: list_array(np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64), [len(p) for p in parts], pa.int64())
-        columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array(n_first, pa.int64()), flat(first), flat(later)]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "n_first", "first", "later"])
+        columns = [batch.column("doc_id"), batch.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()), pa.array(n_first, pa.int64()), flat(first), flat(later)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "n", "key", "n_first", "first", "later"])
 
     return per_slice(work, "text")
 
@@ -190,6 +190,19 @@ def links_forest(docs: DataFrame, profiles: DataFrame, clustered: DataFrame, siz
     return cells.groupBy("cluster", "i", "j").applyInArrow(_cell(percent), "u bigint, v bigint")
 
 
+def _by_class(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, n, key) of every row, and (key, root, low) of every class: the component and the
+    smallest id of the class."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("th", F.xxhash64("text"))
+    kind = dict(rows.dtypes)["doc_id"]
+    profiles = written(rows.mapInArrow(_profiles(size, percent), f"doc_id {kind}, th bigint, n bigint, key bigint, n_first bigint, first array<bigint>, later array<bigint>"), "profiles")
+    clustered = written(clusters(written(prefix_rows(profiles, percent), "prefixes")), "clusters")
+    linked = components(written(links_forest(rows, profiles, clustered, size, percent), "links"))
+    classes = profiles.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"))
+    rooted = classes.join(linked, classes["key"] == linked["node"], "left").select("key", F.coalesce("root", "key").alias("root"), "low")
+    return profiles.select("doc_id", "th", "n", "key"), rooted
+
+
 def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
@@ -198,18 +211,24 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     smallest id of their component, if it has any. A repeated id is one document for each of its texts.
     Shingles are compared by 64-bit hashes. Other columns are not looked at.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
-    profiles = written(rows.mapInArrow(_profiles(size, percent), f"doc_id {kind}, n bigint, key bigint, n_first bigint, first array<bigint>, later array<bigint>"), "profiles")
-    clustered = written(clusters(written(prefix_rows(profiles, percent), "prefixes")), "clusters")
-    links = written(links_forest(rows, profiles, clustered, size, percent), "links")
+    rows, classes = _by_class(docs, doc_id, text, size, percent)
+    lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
+    found = classes.join(lowest, "root").select("key", "component_id")
+    return rows.join(found, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
-    classes = profiles.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"))
-    linked = components(links)
-    roots = linked.join(classes, linked["node"] == classes["key"])
-    lowest = roots.groupBy("root").agg(F.min("low").alias("lowest"))
-    found = linked.join(lowest, "root").select(F.col("node").alias("key"), "lowest")
-    own = classes.join(found, "key", "left").select("key", F.coalesce("lowest", "low").alias("component_id"))
-    return profiles.select("doc_id", "n", "key").join(own, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Of each component one row of ``docs``: the one with the smallest id (null last).
+
+    Texts without words are linked with nothing, so all of them stay, as they are. All columns stay.
+    """
+    last = F.lit(np.iinfo(np.int64).max)
+    order = F.coalesce(F.col(doc_id).cast("bigint"), last)
+    rows, classes = _by_class(docs, doc_id, text, size, percent)
+    place = F.struct(F.coalesce(F.col("doc_id").cast("bigint"), last).alias("o"), F.col("th").alias("t"))
+    kept = rows.join(classes.select("key", "root"), "key").groupBy("root").agg(F.min(place).alias("place")).select("place.*").distinct()
+    has_word = F.rlike(F.coalesce(F.col(text), F.lit("")), F.lit("[^ \\t-\\r]"))
+    whole = docs.where(has_word).select(F.struct("*").alias("row"), order.alias("o"), F.xxhash64(F.col(text)).alias("t"))
+    # rows alike in id and text are copies of each other
+    linked = whole.join(kept, ["o", "t"], "left_semi").groupBy("o", "t").agg(F.first("row").alias("row")).select("row.*")
+    return linked.unionByName(docs.where(~has_word))

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, compression_quality, decontamination, language_id, licenses, ngram_join, quality_rules, substring_dedup
+from martflow.llm import bpe, compression_quality, decontamination, hmm, language_id, licenses, line_dedup, ngram_join, quality_rules, substring_dedup
 from martflow.llm.common import fold_of, read_table
 
 BPE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = hmm.fit_hmm(docs, fold_of("doc_id", 5) != 1)
+    scored = hmm.score_texts(docs, model, counts)
+    held_out = (fold_of("doc_id", 5) == 1).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.bpe_encode(read_table(spark, sf_dir, "documents"), BPE_VOCAB)
     decoded = bpe.bpe_decode(encoded, BPE_VOCAB)
@@ -97,6 +110,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_hmm": op4_hmm,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
