@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, compression_quality, decontamination, hmm, language_id, licenses, line_dedup, ngram_join, quality_rules, substring_dedup
+from martflow.llm import bpe, compression_quality, decontamination, hmm, language_id, licenses, line_dedup, ngram_join, oracles, quality_rules, substring_dedup
 from martflow.llm.common import fold_of, read_table
 
 BPE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,4 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
 }
 
-ORACLES: dict[str, str | None] = {}
+#: The other queries depend on trained models or a tokenizer, or need a recursion over all links.
+ORACLES: dict[str, str | None] = {
+    "op1_substring_dedup": oracles.OP1,
+    "op3_line_dedup": oracles.OP3,
+    "op7_decontamination": oracles.OP7,
+}
