@@ -13,9 +13,6 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# An exact percentile merges every distinct value in one task; allowed up to this many rows.
-ONE_TASK_ROWS = 1_000_000
-
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's checkpoint folder; make one only for a local run that has none."""
@@ -79,20 +76,12 @@ def running_totals(
     return shifted.drop(*helper, *([] if rank else [rank_col]))
 
 
-def exact_quantiles(
-    df: DataFrame, wanted: dict[str, tuple[str, float]], one_task_rows: int = ONE_TASK_ROWS
-) -> dict[str, Column]:
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[str, Column]:
     """Linearly interpolated quantiles, each returned as a scalar subquery column.
 
-    ``wanted`` maps a name to (column, probability). Pass a materialized frame: it is read once to
-    count it, and only a count below ``one_task_rows`` takes the single-task percentile.
+    ``wanted`` maps a name to (column, probability). Distinct values are counted and ranked over range
+    partitions, whatever the size of the frame; the positions of a quantile are then one or two rows.
     """
-    if df.count() <= one_task_rows:
-        row = df.agg(
-            F.struct(*[F.percentile(c, F.lit(p)).alias(name) for name, (c, p) in wanted.items()]).alias("q")
-        ).scalar()
-        return {name: row[name] for name in wanted}
-
     ranked: dict[str, DataFrame] = {}
     result: dict[str, Column] = {}
     for name, (c, p) in wanted.items():

@@ -169,11 +169,11 @@ def with_next_order(order_level: DataFrame, customer_day: DataFrame) -> DataFram
 
 def repurchase_90d(order_level: DataFrame, days: int = 90) -> DataFrame:
     """Mark orders old enough to judge and, among them, those followed by another within the window."""
-    orders = materialize(order_level)
-    latest = orders.agg(F.max("order_date")).scalar()
+    # The latest date and the customer days are second, narrow reads: id, customer and date alone.
+    latest = order_level.agg(F.max("order_date")).scalar()
     eligible = is_true(F.col("order_date") <= F.date_sub(latest, days))
     return (
-        with_next_order(orders, customer_days(orders))
+        with_next_order(order_level, customer_days(order_level))
         .withColumn("eligible_90d", eligible)
         .withColumn("repurchase_90d", flag(F.col("eligible_90d") & F.col("next_gap_days").between(1, days)))
     )

@@ -245,7 +245,7 @@ def make_submission(
 ) -> DataFrame:
     """Predictions on the sample's dates; without a cost column, cost is a fixed share of revenue."""
     if revenue_col not in predictions.columns:
-        raise ValueError(f"Missing prediction column: {revenue_col}")
+        raise ValueError(f"predictions have no column {revenue_col!r}")
     kept = [c for c in ("Date", revenue_col, cogs_col) if c in predictions.columns]
     aligned = sample.select("Date").join(predictions.select(*kept), "Date", "left")
     if cogs_col not in kept:

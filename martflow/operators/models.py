@@ -13,18 +13,20 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.functions.ordering import materialize
+from martflow.functions.ordering import exact_quantiles, materialize
 from martflow.operators.features import FEATURE_GROUPS, FORECAST_FEATURES, feature_columns
 from martflow.operators.forecast import WEIGHTS, ForecastWeights, day_margin, regression_report
 
 # Random seeds of the ensemble.
 SEEDS = (42, 1337, 2024, 7, 99)
-NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+NUMERIC = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+# A text column with more values than this is an error: each value becomes a column of the model.
+MAX_CATEGORIES = 1_000
 
 
 # ---------------------------------------------------------------- single model
@@ -37,19 +39,29 @@ class Preprocessing:
     numeric: list[str]
     categorical: list[str]
     fill: dict[str, str]
+    medians: dict[str, float]
     model: PipelineModel
 
     def transform(self, df: DataFrame) -> DataFrame:
         prepared = df.fillna(self.fill) if self.fill else df
-        return self.model.transform(_as_double(prepared, self.numeric))
+        return self.model.transform(_imputed(_as_double(prepared, self.numeric), self.medians))
 
 
 def _as_double(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns}) if columns else df
 
 
+def _imputed(df: DataFrame, medians: dict[str, float]) -> DataFrame:
+    """Each number as ``<name>_num``, its gaps filled with the training median."""
+    return df.withColumns({f"{c}_num": F.coalesce(F.when(~F.isnan(c), F.col(c)), F.lit(m)) for c, m in medians.items()})
+
+
 def fit_preprocessing(train: DataFrame, features: list[str]) -> Preprocessing:
-    """Learn fills and category codes. Categories unseen in training get an all-zero code."""
+    """Learn fills and category codes. Categories unseen in training get an all-zero code.
+
+    Medians are exact. Booleans count as numbers. A text column of more than MAX_CATEGORIES values raises,
+    because its codes are kept by the driver and by every row's vector.
+    """
     types = dict(train.dtypes)
     numeric = [c for c in features if types[c].startswith(NUMERIC)]
     categorical = [c for c in features if c not in numeric]
@@ -60,16 +72,25 @@ def fit_preprocessing(train: DataFrame, features: list[str]) -> Preprocessing:
         modes = train.agg(*[F.mode(c, True).alias(c) for c in categorical]).first()
         fill = {c: modes[c] for c in categorical if modes[c] is not None}
         train = train.fillna(fill)
-    stages = []
+        sizes = train.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first().asDict()
+        if large := sorted(c for c, n in sizes.items() if n > MAX_CATEGORIES):
+            raise ValueError(f"more than {MAX_CATEGORIES} categories in {', '.join(large)}")
+    medians: dict[str, float] = {}
     if numeric:
-        stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_num" for c in numeric]))
+        plain = train.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in numeric])
+        cuts = exact_quantiles(plain, {c: (c, 0.5) for c in numeric})
+        # One row; a column without any number is filled with 0.
+        found = train.sparkSession.range(1).select(*[cuts[c].alias(c) for c in numeric]).first()
+        medians = {c: found[c] if found[c] is not None else 0.0 for c in numeric}
+        train = _imputed(train, medians)
+    stages = []
     if categorical:
         codes, vectors = [f"{c}_code" for c in categorical], [f"{c}_vec" for c in categorical]
         stages.append(StringIndexer(inputCols=categorical, outputCols=codes, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=codes, outputCols=vectors, dropLast=True))
     inputs = [f"{c}_num" for c in numeric] + [f"{c}_vec" for c in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    return Preprocessing(numeric, categorical, fill, Pipeline(stages=stages).fit(train))
+    return Preprocessing(numeric, categorical, fill, medians, Pipeline(stages=stages).fit(train))
 
 
 def build_learner(model_type: str, label: str, seed: int = 42) -> Estimator:
@@ -101,12 +122,16 @@ def train_and_evaluate(
 
 @dataclass(frozen=True)
 class EnsembleSize:
-    """How large each learner is; small sizes serve tests and quick runs."""
+    """How large each learner is. Jobs and registered queries share these defaults.
+
+    They are chosen so that all fits of a forecast end within minutes on one machine; a cluster takes more
+    rounds at a smaller step.
+    """
 
-    boosted_rounds: int = 100
-    forest_trees: int = 200
-    depth: int = 6
-    step: float = 0.1
+    boosted_rounds: int = 10
+    forest_trees: int = 30
+    depth: int = 4
+    step: float = 0.3
     seeds: tuple[int, ...] = SEEDS
     threads: int = 4
 

@@ -16,8 +16,6 @@ from martflow.functions.expr import (
     safe_divide,
     sum_or_zero,
 )
-from martflow.functions.ordering import materialize
-from martflow.operators.customers import customer_days, with_next_order
 
 REPURCHASE_DAYS = 90
 
@@ -64,7 +62,7 @@ def sold_lines(item_level: DataFrame, first: int, last: int) -> DataFrame:
 
 def promo_order_level(lines: DataFrame) -> DataFrame:
     """Sold lines summed to orders, with the order's promotion flag."""
-    return lines.groupBy("order_id", "customer_id", "order_date").agg(
+    return known(lines, "order_id", "customer_id", "order_date").groupBy("order_id", "customer_id", "order_date").agg(
         sum_or_zero("net_item_revenue").alias("revenue"),
         sum_or_zero("gross_merch_value").alias("gross_merch_value"),
         sum_or_zero("gross_profit").alias("gross_profit"),
@@ -76,22 +74,24 @@ def promo_order_level(lines: DataFrame) -> DataFrame:
 def promo_days(order_level: DataFrame) -> DataFrame:
     """Order measures per day and promotion flag, with repeat purchases and eligibility.
 
-    Whether an order is old enough to judge depends on its date alone, so orders are first summed to
-    days; the latest date is then a maximum over a calendar-sized frame instead of a second pass.
+    Orders are first summed to (customer, day, flag). Only a customer's last order of a day can be followed
+    by one on a later day, so the rows that hold it and the next day with an order tell the repeats.
+    Whether an order is old enough to judge depends on its date alone.
     """
-    orders = materialize(order_level)
-    repeated = F.count_if(is_true(F.col("next_gap_days").between(1, REPURCHASE_DAYS)))
+    measures = ("orders", "revenue", "gross_merch_value", "gross_profit", "discount_amount")
+    bought = (
+        order_level.groupBy("customer_id", "order_date", "promo_used")
+        .agg(F.count("order_id").alias("orders"), F.max("order_id").alias("last_id"), *[F.sum(m).alias(m) for m in measures[1:]])
+        .withColumn("day", F.datediff("order_date", F.lit("1970-01-01").cast("date")))
+    )
+    same_day = Window.partitionBy("customer_id", "day")
+    later = Window.partitionBy("customer_id").orderBy("day").rangeBetween(1, Window.unboundedFollowing)
+    gap = F.min("day").over(later) - F.col("day")
+    followed = is_true(gap.between(1, REPURCHASE_DAYS)) & (F.col("last_id") == F.max("last_id").over(same_day))
     per_day = (
-        with_next_order(orders, customer_days(orders))
+        bought.withColumn("repeated", followed.cast("bigint"))
         .groupBy("order_date", "promo_used")
-        .agg(
-            F.count("order_id").alias("orders"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("gross_merch_value").alias("gross_merch_value"),
-            F.sum("gross_profit").alias("gross_profit"),
-            F.sum("discount_amount").alias("discount_amount"),
-            repeated.alias("repeated"),
-        )
+        .agg(*[F.sum(m).alias(m) for m in (*measures, "repeated")])
     )
     latest = F.max("order_date").over(Window.partitionBy())
     return per_day.withColumn("_latest", latest).withColumn(

@@ -469,7 +469,7 @@ def table_verdict(df: DataFrame, table: str, keys: list[str], rules: dict = NULL
         F.struct(
             F.max("rows").alias("rows"),
             F.count_if(bad).alias("unexpected_null_columns"),
-            F.transform(F.slice(bad_columns, 1, 8), lambda s: s["column"]).alias("_bad"),
+            F.transform(bad_columns, lambda s: s["column"]).alias("_bad"),
             F.coalesce(F.bool_or(structural), F.lit(False)).alias("_structural"),
         ).alias("n")
     )

@@ -177,10 +177,8 @@ def negative_margin_months(daily: DataFrame, first: int, split: int, last: int,
     )
 
 
-def revenue_anomalies(
-    daily: DataFrame, window: int = 28, min_days: int = 7, threshold: float = 3.0, top: int = 30
-) -> DataFrame:
-    """Days whose revenue is far from its trailing mean, strongest first."""
+def scored_revenue(daily: DataFrame, window: int = 28, min_days: int = 7, threshold: float = 3.0) -> DataFrame:
+    """Every day with its trailing mean, deviation and z-score, and whether it is an anomaly."""
     trailing = Window.orderBy("Date").rowsBetween(-(window - 1), 0)
     enough = F.count("Revenue").over(trailing) >= min_days
     scored = daily.select(
@@ -190,11 +188,13 @@ def revenue_anomalies(
         F.when(enough, F.avg("Revenue").over(trailing)).alias("revenue_28d_mean"),
         F.when(enough, F.stddev_samp("Revenue").over(trailing)).alias("revenue_28d_std"),
     ).withColumn("z_score", safe_divide(F.col("Revenue") - F.col("revenue_28d_mean"), "revenue_28d_std"))
-    return (
-        scored.where(F.abs("z_score") >= threshold)
-        .orderBy(F.abs("z_score").desc(), "Date")
-        .limit(top)
-    )
+    return scored.withColumn("is_anomaly", F.coalesce(F.abs("z_score") >= threshold, F.lit(False)))
+
+
+def top_anomalies(scored: DataFrame, top: int = 30) -> DataFrame:
+    """The ``top`` anomalies of a scored series, strongest first."""
+    strongest = scored.where("is_anomaly").orderBy(F.abs("z_score").desc(), "Date").limit(top)
+    return strongest.drop("is_anomaly")
 
 
 def scenario_scale(monthly: DataFrame, targets: dict[str, float], month_col: str = "month") -> DataFrame:

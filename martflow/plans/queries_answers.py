@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martflow.functions.expr import money_text, period_label, safe_divide
+from martflow.functions.expr import clip, money_text, period_label, safe_divide
 from martflow.operators import customers, marts, products, promotions, revenue, traffic
 from martflow.operators.joins import orders_shipments
 from martflow.plans.queries_marts import product_marts, product_months, slim_line_fact
@@ -65,6 +65,11 @@ def _before_after(view: str, changes: list[tuple[str, str, bool]]) -> str:
     return f"select {', '.join(columns)} from {view}"
 
 
+SCORED_SQL = """select "Date", "Revenue", "COGS", m as revenue_28d_mean, s as revenue_28d_std, ("Revenue" - m) / nullif(s, 0) as z_score
+    from (select *, case when count(*) over w >= 7 then avg("Revenue") over w end as m,
+                 case when count(*) over w >= 7 then stddev_samp("Revenue") over w end as s
+          from v_sales window w as (order by "Date" rows between 27 preceding and current row)) a"""
+
 QUERIES: dict[str, Query] = {
     # ---- revenue
     "revenue_kpis": Query(
@@ -135,15 +140,16 @@ QUERIES: dict[str, Query] = {
         """select strftime(month_start, '%Y-%m') as year_month, period, revenue, cogs, gross_margin,
                   (month = 8 and year % 2 = 1) as is_odd_august from m_regime_months where gross_margin < 0.20""",
     ),
+    "scored_revenue": Query(
+        "Date:d Revenue:2 COGS:2 revenue_28d_mean:2 revenue_28d_std:2 z_score:6 is_anomaly",
+        lambda v: revenue.scored_revenue(v.sales(), threshold=2.5),
+        f"select *, coalesce(abs(z_score) >= 2.5, false) as is_anomaly from ({SCORED_SQL}) s",
+    ),
     "revenue_anomalies": Query(
         "Date:d Revenue:2 COGS:2 revenue_28d_mean:2 revenue_28d_std:2 z_score:6",
         # 2.5 deviations instead of 3, so that the small scale factors show some days.
-        lambda v: revenue.revenue_anomalies(v.sales(), threshold=2.5),
-        """select * from (select "Date", "Revenue", "COGS", m as revenue_28d_mean, s as revenue_28d_std, ("Revenue" - m) / nullif(s, 0) as z_score
-             from (select *, case when count(*) over w >= 7 then avg("Revenue") over w end as m,
-                          case when count(*) over w >= 7 then stddev_samp("Revenue") over w end as s
-                   from v_sales window w as (order by "Date" rows between 27 preceding and current row)) a) b
-           where abs(z_score) >= 2.5 order by abs(z_score) desc, "Date" limit 30""",
+        lambda v: revenue.top_anomalies(revenue.scored_revenue(v.sales(), threshold=2.5)),
+        f"""select * from ({SCORED_SQL}) s where abs(z_score) >= 2.5 order by abs(z_score) desc, "Date" limit 30""",
     ),
     "scenario_scale": Query(
         "month:d status_quo:2 conversion_30:2 cr_retention:2 status_quo_mn:6 conversion_30_mn:6 cr_retention_mn:6",
@@ -327,8 +333,8 @@ QUERIES: dict[str, Query] = {
         .select(
             "order_id",
             "product_id",
-            F.when(F.col("margin").isNotNull(), F.least(F.greatest("margin", F.lit(0.02)), F.lit(0.35))).alias("margin_clipped"),
-            F.greatest("net_item_revenue", F.lit(0.0)).alias("revenue_floored"),
+            clip("margin", 0.02, 0.35).alias("margin_clipped"),
+            clip("net_item_revenue", lower=0.0).alias("revenue_floored"),
         ),
         """select order_id, product_id, least(greatest(gross_profit / nullif(net_item_revenue, 0), 0.02), 0.35) as margin_clipped,
                   greatest(net_item_revenue, 0) as revenue_floored from v_item_level""",

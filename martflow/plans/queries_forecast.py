@@ -27,7 +27,7 @@ from martflow.sources.writers import submission_rows
 CUTOFF = "2001-01-01"
 POST_FROM = 1999
 YEARS = (1995, 1998, 2000)
-QUICK = models.EnsembleSize(boosted_rounds=5, forest_trees=10, depth=4, step=0.3, seeds=(42, 1337), threads=4)
+SIZE = models.EnsembleSize()
 
 
 def train_and_future(v: RetailViews) -> tuple[DataFrame, DataFrame]:
@@ -208,17 +208,37 @@ def encoded(v: RetailViews) -> DataFrame:
     )
 
 
+def gapped(v: RetailViews) -> DataFrame:
+    """Sales with the mean of the 28 days before, which the first days don't have, and their role."""
+    rolled = features.add_rolling_features(v.sales()).withColumnRenamed("Revenue_roll_mean_28", "rolled")
+    return forecast.time_split(rolled.select("Date", "Revenue", "rolled"), "Date", CUTOFF)
+
+
+def _codes_sql(column: str) -> str:
+    """Codes of a text column: most frequent value first, then by text; gaps count as the most frequent."""
+    mode = f"(select {column} from o where {column} is not null group by {column} order by count(*) desc, {column} limit 1)"
+    return f"""select {column}, row_number() over (order by n desc, {column}) - 1 as code
+               from (select coalesce({column}, {mode}) as {column}, count(*) as n from o group by 1) c"""
+
+
+ENCODED_SQL = f"""with o as (select o.order_id, o.order_status, o.payment_method, s.shipping_fee
+                            from v_orders o left join v_shipments s on o.order_id = s.order_id)
+    select o.order_id, coalesce(o.shipping_fee, (select quantile_cont(cast(shipping_fee as double), 0.5) from o)) as shipping_fee,
+           st.code as status_code, pm.code as method_code
+    from o join ({_codes_sql("order_status")}) st on st.order_status = o.order_status
+           join ({_codes_sql("payment_method")}) pm on pm.payment_method = o.payment_method"""
+
+
 def evaluated(v: RetailViews) -> DataFrame:
     sales = materialize(v.sales())
     days = features.add_lag_features(add_calendar_features(sales))
     train, valid = forecast.train_valid_frames(days, "Date", CUTOFF)
-    learner = models.build_learner("gbt", "label").setMaxIter(10)
-    return models.train_and_evaluate(train, valid, learner=learner)[1]
+    return models.train_and_evaluate(train, valid)[1]
 
 
 def ensemble(v: RetailViews) -> DataFrame:
     frame = materialize(feature_frame(v))
-    return forecast.seasonal_blend(models.regime_predictions(frame, *YEARS, QUICK))
+    return forecast.seasonal_blend(models.regime_predictions(frame, *YEARS, SIZE))
 
 
 QUERIES: dict[str, Query] = {
@@ -304,9 +324,12 @@ QUERIES: dict[str, Query] = {
            union all select 'month_day_median', "Month", "Day", rev_month_day_median from m_md""",
     ),
     "fill_mean": Query(
-        "Date:d role returns_md:4 sessions_md:6 avg_ship_fee:4 md_ratio_odd:6 md_ratio_post:6",
-        feature_frame,
-        FEATURES_SQL,
+        "Date:d role Revenue:2 rolled:2",
+        lambda v: features.fill_with_mean(gapped(v), ["rolled"]),
+        """select "Date", role, "Revenue", coalesce(rolled, avg(rolled) over (partition by role)) as rolled
+           from (select "Date", "Revenue", case when "Date" < date '2001-01-01' then 'train' else 'valid' end as role,
+                        case when count(*) over w = 28 then avg("Revenue") over w end as rolled
+                 from v_sales window w as (order by "Date" rows between 28 preceding and 1 preceding)) t""",
     ),
     "forecast_features": Query(FEATURE_COLUMNS, feature_frame, FEATURES_SQL),
     "holiday_forecast_features": Query(
@@ -372,13 +395,13 @@ QUERIES: dict[str, Query] = {
             cross join (select count(*) as m from v_horizon) b""",
     ),
     # ---- models: results depend on the learner, so they are checked for rows only
-    "impute_encode": Query("order_id:i shipping_fee:4 status_code:i method_code:i", encoded),
+    "impute_encode": Query("order_id:i shipping_fee:4 status_code:i method_code:i", encoded, ENCODED_SQL),
     "gbt_eval": Query("MAE:2 RMSE:2 R2:6", evaluated),
     "ensemble_pred": Query("Date:d pred_a:2 pred_b:2 Revenue:2", ensemble),
     "importance": Query(
         "feature feature_group importance:6",
         lambda v: models.feature_importance(
-            models.regime_frames(materialize(feature_frame(v)), *YEARS)[0], QUICK
+            models.regime_frames(materialize(feature_frame(v)), *YEARS)[0], SIZE
         ),
     ),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martflow.functions.expr import with_line_money
+from martflow.functions.expr import any_present, with_line_money
 from martflow.operators import marts, quality
 from martflow.plans.queries_quality import item_lines
 from martflow.plans.registry import Query
@@ -130,7 +130,7 @@ QUERIES: dict[str, Query] = {
     "promo_flags": Query(
         "order_id:i product_id:i promo_id promo_id_2 has_promo has_double_promo any_promo",
         lambda v: slim_line_fact(v).withColumn(
-            "any_promo", F.col("promo_id").isNotNull() | F.col("promo_id_2").isNotNull()
+            "any_promo", any_present(("promo_id", "promo_id_2"))
         ),
         """select order_id, product_id, promo_id, promo_id_2, promo_id is not null as has_promo,
                   (promo_id is not null and promo_id_2 is not null) as has_double_promo,

@@ -40,7 +40,7 @@ def test_anomaly_needs_seven_days_and_ignores_constant_windows(spark):
     start = date(2020, 1, 1)
     values = [10.0] * 40 + [11.0] * 3 + [100.0]
     sales = daily(spark, [(start + timedelta(i), v, 1.0) for i, v in enumerate(values)])
-    got = revenue.revenue_anomalies(sales).collect()
+    got = revenue.top_anomalies(revenue.scored_revenue(sales)).collect()
     series = pd.Series(values)
     z = (series - series.rolling(28, min_periods=7).mean()) / series.rolling(28, min_periods=7).std()
     want = z[z.abs() >= 3]
