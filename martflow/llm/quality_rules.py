@@ -125,17 +125,17 @@ class RuleCost:
         return self.rejected / max(self.seconds, 1e-4)
 
 
-def ordered_rules(counted: DataFrame, text: str, counts: str, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[RuleCost]:
+def ordered_rules(docs: DataFrame, text: str, counts: str, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[RuleCost]:
     """The rules, best rejection per cost first, from a sample of about ``sample_rows`` rows.
 
-    ``counted`` has the struct of counts. Cost is the time to evaluate one rule over the written sample,
-    less that of reading it; ties keep the given order. An empty table keeps the given order as well.
+    Cost is the time to evaluate one rule over the written sample, less that of reading it; ties keep the
+    given order. An empty table keeps the given order as well.
     """
-    total = counted.count()
+    total = docs.count()
     if not total:
         return [RuleCost(r, 0.0, 0.0) for r in rules]
-    picked = counted.select(text, counts) if total <= sample_rows else counted.select(text, counts).sample(sample_rows / total, seed=11)
-    sample = written(picked, "rule-sample")
+    picked = docs.select(text) if total <= sample_rows else docs.select(text).sample(sample_rows / total, seed=11)
+    sample = written(with_counts(picked, text, counts), "rule-sample")
     tests = {r.name: F.coalesce(r.fails(F.coalesce(F.col(text), F.lit("")), F.col(counts)), F.lit(False)) for r in rules}
     shares = sample.agg(*(F.avg(t.cast("double")).alias(n) for n, t in tests.items())).first()
 
@@ -156,8 +156,8 @@ def quality_cascade(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...]
     dropped; other columns pass through. ``rejected_by`` names the first failed rule in the measured
     order, so it may differ from run to run where several rules fail; ``kept`` does not.
     """
+    order = ordered_rules(docs, text, counts, rules)
     counted = with_counts(docs, text, counts)
-    order = ordered_rules(counted, text, counts, rules)
     whole = F.coalesce(F.col(text), F.lit(""))
     verdict = F.lit(None).cast("string")
     for found in reversed(order):
