@@ -113,12 +113,16 @@ def license_scan(docs: DataFrame, text: str = "text", rules: list[Signature] | N
     none_base = F.expr("CAST(array() AS array<struct<word:int,label:string>>)")
     none_found = F.expr("CAST(array() AS array<struct<start:int,end:int,label:string,priority:int>>)")
     chosen = signatures() if rules is None else rules
-    scanned = docs.withColumns(
-        {
-            "n_words": F.regexp_count(whole, F.lit(_WORD)).cast("long"),
-            "base": F.when(likely, let(norm, lambda n: phrase_places(n, BASE_PHRASES))).otherwise(none_base),
-            "licenses": F.when(likely, resolved(let(lowered(whole), lambda low: detections(low, chosen)))).otherwise(none_found),
-        }
+    # one branch for both results, so that the prefilter runs once for each text
+    found = F.when(
+        likely,
+        F.struct(let(norm, lambda n: phrase_places(n, BASE_PHRASES)).alias("base"), resolved(let(lowered(whole), lambda low: detections(low, chosen))).alias("licenses")),
+    ).otherwise(F.struct(none_base.alias("base"), none_found.alias("licenses")))
+    holder = next(n for n in (f"__found{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    scanned = (
+        docs.withColumns({"n_words": F.regexp_count(whole, F.lit(_WORD)).cast("long"), holder: found})
+        .withColumns({"base": F.col(f"{holder}.base"), "licenses": F.col(f"{holder}.licenses")})
+        .drop(holder)
     )
     sure = F.array_max(F.transform("licenses", lambda d: F.coalesce(*(F.when(d["priority"] == p, F.lit(s)) for p, s in _SURE.items()), F.lit(0.0))))
     return scanned.withColumn("license_score", F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(sure, F.lit(0.0))))
