@@ -3,8 +3,8 @@
 Two zstandard dictionaries are trained, one from good and one from bad labelled texts. A text is cut
 into blocks, each block is compressed once with either dictionary, and the normalised difference of the
 two total sizes, (good - bad) / (good + bad), says whose wording the text shares. A logistic curve over
-that difference and the plain compression ratio (texts that repeat themselves shrink with any
-dictionary), fitted on other labelled texts, turns it into the probability of label 1.
+that difference and the compression ratios for the text's length (texts that repeat themselves shrink
+with any dictionary), fitted on other labelled texts, turns it into the probability of label 1.
 """
 
 from __future__ import annotations
@@ -60,24 +60,26 @@ def blocks(text: bytes) -> list[bytes]:
 
 
 def features(texts: list[bytes | None], good: bytes, bad: bytes) -> np.ndarray:
-    """For each text: normalised size difference, compression ratio with the better dictionary, and
-    the log of its length. Null counts as empty; an empty text has difference 0 and ratio 1."""
-    out = np.zeros((len(texts), 3))
-    with_good, with_bad = _compressor(good).compress, _compressor(bad).compress
+    """For each text: normalised size difference, ratio with the better dictionary, log of the ratio with
+    no dictionary, log of the length. Null counts as empty, which has difference 0 and ratios 1."""
+    out = np.zeros((len(texts), 4))
+    with_good, with_bad, plain = (_compressor(d).compress for d in (good, bad, b""))
     for k, text in enumerate(texts):
         if not text:
-            out[k] = 0.0, 1.0, 0.0
+            out[k] = 0.0, 1.0, 0.0, 0.0
             continue
         parts = blocks(text)
-        a, b = sum(len(with_good(p)) for p in parts), sum(len(with_bad(p)) for p in parts)
-        out[k] = (a - b) / (a + b), min(1.0, min(a, b) / len(text)), np.log(len(text))
+        a, b, c = (sum(len(f(p)) for p in parts) for f in (with_good, with_bad, plain))
+        out[k] = (a - b) / (a + b), min(1.0, min(a, b) / len(text)), np.log(c / len(text)), np.log(len(text))
     return out
 
 
 def _basis(raw: np.ndarray) -> np.ndarray:
-    """What the curve is linear in: difference, ratio, its logarithm, and the difference of short texts."""
-    diff, ratio, size = raw.T
-    return np.column_stack([diff, ratio, np.log(np.maximum(ratio, 1e-3)), diff * np.minimum(size, 8.0)])
+    """What the curve is linear in. How far a text shrinks by itself depends on its length up to a block."""
+    diff, ratio, plain, size = raw.T
+    up_to_block = np.minimum(size, np.log(BLOCK))
+    columns = [diff, np.abs(diff), diff * np.minimum(size, 8.0), ratio, np.log(np.maximum(ratio, 1e-3)), plain, up_to_block, plain * up_to_block, up_to_block**2]
+    return np.column_stack(columns)
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
