@@ -17,13 +17,15 @@ whose words also stand in a document with a smaller id; the first document keeps
 
 from __future__ import annotations
 
+from itertools import chain
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import WordHashes, as_bytes, gram_hashes, list_array, per_slice, written
+from martflow.llm.common import WordHashes, as_bytes, gram_hashes, per_slice, written
 
 WINDOW = 13
 ANCHOR = 5
@@ -48,15 +50,38 @@ def window_anchors(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndar
     return np.arange(n) + back, low.view(np.int64)
 
 
+def _words_of(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts in one list, and where each text ends in it."""
+    words = [t.split() if t else [] for t in texts]
+    return list(chain.from_iterable(words)), np.cumsum([len(w) for w in words], dtype=np.int64)
+
+
+def _inside(n: int, ends: np.ndarray, window: int) -> np.ndarray:
+    """Of the windows that start at 0 to n - 1 of joined texts, those that end within their text."""
+    starts = np.concatenate([[0], ends[:-1]])
+    left = np.repeat(ends, ends - starts)[:n] - np.arange(n)
+    return left >= window
+
+
 def _anchor_rows(window: int, anchor: int):
     hashes = WordHashes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.unique(window_anchors(hashes.of(t.split()), window, anchor)[1]) if t else np.empty(0, np.int64) for t in as_bytes(batch.column("text"))]
-        sizes = [len(f) for f in found]
-        at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-        columns = [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(np.concatenate([np.empty(0, np.int64), *found]))]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "anchor"])
+        words, ends = _words_of(as_bytes(batch.column("text")))
+        grams = window_anchors(hashes.of(words), window, anchor)[1]
+        inside = _inside(len(grams), ends, window)
+        rows = np.searchsorted(ends, np.flatnonzero(inside), "right")
+        grams = grams[inside]
+        # once for each text: neighbouring windows mostly share their anchor
+        first = np.ones(len(grams), bool)
+        first[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
+        rows, grams = rows[first], grams[first]
+        order = np.lexsort((grams, rows))
+        rows, grams = rows[order], grams[order]
+        first = np.ones(len(grams), bool)
+        first[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
+        at = pa.array(rows[first])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(grams[first])], names=["doc_id", "th", "anchor"])
 
     return per_slice(work, "text")
 
@@ -66,26 +91,47 @@ def _segment_rows(window: int, anchor: int, shards: int):
     hashes = WordHashes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[tuple] = []
-        ids, ths = batch.column("doc_id").to_pylist(), batch.column("th").to_pylist()
-        for row, (text, wanted) in enumerate(zip(as_bytes(batch.column("text")), batch.column("wanted").to_pylist())):
-            words = text.split()
-            place, grams = window_anchors(hashes.of(words), window, anchor)
-            salts = {w["anchor"]: w["salts"] for w in wanted}
-            hit = np.isin(grams, np.fromiter(salts, np.int64, len(salts)))
-            cuts = np.flatnonzero(np.diff(np.where(hit, place, -1), prepend=-2, append=-2))
-            for s, e in zip(cuts.tolist(), cuts[1:].tolist()):
-                if hit[s]:
-                    gram = int(grams[s])
-                    k = salts[gram]
-                    out.append((gram % shards, ths[row] % k, k, ids[row], ths[row], s, b" ".join(words[s : e + window - 1]).decode()))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
-        columns = list(zip(*out)) or [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["shard", "salt", "salts", "doc_id", "th", "start", "words"])
+        words, ends = _words_of(as_bytes(batch.column("text")))
+        place, grams = window_anchors(hashes.of(words), window, anchor)
+        inside = _inside(len(grams), ends, window)
+        row_of = np.searchsorted(ends, np.arange(len(grams)), "right")
+        column = batch.column("wanted")
+        wanted = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+        found = column.flatten()
+        keys, salts = found.field("anchor").to_numpy(), found.field("salts").to_numpy()
+        # a window is wanted if its row wants its anchor: both sides sorted by (row, anchor)
+        order = np.lexsort((keys, wanted))
+        keys, salts, wanted = keys[order], salts[order], wanted[order]
+        begin, stop = np.searchsorted(wanted, row_of), np.searchsorted(wanted, row_of, "right")
+        low = _search_within(keys, begin, stop, grams)
+        hit = inside & (low < stop) & (keys[np.minimum(low, len(keys) - 1)] == grams) if len(keys) else np.zeros(len(grams), bool)
+        same = np.zeros(len(grams), bool)
+        same[1:] = hit[1:] & hit[:-1] & (place[1:] == place[:-1]) & (row_of[1:] == row_of[:-1])
+        firsts = np.flatnonzero(hit & ~same)
+        lasts = np.flatnonzero(hit & ~np.append(same[1:], False))
+        rows = row_of[firsts]
+        k = salts[low[firsts]] if len(firsts) else np.empty(0, np.int64)
+        th = batch.column("th").to_numpy(zero_copy_only=False)[rows]
+        text = [b" ".join(words[s : e + window]) for s, e in zip(firsts.tolist(), lasts.tolist())]
+        at = pa.array(rows)
+        starts = np.concatenate([[0], ends[:-1]])
+        columns = [pa.array(grams[firsts] % shards), pa.array(th % np.maximum(k, 1)), pa.array(k), batch.column("doc_id").take(at), pa.array(th), pa.array((firsts - starts[rows]).astype(np.int32)), pa.array(text, pa.binary()).cast(pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "salt", "salts", "doc_id", "th", "start", "words"])
 
     return per_slice(work, "text")
 
 
+def _search_within(keys: np.ndarray, begin: np.ndarray, stop: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each value the first place in keys[begin:stop], which is sorted, that isn't smaller."""
+    low, high = begin.copy(), stop.copy()
+    while (open_ := low < high).any():
+        mid = (low + high) // 2
+        smaller = open_ & (keys[np.minimum(mid, len(keys) - 1)] < values)
+        low = np.where(smaller, mid + 1, low)
+        high = np.where(open_ & ~smaller, mid, high)
+    return low
+
+
 _SEGMENT = "shard bigint, salt bigint, salts bigint, doc_id bigint, th bigint, start int, words string"
 
 
@@ -93,18 +139,25 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
     return column.fill_null(_LAST).to_numpy()
 
 
-def _segment_windows(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of all segments, and the row of each."""
-    hashes = WordHashes()
-    found = [gram_hashes(hashes.of(t.split(b" ")), window) for t in as_bytes(table.column("words").combine_chunks())]
-    return np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64), np.repeat(np.arange(len(found)), [len(f) for f in found])
+def _shard_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all segments in a row, and the end of each segment."""
+    texts = as_bytes(table.column("words").combine_chunks())
+    ends = np.cumsum([t.count(b" ") + 1 for t in texts], dtype=np.int64)
+    return WordHashes().of(b" ".join(texts).split(b" ")), ends
+
+
+def _shard_windows(words: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all windows that lie in one segment, where they start, and the segment of each."""
+    grams = gram_hashes(words, window).view(np.int64)
+    at = np.flatnonzero(_inside(len(grams), ends, window))
+    return grams[at], at, np.searchsorted(ends, at, "right")
 
 
 def _local_firsts(window: int):
     """Of each window in one salt of a shard: its smallest id, and whether it has more than one."""
 
     def firsts(table: pa.Table) -> pa.Table:
-        windows, rows = _segment_windows(table, window)
+        windows, _, rows = _shard_windows(*_shard_words(table), window)
         ids, salts = _ids(table.column("doc_id"))[rows], table.column("salts").to_numpy()[rows]
         order = np.lexsort((ids, windows))
         windows, ids, salts = windows[order], ids[order], salts[order]
@@ -123,38 +176,36 @@ def _occurrences(window: int):
     """Spans (doc_id, th, start, end) of words that a confirmed window of an earlier document covers."""
 
     def spans(segments: pa.Table, confirmed: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        rows = starts = stops = np.empty(0, np.int64)
         if segments.num_rows and confirmed.num_rows:
-            first_of = dict(zip(confirmed.column("win").to_pylist(), confirmed.column("low").to_pylist()))
-            windows, rows = _segment_windows(segments, window)
-            lines, symbols = [], {}
-            for text in as_bytes(segments.column("words").combine_chunks()):
-                # symbols start above the ASCII range and leave out the surrogates
-                codes = [symbols.setdefault(w, len(symbols) + 256) for w in text.split(b" ")]
-                lines.append("".join(chr(c if c < 0xD800 else c + 0x800) for c in codes))
+            words, ends = _shard_words(segments)
+            windows, at, _ = _shard_windows(words, ends, window)
+            firsts = confirmed.column("low").to_numpy()
+            # one symbol for each distinct word, above the ASCII range and without the surrogates
+            codes = np.unique(words, return_inverse=True)[1].astype(np.uint32) + 256
+            codes[codes >= 0xD800] += 0x800
+            line = codes.tobytes().decode("utf-32-le")
+            distinct, places = np.unique(windows, return_index=True)
+            known, _, which = np.intersect1d(distinct, confirmed.column("win").to_numpy(), return_indices=True)
             automaton = ahocorasick.Automaton()
-            known = np.isin(windows, np.fromiter(first_of, np.int64, len(first_of)))
-            begin = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1])
-            offset = np.arange(len(rows)) - np.repeat(begin, np.diff(np.append(begin, len(rows))))
-            for win, row, at in zip(windows[known].tolist(), rows[known].tolist(), offset[known].tolist()):
-                automaton.add_word(lines[row][at : at + window], first_of[win])
+            for place, which_first in zip(at[places[np.searchsorted(distinct, known)]].tolist(), which.tolist()):
+                automaton.add_word(line[place : place + window], which_first)
             if len(automaton):
                 automaton.make_automaton()
-                ids = _ids(segments.column("doc_id")).tolist()
-                for row, line in enumerate(lines):
-                    end = -1
-                    for last, first in automaton.iter(line):
-                        if first >= ids[row]:
-                            continue
-                        if last - window + 1 <= end:
-                            out[-1] = (row, out[-1][1], last + 1)
-                        else:
-                            out.append((row, last - window + 1, last + 1))
-                        end = last + 1
-        rows_, starts, ends = (np.array(c, np.int64) for c in (zip(*out) if out else ([], [], [])))
-        base = segments.column("start").to_numpy()[rows_] if out else np.empty(0, np.int64)
-        at = pa.array(rows_)
-        return pa.table({"doc_id": segments.column("doc_id").take(at), "th": segments.column("th").take(at), "start": pa.array((starts + base).astype(np.int32)), "end": pa.array((ends + base).astype(np.int32))})
+                found = np.array(list(automaton.iter(line)), np.int64).reshape(-1, 2)
+                begin = found[:, 0] - window + 1
+                segment = np.searchsorted(ends, begin, "right")
+                ids = _ids(segments.column("doc_id"))
+                # matches across two segments are none, and first places stay
+                ok = (found[:, 0] < ends[segment]) & (firsts[found[:, 1]] < ids[segment])
+                begin, segment = begin[ok], segment[ok]
+                new = np.ones(len(begin), bool)
+                new[1:] = (segment[1:] != segment[:-1]) | (begin[1:] > begin[:-1] + window)
+                rows = segment[new]
+                base = segments.column("start").to_numpy()[rows] - np.concatenate([[0], ends[:-1]])[rows]
+                starts, stops = begin[new] + base, begin[np.append(new[1:], True)[: len(new)]] + window + base
+        at = pa.array(rows)
+        return pa.table({"doc_id": segments.column("doc_id").take(at), "th": segments.column("th").take(at), "start": pa.array(starts.astype(np.int32)), "end": pa.array(stops.astype(np.int32))})
 
     return spans
 
@@ -180,7 +231,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """(doc_id, text, n_words, n_removed, spans) for every row: kept words joined by single spaces, and the
     removed spans (start, end in words, may touch or overlap).
 
-    Words are separated by ASCII white space and compared as they are. Ids are integers. Rows with a null id
+    Words are separated by ASCII white space and compared as they are, by 64-bit hashes within a shard. Ids are integers. Rows with a null id
     come after all others: they lose what any document with an id has, and take nothing from others. Rows
     with the same id take nothing from each other. Null texts stay null, with no words; texts of fewer words
     than a window stay whole. Windows within one document do not count. Other columns are not looked at.
