@@ -227,6 +227,13 @@ def order_outcomes(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return checked_left_join(orders, order_item_totals(lines), "order_id", validate=None)
 
 
+def order_days(orders: DataFrame, lines: DataFrame, shipments: DataFrame, checked: bool = False) -> DataFrame:
+    """What daily tables need of the order fact: line totals and delivery lead; no customer or place."""
+    dates = keep_present(shipments, ["order_id", "delivery_date"])
+    dated = checked_left_join(order_outcomes(orders, lines), dates, "order_id", _many_to_one(checked))
+    return dated.withColumn("delivery_lead_days", F.datediff("delivery_date", "order_date"))
+
+
 # ---------------------------------------------------------------- customers
 
 

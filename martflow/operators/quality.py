@@ -77,32 +77,32 @@ def null_report(tables: dict[str, DataFrame]) -> DataFrame:
 def column_profile(df: DataFrame, table: str) -> DataFrame:
     """Type, nulls and distinct values per column.
 
-    The columns are turned into (column, value) rows, so all distinct counts share one shuffle and
-    repeated values collapse before it.
+    One aggregate: distinct values are counted in their own types and collapse before its shuffle.
     """
     dtypes = dict(df.dtypes)
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns]
+    counted = df.agg(
+        _rows().alias("rows"),
+        *[F.count_if(_missing(c)).alias(f"_null_{i}") for i, c in enumerate(df.columns)],
+        *[F.count_distinct(c).alias(f"_distinct_{i}") for i, c in enumerate(df.columns)],
     )
-    values = (
-        df.select(F.explode(cells).alias("cell"))
-        .select("cell.*")
-        .groupBy("column", "value")
-        .agg(_rows().alias("n"))
-    )
-    per_column = values.groupBy("column").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count("value").alias("n_unique"),
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(dtypes[c]).alias("dtype"),
+                F.col(f"_null_{i}").alias("null_count"),
+                F.col(f"_distinct_{i}").alias("n_unique"),
+            )
+            for i, c in enumerate(df.columns)
+        ]
     )
-    type_of = F.element_at(F.create_map(*[F.lit(x) for c in df.columns for x in (c, dtypes[c])]), F.col("column"))
-    return per_column.select(
+    return counted.select("rows", F.explode(entries).alias("e")).select(
         F.lit(table).alias("table"),
-        "column",
-        type_of.alias("dtype"),
-        "null_count",
-        F.round(safe_divide(F.col("null_count") * 100.0, "rows"), 2).alias("null_pct"),
-        "n_unique",
+        "e.column",
+        "e.dtype",
+        "e.null_count",
+        F.round(safe_divide(F.col("e.null_count") * 100.0, "rows"), 2).alias("null_pct"),
+        "e.n_unique",
     )
 
 

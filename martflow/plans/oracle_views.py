@@ -10,7 +10,7 @@ VIEWS["v_orders"] = """
 select o_orderkey as order_id, cast(o_orderdate as date) as order_date, o_custkey as customer_id, c_nationkey as zip,
        case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' else 'cancelled' end as order_status,
        o_orderpriority as payment_method
-from orders join customer on o_custkey = c_custkey"""
+from orders left join customer on o_custkey = c_custkey"""
 
 VIEWS["v_order_items"] = """
 select l_orderkey as order_id, l_partkey as product_id, l_quantity as quantity, l_extendedprice / l_quantity as unit_price,
@@ -53,7 +53,7 @@ from lineitem join orders on l_orderkey = o_orderkey where l_returnflag in ('A',
 VIEWS["v_sales"] = """
 select cast(o_orderdate as date) as "Date", sum(l_extendedprice * (1 - l_discount)) as "Revenue",
        sum(l_quantity * 1.6 * p_retailprice) as "COGS"
-from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey group by cast(o_orderdate as date)"""
+from lineitem join orders on l_orderkey = o_orderkey left join part on l_partkey = p_partkey group by cast(o_orderdate as date)"""
 
 VIEWS["v_web_traffic"] = """
 select cast(l_shipdate as date) as "date", l_returnflag as traffic_source, count(*) as sessions,
@@ -77,7 +77,7 @@ select snapshot_date, product_id, category, segment, product_name, units_sold, p
        case when units_sold > 0.8 * p_size then 1 else 0 end as reorder_flag
 from (select last_day(cast(l_shipdate as date)) as snapshot_date, l_partkey as product_id, p_type as category,
              p_brand as segment, p_name as product_name, p_size, sum(l_quantity) as units_sold
-      from lineitem join part on l_partkey = p_partkey
+      from lineitem left join part on l_partkey = p_partkey
       group by last_day(cast(l_shipdate as date)), l_partkey, p_type, p_brand, p_name, p_size) t"""
 
 # ---- loaders

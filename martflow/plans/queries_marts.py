@@ -61,6 +61,10 @@ def order_facts(v: RetailViews, checked: bool = False):
     )
 
 
+def order_days(v: RetailViews):
+    return marts.order_days(v.orders_without_place(), item_lines(v), v.shipments())
+
+
 def line_fact(v: RetailViews):
     return marts.order_line_fact(
         v.order_items(), v.orders(), v.products(), v.payments(), v.shipments(), v.returns(), v.reviews()
@@ -99,7 +103,7 @@ def product_marts(v: RetailViews):
 
 
 def daily_panels(v: RetailViews):
-    return marts.daily_panel(v.sales(), v.web_traffic(), order_facts(v))
+    return marts.daily_panel(v.sales(), v.web_traffic(), order_days(v))
 
 
 def all_marts(v: RetailViews) -> dict:
@@ -204,7 +208,7 @@ QUERIES: dict[str, Query] = {
     ),
     "daily_order_facts": Query(
         "Date:d orders:i order_units:2 promo_orders:i return_orders:i avg_delivery_lead_days:6",
-        lambda v: marts.daily_order_facts(order_facts(v)),
+        lambda v: marts.daily_order_facts(order_days(v)),
         """select order_date as "Date", count(distinct order_id) as orders, coalesce(sum(order_units), 0) as order_units,
                   sum(case when any_promo then 1 else 0 end) as promo_orders, sum(case when any_return then 1 else 0 end) as return_orders,
                   avg(delivery_lead_days) as avg_delivery_lead_days from m_order_fact group by order_date""",

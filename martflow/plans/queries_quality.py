@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from martflow.operators import joins, marts, quality
 from martflow.plans.registry import Query
 from martflow.sources import raw
@@ -55,11 +58,19 @@ def _quoted(names) -> str:
     return ", ".join(f'"{n}"' for n in names)
 
 
+# Columns of the views that are sums or means of doubles.
+SETTLED = {"shipments": ("shipping_fee",), "sales": ("Revenue", "COGS"), "web_traffic": ("bounce_rate", "avg_session_duration_sec")}
+
+
+def _settled_sql(table: str, column: str) -> str:
+    return f'round("{column}", 6)' if column in SETTLED.get(table, ()) else f'"{column}"'
+
+
 def _null_sql(tables) -> str:
     return _union(
         [
             f"""select '{t}' as "table", '{c}' as "column", '{kind}' as dtype, count(*) as n_rows,
-                count(*) - count("{c}") as null_count, count(distinct "{c}") as n_unique from v_{t}"""
+                count(*) - count("{c}") as null_count, count(distinct {_settled_sql(t, c)}) as n_unique from v_{t}"""
             for t in tables
             for c, kind in _columns(t)
         ]
@@ -166,9 +177,11 @@ def _class_sql(name: str) -> str:
     )
 
 
-PROFILED = ("products", "customers", "geography", "orders", "order_items", "payments", "shipments", "returns", "reviews")
-# The shipping fee of the views is a sum of doubles, whose distinct values depend on the order of addition.
-COUNTED = tuple(t for t in PROFILED if t != "shipments")
+def settled_tables(v: RetailViews) -> dict[str, DataFrame]:
+    """All tables; sums of doubles rounded, since their last digits depend on the order of addition."""
+    tables = v.tables()
+    return {n: df.withColumns({c: F.round(c, 6) for c in SETTLED.get(n, ())}) for n, df in tables.items()}
+
 
 QUERIES: dict[str, Query] = {
     "order_level": Query(
@@ -189,8 +202,8 @@ QUERIES: dict[str, Query] = {
     ),
     "null_profile": Query(
         "table column dtype null_count:i null_pct:2 n_unique:i",
-        lambda v: quality.null_profile(v.tables(*COUNTED)),
-        f"select *, round(null_count * 100.0 / n_rows, 2) as null_pct from ({_null_sql(COUNTED)}) x",
+        lambda v: quality.null_profile(settled_tables(v)),
+        f"select *, round(null_count * 100.0 / n_rows, 2) as null_pct from ({_null_sql(TABLE_COLUMNS)}) x",
     ),
     "null_classes": Query(
         "table column null_count:i null_pct:2 null_class",
@@ -295,8 +308,8 @@ QUERIES: dict[str, Query] = {
     ),
     "audit_overview": Query(
         "table rows:i cols:i total_null_values:i null_density_pct:2 duplicate_rows:i duplicate_row_pct:4",
-        lambda v: quality.audit_overview(v.tables(*PROFILED)),
-        _union([_overview_sql(t) for t in PROFILED]),
+        lambda v: quality.audit_overview(v.tables()),
+        _union([_overview_sql(t) for t in TABLE_COLUMNS]),
     ),
     "audit_conclusion": Query(
         "table rows:i cols:i expected_key key_state null_key_rows:i duplicate_key_rows:i grain_check unexpected_null_columns:i "

@@ -36,13 +36,13 @@ class RetailViews:
     def orders(self) -> DataFrame:
         # Only the customer key and nation travel; Spark broadcasts them when small enough.
         place = self.base("customer").selectExpr("c_custkey as customer_id", "c_nationkey as zip")
-        joined = self.orders_without_place().join(place, "customer_id")
+        joined = self.orders_without_place().join(place, "customer_id", "left")
         return joined.select("order_id", "order_date", "customer_id", "zip", "order_status", "payment_method")
 
     def orders_without_place(self) -> DataFrame:
         """Orders for answers that need no zip: spares the join with all customers.
 
-        Every order of the test tables has its customer, so both views hold the same orders.
+        Both views hold the same orders: one whose customer is unknown has no zip there.
         """
         return self.base("orders").selectExpr(
             "o_orderkey as order_id",
@@ -146,7 +146,7 @@ class RetailViews:
         day = self.base("orders").selectExpr("o_orderkey", "cast(o_orderdate as date) as Date")
         return (
             self.base("lineitem")
-            .join(cost, F.expr("l_partkey = p_partkey"))
+            .join(cost, F.expr("l_partkey = p_partkey"), "left")
             .join(day, F.expr("l_orderkey = o_orderkey"))
             .groupBy("Date")
             .agg(
@@ -183,7 +183,7 @@ class RetailViews:
             .groupBy("snapshot_date", "l_partkey")
             .agg(F.expr("sum(l_quantity)").alias("units_sold"))
         )
-        return sold.join(self.base("part"), F.expr("l_partkey = p_partkey")).selectExpr(
+        return sold.join(self.base("part"), F.expr("l_partkey = p_partkey"), "left").selectExpr(
             "snapshot_date",
             "l_partkey as product_id",
             "p_type as category",
