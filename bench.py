@@ -27,6 +27,8 @@ HEADLINE = [
     "sku_pareto", "sku_action_2x2", "sku_action_q70", "sku_buckets", "conversion_funnel", "region_revenue",
     # features and forecast
     "rolling_features", "seasonal_profiles", "forecast_features", "rolling_origin", "metrics", "cogs_corrections",
+    # wide audits and panels
+    "audit_conclusion", "null_classes", "mart_checks", "promo_effect", "promo_gaps", "daily_order_facts", "holiday_forecast_features",
 ]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martflow.plans import queries_answers, queries_forecast, queries_marts, queries_quality
+from martflow.plans import queries_answers, queries_forecast, queries_kpis, queries_marts, queries_quality
 from martflow.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
@@ -10,4 +10,5 @@ QUERIES: dict[str, Query] = {
     **queries_marts.QUERIES,
     **queries_answers.QUERIES,
     **queries_forecast.QUERIES,
+    **queries_kpis.QUERIES,
 }
