@@ -37,8 +37,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    model, counts = hmm.fit_hmm(docs, fold_of("doc_id", 5) != 1)
-    scored = hmm.score_texts(docs, model, counts)
+    model, counts, encoded = hmm.fit_hmm(docs, fold_of("doc_id", 5) != 1)
+    scored = hmm.score_texts(encoded, model, counts)
     held_out = (fold_of("doc_id", 5) == 1).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 

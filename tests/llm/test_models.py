@@ -178,8 +178,8 @@ def test_a_round_over_partitions_equals_one_over_all(spark):
 
 def test_base_scores_equal_brute_force_and_the_model_beats_them(spark, corpus):
     docs = corpus[0].select("doc_id", "text")
-    model, counts = hmm.fit_hmm(docs, fold_of("doc_id", 5) != 1, own_words=500, states=4, sample_rounds=3)
-    scored = {r["doc_id"]: r for r in hmm.score_texts(docs, model, counts).collect()}
+    model, counts, encoded = hmm.fit_hmm(docs, fold_of("doc_id", 5) != 1, own_words=500, states=4, sample_rounds=3)
+    scored = {r["doc_id"]: r for r in hmm.score_texts(encoded, model, counts).collect()}
     rows = [(r["doc_id"], (r["text"] or "").encode().lower().split() + [None]) for r in docs.collect()]
     train: Counter = Counter()
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
@@ -199,10 +199,11 @@ def test_base_scores_equal_brute_force_and_the_model_beats_them(spark, corpus):
 def test_words_and_their_shapes_share_all_probability(spark):
     """Over all known words, one unknown word of each shape, and the end, next-word chances sum to one."""
     docs = spark.createDataFrame([(1, "a b c d e f gg hh ii"), (2, "a b a b jj kk"), (3, "c d e a")], "doc_id bigint, text string")
-    model, counts = hmm.fit_hmm(docs, F.lit(True), own_words=3, states=2, sample_rounds=2)
+    model, counts, encoded = hmm.fit_hmm(docs, F.lit(True), own_words=3, states=2, sample_rounds=2)
     known = sorted(bytes(r["word"]).decode() for r in counts.collect())
     one_word = spark.createDataFrame([(k, w) for k, w in enumerate(known)], "doc_id bigint, text string")
-    scores = {r["doc_id"]: r["score"] for r in hmm.score_texts(one_word, model, counts).collect()}
+    single = hmm.encoded_texts(one_word, F.lit(False), [w for w, _ in model.own], "doc_id", "text")
+    scores = {r["doc_id"]: r["score"] for r in hmm.score_texts(single, model, counts).collect()}
     p = model.parameters
     # P(word, end) for each known word; what is left of each shape goes to its unknown words
     end = hmm._END
@@ -216,12 +217,14 @@ def test_words_and_their_shapes_share_all_probability(spark):
 
 def test_awkward_rows_are_scored(spark, corpus):
     docs = cases.clashing(spark)
-    model, counts = hmm.fit_hmm(docs, fold_of("doc_id", 5) != 1, own_words=10, states=2, sample_rounds=1)
-    rows = hmm.score_texts(docs, model, counts).collect()
+    model, counts, encoded = hmm.fit_hmm(docs, fold_of("doc_id", 5) != 1, own_words=10, states=2, sample_rounds=1)
+    rows = hmm.score_texts(encoded, model, counts).collect()
     assert len(rows) == len(cases.rows())
     by_text: dict = {}
     for r in rows:
         by_text.setdefault(r["th"], set()).add((r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 9)))
     assert all(len(v) == 1 for v in by_text.values())  # copies, repeated rows too, score alike
-    model, counts = hmm.fit_hmm(cases.frame(spark, []), F.lit(True))
-    assert hmm.score_texts(cases.frame(spark), model, counts).count() == len(cases.rows())
+    model, counts, encoded = hmm.fit_hmm(cases.frame(spark, []), F.lit(True))
+    assert hmm.score_texts(encoded, model, counts).count() == 0
+    encoded = hmm.encoded_texts(cases.frame(spark), F.lit(False), [], "doc_id", "text")
+    assert hmm.score_texts(encoded, model, counts).count() == len(cases.rows())
