@@ -31,6 +31,22 @@ def key_is_unique(df: DataFrame, keys: list[str], label: str) -> Column:
     )
 
 
+def keys_are_unique(tables: dict[str, tuple[DataFrame, list[str]]]) -> Column:
+    """Scalar subquery that is true, or fails the query and names the tables whose non-null key repeats.
+
+    One subquery for all tables of a plan, each of which is read once and by its key columns alone.
+    """
+    counted = []
+    for label, (df, keys) in tables.items():
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        most = df.where(known).groupBy(*keys).count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("most"))
+        counted.append(most.select(F.lit(f"{label} ({', '.join(keys)})").alias("key"), "most"))
+    repeated = F.collect_list(F.when(F.col("most") > 1, F.col("key")))
+    message = F.concat(F.lit("join key is not unique in "), F.array_join("repeated", ", "))
+    verdict = F.when(F.size("repeated") > 0, F.raise_error(message)).otherwise(F.lit(True)).cast("boolean")
+    return reduce(DataFrame.unionByName, counted).agg(repeated.alias("repeated")).select(verdict).scalar()
+
+
 def checked_left_join(
     left: DataFrame, right: DataFrame, on: str | list[str], validate: str | None = "m:1", suffix: str = "_right"
 ) -> DataFrame:

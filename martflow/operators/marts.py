@@ -24,7 +24,7 @@ from martflow.functions.expr import (
     zero_if_null,
 )
 from martflow.functions.ordering import running_totals
-from martflow.operators.joins import checked_left_join, key_is_unique
+from martflow.operators.joins import checked_left_join, key_is_unique, keys_are_unique
 
 PROFILE = ["customer_id", "signup_date", "gender", "age_group", "acquisition_channel"]
 PLACE = ["zip", "region", "district"]
@@ -36,6 +36,17 @@ SHIPMENT = ["order_id", "ship_date", "delivery_date", "shipping_fee"]
 # check reads and shuffles the key column once more, which a job over many tables does only once.
 
 
+# Tables joined by key.
+JOIN_KEYS = {
+    "orders": ["order_id"], "products": ["product_id"], "customers": ["customer_id"], "geography": ["zip"],
+    "payments": ["order_id"], "shipments": ["order_id"],
+}
+
+
+def _context_sides(customers, geography, payments, shipments) -> dict[str, DataFrame]:
+    return {"customers": customers, "geography": geography, "payments": payments, "shipments": shipments}
+
+
 def _many_to_one(checked: bool) -> str | None:
     return "m:1" if checked else None
 
@@ -114,13 +125,17 @@ def item_fact(
     returns: DataFrame,
     reviews: DataFrame,
     checked: bool = True,
+    grouped: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Full order-line fact; one row per line, because returns and reviews are summed beforehand."""
-    lines = item_measures(items, products, returns, reviews, checked)
-    context = order_context(orders, customers, geography, payments, shipments, checked)
-    # Left joins on unique keys keep the grain of orders, so only the orders themselves are checked.
+    """Full order-line fact; one row per line, because returns and reviews are summed beforehand.
+
+    ``grouped`` names tables that are summed by their key already and need no check.
+    """
     if checked:
-        lines = lines.where(key_is_unique(orders, ["order_id"], "orders"))
+        sides = {"orders": orders, "products": products, **_context_sides(customers, geography, payments, shipments)}
+        items = items.where(keys_are_unique({n: (df, JOIN_KEYS[n]) for n, df in sides.items() if n not in grouped}))
+    lines = item_measures(items, products, returns, reviews, checked=False)
+    context = order_context(orders, customers, geography, payments, shipments, checked=False)
     return lines.join(context, "order_id", "left").withColumn("order_month", month_key("order_date"))
 
 
@@ -209,9 +224,13 @@ def order_fact(
     payments: DataFrame,
     shipments: DataFrame,
     checked: bool = True,
+    grouped: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Order fact; ``lines`` needs the columns of :func:`item_measures`."""
-    context = order_context(orders, customers, geography, payments, shipments, checked)
+    """Order fact; ``lines`` needs the columns of :func:`item_measures`. For ``grouped`` see item_fact."""
+    if checked:
+        sides = _context_sides(customers, geography, payments, shipments)
+        orders = orders.where(keys_are_unique({n: (df, JOIN_KEYS[n]) for n, df in sides.items() if n not in grouped}))
+    context = order_context(orders, customers, geography, payments, shipments, checked=False)
     fact = checked_left_join(context, order_item_totals(lines), "order_id", validate=None)
     return fact.withColumns(
         {

@@ -30,16 +30,9 @@ def write_joined_tables(t: dict[str, DataFrame], interim_dir: str) -> dict[str,
     return {name: save_layer(df, interim_dir, name) for name, df in built.items()}
 
 
-# Tables joined by key, whose keys must be unique.
-JOINED_BY_KEY = {
-    "orders": ["order_id"], "products": ["product_id"], "customers": ["customer_id"], "geography": ["zip"],
-    "payments": ["order_id"], "shipments": ["order_id"],
-}
-
-
 def require_join_keys(t: dict[str, DataFrame]) -> None:
     """Check every join key once, before any fact is built on it."""
-    quality.require_unique({name: (t[name], key) for name, key in JOINED_BY_KEY.items() if name in t})
+    quality.require_unique({name: (t[name], key) for name, key in marts.JOIN_KEYS.items() if name in t})
 
 
 def build_facts(t: dict[str, DataFrame], interim_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -57,7 +57,7 @@ PRODUCT_MONTH = (
 
 def order_facts(v: RetailViews, checked: bool = False):
     return marts.order_fact(
-        v.orders(), item_lines(v), v.customers(), v.geography(), v.payments(), v.shipments(), checked
+        v.orders(), item_lines(v), v.customers(), v.geography(), v.payments(), v.shipments(), checked, grouped=("shipments",)
     )
 
 
@@ -84,7 +84,7 @@ def item_facts(v: RetailViews, checked: bool = False):
     t = v.tables()
     return marts.item_fact(
         t["order_items"], t["orders"], t["products"], t["customers"], t["geography"], t["payments"],
-        t["shipments"], t["returns"], t["reviews"], checked,
+        t["shipments"], t["returns"], t["reviews"], checked, grouped=("shipments",),
     )
 
 
