@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -53,7 +53,7 @@ def _byte_of_char() -> dict[str, int]:
 class Codec(dict):
     """Encoder and decoder of one vocabulary file. As a dict it keeps the ids of recent runs, as int32 bytes."""
 
-    LIMIT = 400_000
+    LIMIT = 120_000
 
     def __init__(self, path: str):
         super().__init__()
@@ -63,10 +63,7 @@ class Codec(dict):
         specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in specials}
         self.specials = specials
-        self.fast = tiktoken.Encoding("bpe", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.exact = Tokenizer.from_file(path)
-        self.exact.no_padding()
-        self.exact.no_truncation()
+        self.path, self.ranks = path, ranks
         self.text_of = [b""] * (max([*ranks.values(), *specials.values()]) + 1)
         for text, i in ranks.items():
             self.text_of[i] = text
@@ -74,6 +71,18 @@ class Codec(dict):
             self.text_of[i] = text.encode()
         self.size_of = np.array([len(t) for t in self.text_of], np.int64)
 
+    @cached_property
+    def fast(self) -> tiktoken.Encoding:
+        """Built when a text is encoded: what only decodes does without it."""
+        return tiktoken.Encoding("bpe", pat_str=_SPLIT, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def exact(self) -> Tokenizer:
+        found = Tokenizer.from_file(self.path)
+        found.no_padding()
+        found.no_truncation()
+        return found
+
     def plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens. The two libraries know different versions of Unicode,
         so that only letters of old blocks go the faster way."""
@@ -306,7 +315,8 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, ids: str = "ids", text: str
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                yield work(batch.slice(start, 2000))
+            for start in range(0, batch.num_rows, 1000):
+                yield work(batch.slice(start, 1000))
+        pa.default_memory_pool().release_unused()
 
     return encoded.drop(text).mapInArrow(run, schema)

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Texts of a batch that are worked on at once take about this many bytes at most.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -97,6 +97,8 @@ def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: s
             out = work(batch)
             if out is not None:
                 yield out
+        # workers are used again and again: what this task has freed goes back to the system
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -104,7 +106,7 @@ def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: s
 class WordHashes(dict):
     """64-bit hashes of words (bytes). Kept words are bounded; the table starts anew when full."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

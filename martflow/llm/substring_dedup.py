@@ -10,7 +10,7 @@ whose words also stand in a document with a smaller id; the first document keeps
    An anchor that very many documents have is dealt over several salts of its shard.
 3. *Confirming.* A shard finds the smallest id of each window; windows of one document only are left.
 4. *Automata.* A shard compiles its confirmed windows into one Aho-Corasick automaton over words (each
-   distinct word of the shard is one symbol) and streams every segment through it: each occurrence of a
+   distinct word of the shard is the same few symbols) and streams every segment through it: each occurrence of a
    window in a later document becomes a span of words.
 5. The spans of a document meet its text again, which has been shuffled once for both uses.
 """
@@ -30,7 +30,7 @@ from martflow.llm.common import WordHashes, as_bytes, gram_hashes, per_slice, wr
 WINDOW = 13
 ANCHOR = 5
 #: Segments that one task of a shard gets, roughly.
-SHARD_SEGMENTS = 40_000
+SHARD_SEGMENTS = 20_000
 #: The id of rows whose id is null: they come after all others.
 _LAST = np.iinfo(np.int64).max
 
@@ -172,6 +172,20 @@ def _local_firsts(window: int):
     return firsts
 
 
+def _as_symbols(words: np.ndarray) -> tuple[str, int]:
+    """Each distinct word as the same number of characters, and that number.
+
+    The automaton looks through the children of a node one by one, so a word is written in digits of
+    base 512. Every digit has an alphabet of its own: matches only start where words start.
+    """
+    distinct, codes = np.unique(words, return_inverse=True)
+    width = max(1, -(-(max(1, len(distinct) - 1)).bit_length() // 9))
+    digits = np.empty((len(words), width), np.uint32)
+    for d in range(width):
+        digits[:, d] = (codes >> (9 * d) & 511) + (256 + 512 * d)
+    return digits.tobytes().decode("utf-32-le"), width
+
+
 def _occurrences(window: int):
     """Spans (doc_id, th, start, end) of words that a confirmed window of an earlier document covers."""
 
@@ -181,18 +195,16 @@ def _occurrences(window: int):
             words, ends = _shard_words(segments)
             windows, at, _ = _shard_windows(words, ends, window)
             firsts = confirmed.column("low").to_numpy()
-            # one symbol for each distinct word, above the ASCII range and without the surrogates
-            codes = np.unique(words, return_inverse=True)[1].astype(np.uint32) + 256
-            codes[codes >= 0xD800] += 0x800
-            line = codes.tobytes().decode("utf-32-le")
+            line, width = _as_symbols(words)
             distinct, places = np.unique(windows, return_index=True)
             known, _, which = np.intersect1d(distinct, confirmed.column("win").to_numpy(), return_indices=True)
             automaton = ahocorasick.Automaton()
             for place, which_first in zip(at[places[np.searchsorted(distinct, known)]].tolist(), which.tolist()):
-                automaton.add_word(line[place : place + window], which_first)
+                automaton.add_word(line[place * width : (place + window) * width], which_first)
             if len(automaton):
                 automaton.make_automaton()
                 found = np.array(list(automaton.iter(line)), np.int64).reshape(-1, 2)
+                found[:, 0] //= width
                 begin = found[:, 0] - window + 1
                 segment = np.searchsorted(ends, begin, "right")
                 ids = _ids(segments.column("doc_id"))
