@@ -17,6 +17,7 @@ whose words also stand in a document with a smaller id; the first document keeps
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -139,11 +140,17 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
     return column.fill_null(_LAST).to_numpy()
 
 
+@lru_cache(maxsize=1)
+def _shard_hashes() -> WordHashes:
+    """Word hashes that the shards of one worker share."""
+    return WordHashes()
+
+
 def _shard_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all segments in a row, and the end of each segment."""
     texts = as_bytes(table.column("words").combine_chunks())
     ends = np.cumsum([t.count(b" ") + 1 for t in texts], dtype=np.int64)
-    return WordHashes().of(b" ".join(texts).split(b" ")), ends
+    return _shard_hashes().of(b" ".join(texts).split(b" ")), ends
 
 
 def _shard_windows(words: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
