@@ -319,14 +319,9 @@ QUERIES: dict[str, Query] = {
     ),
     "missing_payment_rows": Query(
         "order_id:i order_status payment_method payment_value:2 installments:i",
-        # Shipped-side check: orders joined to the payments of orders with lines, so gaps exist.
-        lambda v: quality.missing_payment_rows(
-            joins.orders_payments(
-                v.orders(), v.payments().join(v.order_items().select("order_id").distinct(), "order_id", "left_semi")
-            )
-        ),
+        lambda v: quality.missing_payment_rows(joins.orders_payments(v.orders(), v.payments())),
         """select o.order_id, o.order_status, o.payment_method, p.payment_value, p.installments from v_orders o
-           left join (select * from v_payments where order_id in (select order_id from v_order_items)) p on o.order_id = p.order_id
+           left join v_payments p on o.order_id = p.order_id
            where o.payment_method is null or p.payment_value is null or p.installments is null""",
     ),
     "join_log": Query(

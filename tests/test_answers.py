@@ -198,3 +198,30 @@ def test_sku_ops_falls_back_to_listed_revenue(spark, shop):
     assert (rows[1]["revenue"], rows[3]["revenue"]) == (12.5, 0.0)
     kept = by_key(products.sku_ops(panel.withColumn("item_revenue", F.lit(3.0)), listed), "product_id")
     assert (kept[1]["revenue"], kept[3]["revenue"]) == (3.0, 3.0)
+
+
+def test_every_day_is_scored_and_the_top_is_cut_from_it(spark):
+    start = date(2020, 1, 1)
+    values = [10.0, 12.0] * 20 + [100.0, 90.0]
+    scored = revenue.scored_revenue(daily(spark, [(start + timedelta(i), v, 1.0) for i, v in enumerate(values)]))
+    rows = scored.orderBy("Date").collect()
+    assert len(rows) == len(values) and not any(r["is_anomaly"] for r in rows[:40]) and rows[40]["is_anomaly"]
+    assert rows[0]["z_score"] is None and revenue.top_anomalies(scored, top=1).count() == 1
+
+
+def test_orders_without_customer_leave_the_promotion_answer(spark):
+    lines = spark.createDataFrame(
+        [(1, 1, date(2020, 1, 1), 5.0, 6.0, 1.0, 0.0, 1), (2, None, date(2020, 1, 1), 5.0, 6.0, 1.0, 0.0, 1)],
+        "order_id bigint, customer_id bigint, order_date date, net_item_revenue double, gross_merch_value double, gross_profit double, discount_amount double, promo_used_flag int",
+    )
+    assert [r["order_id"] for r in promotions.promo_order_level(lines).collect()] == [1]
+
+
+def test_repeats_follow_the_last_order_of_a_day(spark):
+    day = [date(2020, 1, 1), date(2020, 1, 20), date(2020, 12, 1)]
+    orders = spark.createDataFrame(
+        [(1, 7, day[0], 1), (2, 7, day[0], 0), (3, 7, day[1], 1), (4, 8, day[0], 1), (5, 8, day[2], 0)],
+        "order_id bigint, customer_id bigint, order_date date, promo_used int",
+    ).selectExpr("*", "1.0D as revenue", "1.0D as gross_merch_value", "1.0D as gross_profit", "0.0D as discount_amount")
+    found = {(r["order_date"], r["promo_used"]): (r["orders"], r["repeated"]) for r in promotions.promo_days(orders).collect()}
+    assert found == {(day[0], 1): (2, 0), (day[0], 0): (1, 1), (day[1], 1): (1, 0), (day[2], 0): (1, 0)}

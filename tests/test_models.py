@@ -77,3 +77,15 @@ def test_importance_lists_every_feature(seasonal_sales):
 def test_feature_lists_have_the_published_sizes():
     assert len(features.FORECAST_FEATURES) == len(set(features.FORECAST_FEATURES)) == 33
     assert len(features.HOLIDAY_FEATURES) == len(set(features.HOLIDAY_FEATURES)) == 39
+
+
+def test_preprocessing_takes_booleans_as_numbers_and_exact_medians(spark):
+    rows = [(float(i), i % 3 == 0, "x") for i in range(1001)] + [(None, None, None)]
+    prep = models.fit_preprocessing(spark.createDataFrame(rows, "v double, b boolean, c string"), ["v", "b", "c"])
+    assert prep.numeric == ["v", "b"] and prep.medians == {"v": 500.0, "b": 0.0}
+
+
+def test_too_many_categories_raise(spark, monkeypatch):
+    monkeypatch.setattr(models, "MAX_CATEGORIES", 2)
+    with pytest.raises(ValueError, match="categories"):
+        models.fit_preprocessing(spark.createDataFrame([("a",), ("b",), ("c",)], "c string"), ["c"])

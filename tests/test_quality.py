@@ -140,3 +140,10 @@ def test_require_unique_names_the_table(shop):
     quality.require_unique({"orders": (shop["orders"], ["order_id"])})
     with pytest.raises(ValueError, match="orders .order_id.: 6"):
         quality.require_unique({"orders": (shop["orders"].union(shop["orders"]), ["order_id"]), "geo": (shop["geography"], ["zip"])})
+
+
+def test_an_order_without_a_known_customer_shows(shop, spark):
+    orders = shop["orders"].unionByName(shop["orders"].limit(1).selectExpr("99L as order_id", "order_date", "404L as customer_id", "zip", "order_status", "payment_method", "device_type", "order_source"))
+    joined = joins.orders_customers(orders, shop["customers"])
+    status = [c for c in joined.columns if "status" in c and c != "order_status"][0]
+    assert [r["order_id"] for r in joined.where(f"{status} = 'left_only'").collect()] == [99]
