@@ -67,3 +67,20 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), FALSE) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
+
+OP8 = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[pos : pos + 3], ' ') AS k
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 3) + 1)) AS pos FROM w WHERE len(ws) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS (
+    SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+    JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= 85 * (nx.n + ny.n - shared)
+), r AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x
+)
+SELECT x AS doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(y) AS component_id FROM r LEFT JOIN n ON n.doc_id = x GROUP BY x
+"""
