@@ -228,3 +228,21 @@ def test_awkward_rows_are_scored(spark, corpus):
     assert hmm.score_texts(encoded, model, counts).count() == 0
     encoded = hmm.encoded_texts(cases.frame(spark), F.lit(False), [], "doc_id", "text")
     assert hmm.score_texts(encoded, model, counts).count() == len(cases.rows())
+
+
+def test_rounds_cover_all_texts_and_the_sample_stays_bounded(spark, monkeypatch):
+    """Copies are drawn apart, long texts are drawn too, and several rounds by default see every text."""
+    samples, rounds = [], []
+    expected, summed = hmm.expected_counts, hmm._summed_counts
+    monkeypatch.setattr(hmm, "SAMPLE_TOKENS", 50)
+    monkeypatch.setattr(hmm, "expected_counts", lambda symbols, p: (samples.append([len(x) for x in symbols]), expected(symbols, p))[1])
+    monkeypatch.setattr(hmm, "_summed_counts", lambda encoded, p, wide: (rounds.append(encoded.count()), summed(encoded, p, wide))[1])
+    rows = [(k, f"a b c d e {k // 400}") for k in range(1600)] + [(1600 + k, "a b c " * 40 + str(k)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model, _, _ = hmm.fit_hmm(docs, F.lit(True), own_words=10, sample_texts=200)
+    assert len(rounds) > 1 and set(rounds) == {2000} and len(model.parameters.start) == 12
+    assert all(100 < len(s) < 300 and sum(n == 50 for n in s) > 10 and max(s) == 50 for s in samples[: hmm.SAMPLE_ROUNDS])
+    same_rows = spark.createDataFrame([(1, "a b c")] * 900, "doc_id bigint, text string")
+    samples.clear()
+    hmm.fit_hmm(same_rows, F.lit(True), own_words=10, states=2, sample_texts=50, full_rounds=0)
+    assert all(len(s) <= 200 for s in samples)
