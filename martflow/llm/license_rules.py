@@ -115,12 +115,12 @@ _NAMED: tuple[tuple[str, str, str, str], ...] = (
 _PHRASES: tuple[tuple[str, int, str, str], ...] = (
     ("mit", TEXT, "permission is hereby granted", r"permission_is_hereby_granted_free_of_charge_to_any_person_obtaining_a_copy"),
     ("mit", TEXT, "above copyright notice and this permission notice", r"the_above_copyright_notice_and_this_permission_notice_shall_be_included"),
-    ("mit", TEXT, "under the mit license", r"under_the_mit_license\b"),
+    ("mit", TEXT, "under the mit license", r"under_the_mit_license(?![a-z0-9])"),
     ("isc", TEXT, "to use, copy, modify", r"permission_to_use_copy_modify_and_or_distribute_this_software"),
     ("bsd-3", TEXT, "neither the name", r"neither_the_name_of_.{1,80}?_nor_the_names_of_its_contributors"),
     ("bsd-2", TEXT, "redistribution and use", r"redistribution_and_use_in_source_and_binary_forms_with_or_without_modification"),
     ("bsd-4", TEXT, "all advertising materials", r"all_advertising_materials_mentioning_features_or_use_of_this_software"),
-    ("apache-2", TEXT, "apache license", r"apache_license_version_2\b"),
+    ("apache-2", TEXT, "apache license", r"apache_license_version_2(?![a-z0-9])"),
     ("apache-2", TEXT, "apache.org/licenses/license-2.0", r"apache\.org/licenses/license-2\.0"),
     ("gpl-3-plus", TEXT, "either version 3", r"either_version_3_of_the_license_or_(?:\(at_your_option\)_?)?any_later_version"),
     ("gpl-2-plus", TEXT, "either version 2", r"either_version_2_of_the_license_or_(?:\(at_your_option\)_?)?any_later_version"),
@@ -149,12 +149,12 @@ _PHRASES: tuple[tuple[str, int, str, str], ...] = (
     ("unlicense", TEXT, "unlicense.org", r"unlicense\.org"),
     ("zlib", TEXT, "as-is", r"this_software_is_provided_'?as_is'?_without_any_express_or_implied_warranty"),
     ("wtfpl", NAME, "wtfpl", r"\bwtfpl\b"),
-    ("cc-by-nc", TEXT, "cc", r"\bcc_by_nc\b"),
-    ("cc-by-nc-sa", TEXT, "cc", r"\bcc_by_nc_sa(?:_[1-4]\.0)?"),
-    ("cc-by-nc-nd", TEXT, "cc", r"\bcc_by_nc_nd(?:_[1-4]\.0)?"),
-    ("cc-by-sa", TEXT, "cc", r"\bcc_by_sa(?:_[1-4]\.0)?"),
-    ("cc-by-nd", TEXT, "cc", r"\bcc_by_nd(?:_[1-4]\.0)?"),
-    ("cc-by", TEXT, "cc", r"\bcc_by(?:_[1-4]\.0)?\b"),
+    ("cc-by-nc", TEXT, "cc", r"(?<![a-z0-9])cc_by_nc(?![a-z0-9])"),
+    ("cc-by-nc-sa", TEXT, "cc", r"(?<![a-z0-9])cc_by_nc_sa(?:_[1-4]\.0)?"),
+    ("cc-by-nc-nd", TEXT, "cc", r"(?<![a-z0-9])cc_by_nc_nd(?:_[1-4]\.0)?"),
+    ("cc-by-sa", TEXT, "cc", r"(?<![a-z0-9])cc_by_sa(?:_[1-4]\.0)?"),
+    ("cc-by-nd", TEXT, "cc", r"(?<![a-z0-9])cc_by_nd(?:_[1-4]\.0)?"),
+    ("cc-by", TEXT, "cc", r"(?<![a-z0-9])cc_by(?:_[1-4]\.0)?(?![a-z0-9])"),
     ("cc-by", TEXT, "creativecommons.org", r"creativecommons\.org/licenses/by/[1-4]\.0"),
     ("cc-by-sa", TEXT, "creativecommons.org", r"creativecommons\.org/licenses/by-sa/[1-4]\.0"),
     ("cc-by-nc", TEXT, "creativecommons.org", r"creativecommons\.org/licenses/by-nc/[1-4]\.0"),

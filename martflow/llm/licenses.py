@@ -19,8 +19,8 @@ BASE_PHRASES: dict[str, str] = {"under the mit license": "mit", "apache license
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _NOT_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Any signature's keyword or base phrase needs one of these.
-_ANY = r"(?i)licen[cs]|copyright|creative|©|\bcc|gpl|bsd|wtfpl|cddl|public|rights|derechos|droits|rechte|proprietary|prohibited|as.is|granted|redistribution|advertising|neither|permission|\bmit\b|unicode|zlib|rail|boost\.org|mozilla\.org|apache|cecill|mulan"
+#: Any signature's keyword or base phrase needs one of these. An underscore ends a word, unlike at ``\b``.
+_ANY = r"(?i)licen[cs]|copyright|creative|©|(?<![a-z0-9])cc|gpl|bsd|wtfpl|cddl|public|rights|derechos|droits|rechte|proprietary|prohibited|as.is|granted|redistribution|advertising|neither|permission|(?<![a-z0-9])mit(?![a-z0-9])|unicode|zlib|rail|boost\.org|mozilla\.org|apache|cecill|mulan"
 #: How sure a match of each priority is.
 _SURE = {1: 1.0, 2: 0.95, 3: 0.8, 4: 0.4}
 

@@ -115,6 +115,16 @@ def test_phrases_equal_brute_force(spark):
     assert got == sorted(((i, *naive_places(t)) for i, t, *_ in cases.rows() + extra), key=repr)
 
 
+def test_phrases_between_underscores_equal_brute_force(spark):
+    joined = [f"{a}{gap.join(phrase.split())}{b}" for phrase in licenses.BASE_PHRASES for gap in (" ", "_") for a in ("", "_", "x_", "x", "9", "é") for b in ("", "_", "_4.0_", "x")]
+    rows = [(k, t, None, None, None) for k, t in enumerate([*joined, "photo by Ann, _CC BY-NC 4.0_", "img_cc_by_nc.png"])]
+    found = licenses.license_scan(cases.frame(spark, rows)).collect()
+    got = sorted((r["doc_id"], r["n_words"], sorted((b["word"], b["label"]) for b in r["base"])) for r in found)
+    assert got == sorted((i, *naive_places(t)) for i, t, *_ in rows)
+    labels = {r["text"]: {d["label"] for d in r["licenses"]} for r in found}
+    assert "cc-by-nc" in labels["photo by Ann, _CC BY-NC 4.0_"] and "mit" in labels["x_under the mit license_"]
+
+
 @pytest.mark.parametrize(
     "text, labels",
     [
