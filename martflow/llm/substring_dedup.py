@@ -7,7 +7,8 @@ whose words also stand in a document with a smaller id; the first document keeps
    windows have equal anchors, and about one run in five is one. Anchors that only one document has
    cannot lie in a recurring window.
 2. *Segments.* Around each anchor that recurs, the words of its windows are sent to the anchor's shard.
-   An anchor that very many documents have is dealt over several salts of its shard.
+   An anchor that has very many segments is dealt over several salts of its shard, segment by segment,
+   so that the segments of exact copies and of one periodic text are spread too.
 3. *Confirming.* A shard finds the smallest id of each window; windows of one document only are left.
 4. *Automata.* A shard compiles its confirmed windows into one Aho-Corasick automaton over words (each
    distinct word of the shard is the same few symbols) and streams every segment through it: each occurrence of a
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import WordHashes, as_bytes, gram_hashes, per_slice, written
+from martflow.llm.common import WordHashes, as_bytes, gram_hashes, mixed, per_slice, written
 
 WINDOW = 13
 ANCHOR = 5
@@ -65,28 +66,37 @@ def _inside(n: int, ends: np.ndarray, window: int) -> np.ndarray:
 
 
 def _anchor_rows(window: int, anchor: int):
+    """Rows (doc_id, th, anchor, n) of each text: its anchors, and how many segments each will have."""
     hashes = WordHashes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, ends = _words_of(as_bytes(batch.column("text")))
-        grams = window_anchors(hashes.of(words), window, anchor)[1]
+        place, grams = window_anchors(hashes.of(words), window, anchor)
         inside = _inside(len(grams), ends, window)
         rows = np.searchsorted(ends, np.flatnonzero(inside), "right")
-        grams = grams[inside]
-        # once for each text: neighbouring windows mostly share their anchor
+        place, grams = place[inside], grams[inside]
+        # once for each place: neighbouring windows mostly share their anchor, and make one segment
         first = np.ones(len(grams), bool)
-        first[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
+        first[1:] = (place[1:] != place[:-1]) | (rows[1:] != rows[:-1])
         rows, grams = rows[first], grams[first]
         order = np.lexsort((grams, rows))
         rows, grams = rows[order], grams[order]
         first = np.ones(len(grams), bool)
         first[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
-        at = pa.array(rows[first])
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(grams[first])], names=["doc_id", "th", "anchor"])
+        begin = np.flatnonzero(first)
+        at = pa.array(rows[begin])
+        times = np.diff(np.append(begin, len(grams)))
+        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(grams[begin]), pa.array(times.astype(np.int64))], names=["doc_id", "th", "anchor", "n"])
 
     return per_slice(work, "text")
 
 
+def _salts_of(ids: np.ndarray, th: np.ndarray, starts: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    """A salt below ``salts`` for each segment, by document, text and place."""
+    seen = mixed(mixed(ids.view(np.uint64)) ^ th.view(np.uint64)) + starts.astype(np.uint64)
+    return (mixed(seen) % np.maximum(salts, 1).astype(np.uint64)).astype(np.int64)
+
+
 def _segment_rows(window: int, anchor: int, shards: int):
     """Rows (shard, salt, salts, doc_id, th, start, words) around the recurring anchors of each text."""
     hashes = WordHashes()
@@ -113,10 +123,11 @@ def _segment_rows(window: int, anchor: int, shards: int):
         rows = row_of[firsts]
         k = salts[low[firsts]] if len(firsts) else np.empty(0, np.int64)
         th = batch.column("th").to_numpy(zero_copy_only=False)[rows]
+        ids = _ids(batch.column("doc_id"))[rows]
         text = [b" ".join(words[s : e + window]) for s, e in zip(firsts.tolist(), lasts.tolist())]
         at = pa.array(rows)
-        starts = np.concatenate([[0], ends[:-1]])
-        columns = [pa.array(grams[firsts] % shards), pa.array(th % np.maximum(k, 1)), pa.array(k), batch.column("doc_id").take(at), pa.array(th), pa.array((firsts - starts[rows]).astype(np.int32)), pa.array(text, pa.binary()).cast(pa.string())]
+        starts = firsts - np.concatenate([[0], ends[:-1]])[rows]
+        columns = [pa.array(grams[firsts] % shards), pa.array(_salts_of(ids, th, starts, k)), pa.array(k), batch.column("doc_id").take(at), pa.array(th), pa.array(starts.astype(np.int32)), pa.array(text, pa.binary()).cast(pa.string())]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "salt", "salts", "doc_id", "th", "start", "words"])
 
     return per_slice(work, "text")
@@ -136,8 +147,8 @@ def _search_within(keys: np.ndarray, begin: np.ndarray, stop: np.ndarray, values
 _SEGMENT = "shard bigint, salt bigint, salts bigint, doc_id bigint, th bigint, start int, words string"
 
 
-def _ids(column: pa.ChunkedArray) -> np.ndarray:
-    return column.fill_null(_LAST).to_numpy()
+def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.asarray(column.fill_null(_LAST), np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -257,12 +268,12 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     anchor = min(ANCHOR, window)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
-    anchors = rows.mapInArrow(_anchor_rows(window, anchor), "doc_id bigint, th bigint, anchor bigint")
-    recurring = written(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "anchors")
-    total = recurring.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    anchors = rows.mapInArrow(_anchor_rows(window, anchor), "doc_id bigint, th bigint, anchor bigint, n bigint")
+    recurring = written(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")).where("c > 1"), "anchors")
+    total = recurring.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_segments))
 
-    salted = recurring.select("anchor", F.ceil(F.col("c") / shard_segments).cast("bigint").alias("salts"))
+    salted = recurring.select("anchor", F.ceil(F.col("n") / shard_segments).cast("bigint").alias("salts"))
     wanted = anchors.join(salted, "anchor").groupBy("doc_id", "th").agg(F.collect_set(F.struct("anchor", "salts")).alias("wanted"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
     chosen = rows.join(wanted, same(rows, wanted)).select(rows["doc_id"], rows["text"], rows["th"], "wanted")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,23 @@ def test_substrings_with_clashing_columns_and_empty_tables(spark):
     assert substring_dedup.dedup_substrings(cases.frame(spark, [])).count() == 0
 
 
+def test_segments_of_copies_and_of_a_periodic_text_are_spread(spark):
+    text = " ".join(cases.words(20, 7).split() * 30)
+    ids, th = pa.array([*range(99), None], pa.int64()), pa.array([-5] * 100, pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, th, pa.array([text] * 100)], names=["doc_id", "th", "text"])
+    anchors = pa.Table.from_batches(substring_dedup._anchor_rows(13, 5)([batch])).to_pylist()
+    of_one = [{"anchor": a["anchor"], "salts": 8} for a in anchors if a["doc_id"] == 0]
+    wanted = pa.array([of_one] * 100, pa.list_(pa.struct([("anchor", pa.int64()), ("salts", pa.int64())])))
+    segments = pa.Table.from_batches(substring_dedup._segment_rows(13, 5, 1)([batch.append_column("wanted", wanted)])).to_pylist()
+    assert sum(a["n"] for a in anchors) == len(segments) > 10 * len(anchors)
+    for own in (segments, [s for s in segments if s["start"] == 0], [s for s in segments if s["doc_id"] == 3]):
+        sizes = np.bincount([s["salt"] for s in own], minlength=8)
+        assert len(sizes) == 8 and sizes.min() > 0 and sizes.max() < 3 * len(own) / 8
+    rows = [(k, text if k % 2 else text + " end", "en", "s", 1) for k in range(30)]
+    found = substring_dedup.dedup_substrings(cases.frame(spark, rows), shard_segments=10)
+    assert cases.tuples(found, "doc_id", "text", "n_words", "n_removed") == naive_substrings(rows, 13)
+
+
 def test_every_window_holds_its_anchor():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 50, 500).astype(np.uint64)
