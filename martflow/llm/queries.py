@@ -6,16 +6,35 @@ contract from the operator's real outputs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import bpe, compression_quality, decontamination, hmm, language_id, licenses, line_dedup, ngram_join, oracles, quality_rules, substring_dedup
-from martflow.llm.common import fold_of, read_table
+from martflow.llm import (
+    bpe,
+    compression_quality,
+    decontamination,
+    hmm,
+    language_id,
+    licenses,
+    line_dedup,
+    ngram_join,
+    oracles,
+    periodic_runs,
+    quality_rules,
+    substring_dedup,
+    token_frames,
+    whitening,
+)
+from martflow.llm.common import fold_of, read_table, shared_folder
 
 BPE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCAB = public_tokenizers.path("word_bpe_49k.json")
+#: The token that op 11 appends to each document.
+END_ID = 2
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +126,61 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = token_frames.encode_words(read_table(spark, sf_dir, "documents"), WORD_VOCAB)
+    folder = f"{shared_folder(spark).rstrip('/')}/token-frames-{uuid.uuid4().hex}"
+    found = token_frames.read_tokens(spark, token_frames.write_tokens(encoded, folder, END_ID))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) as the contract of op 12 has it: the words of every tenth document become periodic."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    parts = (
+        docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.coalesce(h % 10 == 0, F.lit(False)).alias("chosen"))
+        .withColumn("w", F.when(F.col("chosen"), F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")))
+        .withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
+        .withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+        .withColumn("p", F.when(F.col("n") > 0, F.expr("cast(1 + (n - a) div (3 + g % 8) as int)")))
+    )
+    repeated = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), F.col("n") - F.col("a")))
+    return parts.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_periods(read_table(spark, sf_dir, "documents")))
+    ordered = F.sort_array(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"], r["period"])))
+    best = found.withColumn("best", F.get(ordered, F.lit(0)))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.shorter")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.shorter div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        "vec_id", F.posexplode_outer("whitened").alias("at", "whitened"), "n", "deviation", "explained", "identity_error"
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        "n",
+        # a sum beyond 64 bits has no long: null; the operator has it as a decimal
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        "whitened",
+        F.get("explained", F.col("at")).alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -118,6 +192,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_licenses": op10_licenses,
+    "op11_token_frames": op11_token_frames,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_whitening": op13_whitening,
 }
 
 #: The other queries depend on trained models, a tokenizer, or regular expressions that DuckDB lacks.
@@ -126,4 +203,5 @@ ORACLES: dict[str, str | None] = {
     "op3_line_dedup": oracles.OP3,
     "op7_decontamination": oracles.OP7,
     "op8_ngram_join": oracles.OP8,
+    "op12_periodic_runs": oracles.OP12,
 }
