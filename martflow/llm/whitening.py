@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import NamedTuple
 
 import numpy as np
@@ -88,7 +89,8 @@ def whole_vectors(column: pa.Array, scale: float) -> tuple[np.ndarray, np.ndarra
 def _of_size(entries: np.ndarray, sizes: np.ndarray, usable: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray]:
     """The usable vectors of one length as a matrix, and their rows."""
     chosen = usable & (sizes == dims)
-    return entries[np.repeat(chosen, sizes)].reshape(-1, dims), np.flatnonzero(chosen)
+    rows = np.flatnonzero(chosen)
+    return entries[np.repeat(chosen, sizes)].reshape(len(rows), dims), rows
 
 
 def _packed(x: np.ndarray) -> list[bytes]:
@@ -140,8 +142,6 @@ def _sums(fit: DataFrame, dims: int) -> tuple[int, list[int]]:
             safe = int(np.abs(x).max(initial=0)) < (1 << 62) // _ROWS
             total += (x if safe else x.astype(object)).sum(axis=0).astype(object)
         if n:
-            from decimal import Decimal
-
             values = [Decimal(int(v)) for v in (n, *total)]
             yield pa.RecordBatch.from_arrays([pa.array(range(dims + 1), pa.int32()), pa.array(values, pa.decimal128(38, 0))], names=["at", "s"])
 
