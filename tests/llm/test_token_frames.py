@@ -45,7 +45,27 @@ def test_ids_are_the_library_s(library):
     marks = [chr(c) for c in (*range(0x250), 0x301, 0x3A3, 0x85, 0x2028, 0x3000, 0x1F642, 0xD7, 0x4E2D, 0x130)]
     texts = TEXTS + ["".join(rng.choice(marks, 40)) for _ in range(400)]
     codec = token_frames.word_codec(queries.WORD_VOCAB)
-    assert [ids_of(codec.encode(t.encode())) for t in texts] == [library(t) for t in texts]
+    assert [ids_of(x) for x in codec.encode([*(t.encode() for t in texts), None, b""])] == [*map(library, texts), [], []]
+
+
+def test_both_ways_of_merging_agree(library):
+    """Random letters, as only they reach unusual merges, and all tokens of the vocabulary themselves."""
+    rng = np.random.default_rng(6)
+    letters = list("eeettaaooiinnsshhrrddllcumwfgypbvkjxqz") + ["é", "ü", "ß", "ñ", "0", "7", ".", "'", "&"]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(20_000)]
+    texts += [t.removesuffix("</w>") for t in Tokenizer.from_file(queries.WORD_VOCAB).get_vocab() if t.isascii()]
+    codec = token_frames.WordCodec(queries.WORD_VOCAB)
+    assert codec.fast is not None
+    assert [ids_of(x) for x in codec.encode([t.encode() for t in texts])] == [library(t) for t in texts]
+
+
+def test_the_kept_chunks_start_anew(library, monkeypatch):
+    monkeypatch.setattr(token_frames.WordCodec, "LIMIT", 20)
+    codec = token_frames.WordCodec(queries.WORD_VOCAB)
+    for k in range(5):
+        text = cases.words(15, k) + " " + "long" * 40
+        assert ids_of(codec.encode([text.encode()])[0]) == library(text) and len(codec) < 40
+        assert all(len(chunk) <= codec.LONGEST for chunk in codec)
 
 
 def rows():
