@@ -3,17 +3,20 @@
 A window is ``window`` consecutive words of a document. Words are removed where a window covers them
 whose words also stand in a document with a smaller id; the first document keeps its text.
 
-1. *Anchors.* Of every window, the five-word run with the smallest hash is its anchor (winnowing): equal
-   windows have equal anchors, and about one run in five is one. Anchors that only one document has
-   cannot lie in a recurring window.
-2. *Segments.* Around each anchor that recurs, the words of its windows are sent to the anchor's shard.
+1. *Copies.* Of texts that are equal in full only the one with the smallest id goes through the steps below; the
+   others lose all their words if they have a window at all.
+2. *Anchors.* Of every window, the five-word run with the smallest hash is its anchor (winnowing): equal
+   windows have equal anchors, and about one run in five is one. Each text's anchors are sent, as hashes, to where
+   equal ones meet; those of several texts come back to their texts. Very frequent anchors, known from a sample of
+   texts to recur, are spread over several places.
+3. *Segments.* Around each anchor that recurs, the words of its windows are sent to the anchor's shard.
    An anchor that has very many segments is dealt over several salts of its shard, segment by segment,
-   so that the segments of exact copies and of one periodic text are spread too.
-3. *Confirming.* A shard finds the smallest id of each window; windows of one document only are left.
-4. *Automata.* A shard compiles its confirmed windows into one Aho-Corasick automaton over words (each
+   so that the segments of one periodic text are spread too.
+4. *Confirming.* A shard finds the smallest id of each window; windows of one document only are left.
+5. *Automata.* A shard compiles its confirmed windows into one Aho-Corasick automaton over words (each
    distinct word of the shard is the same few symbols) and streams every segment through it: each occurrence of a
    window in a later document becomes a span of words.
-5. The spans of a document meet its text again, which has been shuffled once for both uses.
+6. The spans of a document meet its text again. Texts are shuffled once for both uses, compressed one by one.
 """
 
 from __future__ import annotations
@@ -24,15 +27,22 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import WordHashes, as_bytes, gram_hashes, mixed, per_slice, written
+from martflow.llm.common import SLICE_BYTES, WordHashes, as_bytes, gram_hashes, mixed, per_slice, written
 
 WINDOW = 13
 ANCHOR = 5
 #: Segments that one task of a shard gets, roughly.
 SHARD_SEGMENTS = 20_000
+#: Texts of which very frequent anchors are learned, roughly, and how often one must occur among them. This only
+#: decides where rows are sent. At most SAMPLE_TEXTS * anchors of a text / HOT_TEXTS anchors are hot.
+SAMPLE_TEXTS, HOT_TEXTS = 20_000, 40
+#: Places over which a hot anchor's texts are spread.
+HOT_PLACES = 64
 #: The id of rows whose id is null: they come after all others.
 _LAST = np.iinfo(np.int64).max
 
@@ -65,32 +75,92 @@ def _inside(n: int, ends: np.ndarray, window: int) -> np.ndarray:
     return left >= window
 
 
-def _anchor_rows(window: int, anchor: int):
-    """Rows (doc_id, th, anchor, n) of each text: its anchors, and how many segments each will have."""
+def _anchor_rows(window: int, anchor: int, hot: np.ndarray | None = None):
+    """Rows (anchor, place, th, n) of each text: its anchors, where they are sent, and how many segments each will have.
+
+    ``hot`` are the very frequent anchors, sorted.
+    """
     hashes = WordHashes()
+    hot = np.empty(0, np.int64) if hot is None else hot
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        th = batch.column("th").to_numpy(zero_copy_only=False)
+        # copies within the batch have the same anchors
+        batch = batch.take(pa.array(np.unique(th, return_index=True)[1]))
+        th = batch.column("th").to_numpy(zero_copy_only=False)
         words, ends = _words_of(as_bytes(batch.column("text")))
-        place, grams = window_anchors(hashes.of(words), window, anchor)
+        at, grams = window_anchors(hashes.of(words), window, anchor)
         inside = _inside(len(grams), ends, window)
         rows = np.searchsorted(ends, np.flatnonzero(inside), "right")
-        place, grams = place[inside], grams[inside]
+        at, grams = at[inside], grams[inside]
         # once for each place: neighbouring windows mostly share their anchor, and make one segment
         first = np.ones(len(grams), bool)
-        first[1:] = (place[1:] != place[:-1]) | (rows[1:] != rows[:-1])
+        first[1:] = (at[1:] != at[:-1]) | (rows[1:] != rows[:-1])
         rows, grams = rows[first], grams[first]
         order = np.lexsort((grams, rows))
         rows, grams = rows[order], grams[order]
         first = np.ones(len(grams), bool)
         first[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
         begin = np.flatnonzero(first)
-        at = pa.array(rows[begin])
         times = np.diff(np.append(begin, len(grams)))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(grams[begin]), pa.array(times.astype(np.int64))], names=["doc_id", "th", "anchor", "n"])
+        grams, th = grams[begin], th[rows[begin]]
+        place = np.where(np.isin(grams, hot), mixed(th.view(np.uint64)) % np.uint64(HOT_PLACES), np.uint64(0))
+        columns = [pa.array(grams), pa.array(place.astype(np.int32)), pa.array(th), pa.array(times.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, names=["anchor", "place", "th", "n"])
 
     return per_slice(work, "text")
 
 
+_ANCHORS = "anchor bigint, place int, th bigint, n int"
+
+
+def _hot_anchors(rows: DataFrame, window: int, anchor: int, sample_texts: int) -> dict[int, int]:
+    """Anchors that many texts of a sample have, with the estimated number of their segments in all texts."""
+    step = max(1, rows.count() // sample_texts)
+    sampled = rows.where(F.pmod(F.xxhash64("th"), F.lit(step)) == 0).dropDuplicates(["th"])
+    counted = sampled.mapInArrow(_anchor_rows(window, anchor), _ANCHORS).groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    return {r["anchor"]: r["n"] * step for r in counted.where(F.col("c") >= HOT_TEXTS).select("anchor", "n").collect()}
+
+
+def _recurring_anchors(hot: dict[int, int], shard_segments: int):
+    """Of rows (anchor, place, th, n), ordered by anchor and text, those whose anchor several texts have, as rows
+    (th, anchor, n, salts). Only the rows of one anchor are held at a time; a hot one counts as recurring unseen."""
+    hot_keys = np.array(sorted(hot), np.int64)
+    hot_sizes = np.array([hot[k] for k in sorted(hot)], np.int64)
+
+    def chosen(anchors: np.ndarray, th: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(anchors), bool)
+        new[1:] = (anchors[1:] != anchors[:-1]) | (th[1:] != th[:-1])
+        anchors, th, n = anchors[new], th[new], n[new]
+        first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]])) if len(anchors) else np.empty(0, np.int64)
+        texts = np.diff(np.append(first, len(anchors)))
+        sizes = np.add.reduceat(n, first) if len(first) else np.empty(0, np.int64)
+        at = np.searchsorted(hot_keys, anchors[first])
+        known = np.zeros(len(first), bool)
+        if len(hot_keys):
+            at = np.minimum(at, len(hot_keys) - 1)
+            known = hot_keys[at] == anchors[first]
+            # all places of a hot anchor must agree on its salts, so these go by the estimate
+            sizes = np.where(known, hot_sizes[at], sizes)
+        keep = np.repeat((texts > 1) | known, texts)
+        columns = [th[keep], anchors[keep], n[keep], np.repeat(np.maximum(1, -(-sizes // shard_segments)), texts)[keep]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["th", "anchor", "n", "salts"])
+
+    def run(batches):
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            rows = [np.asarray(batch.column(c), np.int64) for c in ("anchor", "th", "n")]
+            held = [np.concatenate([h, r]) for h, r in zip(held, rows)]
+            if len(held[0]):
+                cut = int(np.searchsorted(held[0], held[0][-1]))
+                if cut:
+                    yield chosen(*(h[:cut] for h in held))
+                    held = [h[cut:] for h in held]
+        yield chosen(*held)
+
+    return run
+
+
 def _salts_of(ids: np.ndarray, th: np.ndarray, starts: np.ndarray, salts: np.ndarray) -> np.ndarray:
     """A salt below ``salts`` for each segment, by document, text and place."""
     seen = mixed(mixed(ids.view(np.uint64)) ^ th.view(np.uint64)) + starts.astype(np.uint64)
@@ -102,7 +172,7 @@ def _segment_rows(window: int, anchor: int, shards: int):
     hashes = WordHashes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, ends = _words_of(as_bytes(batch.column("text")))
+        words, ends = _words_of(_unpacked(batch.column("packed")))
         place, grams = window_anchors(hashes.of(words), window, anchor)
         inside = _inside(len(grams), ends, window)
         row_of = np.searchsorted(ends, np.arange(len(grams)), "right")
@@ -130,7 +200,7 @@ def _segment_rows(window: int, anchor: int, shards: int):
         columns = [pa.array(grams[firsts] % shards), pa.array(_salts_of(ids, th, starts, k)), pa.array(k), batch.column("doc_id").take(at), pa.array(th), pa.array(starts.astype(np.int32)), pa.array(text, pa.binary()).cast(pa.string())]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "salt", "salts", "doc_id", "th", "start", "words"])
 
-    return per_slice(work, "text")
+    return per_slice(work, "packed", SLICE_BYTES // 3)
 
 
 def _search_within(keys: np.ndarray, begin: np.ndarray, stop: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -171,21 +241,29 @@ def _shard_windows(words: np.ndarray, ends: np.ndarray, window: int) -> tuple[np
     return grams[at], at, np.searchsorted(ends, at, "right")
 
 
+def _firsts(windows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct windows, and the smallest and the largest id of each."""
+    order = np.lexsort((ids, windows))
+    windows, ids = windows[order], ids[order]
+    starts = np.flatnonzero(np.diff(windows, prepend=~windows[:1]))
+    return windows[starts], ids[starts], ids[np.append(starts[1:], len(windows))[: len(starts)] - 1]
+
+
 def _local_firsts(window: int):
-    """Of each window in one salt of a shard: its smallest id, and whether it has more than one."""
+    """Of each window of a salted anchor, in one salt: its smallest and largest id."""
 
     def firsts(table: pa.Table) -> pa.Table:
-        windows, _, rows = _shard_windows(*_shard_words(table), window)
-        ids, salts = _ids(table.column("doc_id"))[rows], table.column("salts").to_numpy()[rows]
-        order = np.lexsort((ids, windows))
-        windows, ids, salts = windows[order], ids[order], salts[order]
-        starts = np.flatnonzero(np.diff(windows, prepend=~windows[:1]))
-        lasts = np.append(starts[1:], len(windows)) - 1
-        # alone in an unsalted shard: no other document can have it
-        keep = (ids[starts] != ids[lasts]) | (salts[starts] > 1)
-        starts, lasts = starts[keep], lasts[keep]
         shard = table.column("shard")[0].as_py()
-        return pa.table({"shard": pa.array([shard] * len(starts), pa.int64()), "salts": salts[starts], "win": windows[starts], "low": ids[starts], "high": ids[lasts]})
+        table = table.filter(pc.greater(table.column("salts"), 1))
+        windows, ids, salts = (np.empty(0, np.int64),) * 3
+        if table.num_rows:
+            windows, _, rows = _shard_windows(*_shard_words(table), window)
+            ids, salts = _ids(table.column("doc_id"))[rows], table.column("salts").to_numpy()[rows]
+        # a window has one anchor, and an anchor one number of salts
+        order = np.argsort(windows, kind="stable")
+        salts = salts[order][np.flatnonzero(np.diff(windows[order], prepend=~windows[order][:1]))]
+        windows, low, high = _firsts(windows, ids)
+        return pa.table({"shard": pa.array([shard] * len(windows), pa.int64()), "salts": salts, "win": windows, "low": low, "high": high})
 
     return firsts
 
@@ -209,13 +287,17 @@ def _occurrences(window: int):
 
     def spans(segments: pa.Table, confirmed: pa.Table) -> pa.Table:
         rows = starts = stops = np.empty(0, np.int64)
-        if segments.num_rows and confirmed.num_rows:
+        if segments.num_rows:
             words, ends = _shard_words(segments)
-            windows, at, _ = _shard_windows(words, ends, window)
-            firsts = confirmed.column("low").to_numpy()
+            windows, at, row = _shard_windows(words, ends, window)
             line, width = _as_symbols(words)
             distinct, places = np.unique(windows, return_index=True)
-            known, _, which = np.intersect1d(distinct, confirmed.column("win").to_numpy(), return_indices=True)
+            # windows of unsalted anchors are all here; the others have been confirmed over all salts
+            here = segments.column("salts").to_numpy()[row] == 1
+            local, low, high = _firsts(windows[here], _ids(segments.column("doc_id"))[row[here]])
+            wins = np.concatenate([local[low < high], confirmed.column("win").to_numpy()])
+            firsts = np.concatenate([low[low < high], confirmed.column("low").to_numpy()])
+            known, _, which = np.intersect1d(distinct, wins, return_indices=True)
             automaton = ahocorasick.Automaton()
             for place, which_first in zip(at[places[np.searchsorted(distinct, known)]].tolist(), which.tolist()):
                 automaton.add_word(line[place * width : (place + window) * width], which_first)
@@ -240,49 +322,91 @@ def _occurrences(window: int):
     return spans
 
 
-def _without_spans(batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts, counts, removed = [], [], []
-    for text, spans in zip(as_bytes(batch.column("text")), batch.column("spans").to_pylist()):
-        words = text.split() if text else []
-        gone = np.zeros(len(words) + 1, np.int32)
-        for s in spans or ():
-            gone[s["start"]] += 1
-            gone[s["end"]] -= 1
-        covered = np.cumsum(gone)[:-1] > 0
-        kept = [w for w, c in zip(words, covered.tolist()) if not c] if spans else words
-        texts.append(b" ".join(kept).decode() if text is not None else None)
-        counts.append(len(words))
-        removed.append(len(words) - len(kept))
-    columns = [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), batch.column("spans")]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_words", "n_removed", "spans"])
-
-
-def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
+def _packed_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts compressed one by one: they travel smaller than in blocks of a shuffle."""
+    packer = zstandard.ZstdCompressor(level=1)
+    packed = [None if t is None else packer.compress(t) for t in as_bytes(batch.column("text"))]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(packed, pa.binary())], names=["doc_id", "th", "packed"])
+
+
+def _unpacked(column: pa.Array) -> list[bytes | None]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [None if p is None else unpacker.decompress(p) for p in column.to_pylist()]
+
+
+def _without_spans(window: int):
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, counts, removed, gone = [], [], [], []
+        for text, spans, copy in zip(_unpacked(batch.column("packed")), batch.column("spans").to_pylist(), batch.column("copy").to_pylist()):
+            words = text.split() if text else []
+            if copy and len(words) >= window:
+                spans = [{"start": 0, "end": len(words)}]
+            change = np.zeros(len(words) + 1, np.int32)
+            for s in spans or ():
+                change[s["start"]] += 1
+                change[s["end"]] -= 1
+            covered = np.cumsum(change)[:-1] > 0
+            kept = [w for w, c in zip(words, covered.tolist()) if not c] if spans else words
+            texts.append(b" ".join(kept).decode() if text is not None else None)
+            counts.append(len(words))
+            removed.append(len(words) - len(kept))
+            gone.append(spans)
+        columns = [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(gone, batch.schema.field("spans").type)], names=["doc_id", "text", "n_words", "n_removed", "spans"])
+
+    return work
+
+
+def dedup_substrings(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    shard_segments: int = SHARD_SEGMENTS,
+    sample_texts: int = SAMPLE_TEXTS,
+) -> DataFrame:
     """(doc_id, text, n_words, n_removed, spans) for every row: kept words joined by single spaces, and the
     removed spans (start, end in words, may touch or overlap).
 
-    Words are separated by ASCII white space and compared as they are, by 64-bit hashes within a shard. Ids are integers. Rows with a null id
+    Words are separated by ASCII white space and compared as they are, by 64-bit hashes within a shard; whole texts
+    by 128 bits. Ids are integers. Rows with a null id
     come after all others: they lose what any document with an id has, and take nothing from others. Rows
     with the same id take nothing from each other. Null texts stay null, with no words; texts of fewer words
     than a window stay whole. Windows within one document do not count. Other columns are not looked at.
     """
     anchor = min(ANCHOR, window)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
-    anchors = rows.mapInArrow(_anchor_rows(window, anchor), "doc_id bigint, th bigint, anchor bigint, n bigint")
-    recurring = written(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")).where("c > 1"), "anchors")
-    total = recurring.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    own_id = F.col(doc_id).cast("bigint")
+    rows = docs.select(own_id.alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
+    order = F.coalesce("doc_id", F.lit(_LAST))
+
+    # texts that are equal in full: the smallest id stands for all
+    hashes = docs.select(own_id.alias("doc_id"), F.xxhash64(F.col(text)).alias("th"), F.xxhash64(F.col(text), F.lit(1)).alias("th2"))
+    classes = hashes.groupBy("th", "th2").agg(F.min(order).alias("first"))
+    copies = hashes.join(classes, ["th", "th2"]).where(order > F.col("first")).select("doc_id", "th").distinct()
+    heads = classes.select("th", F.when(F.col("first") < _LAST, F.col("first")).alias("doc_id"))
+
+    hot = _hot_anchors(rows, window, anchor, sample_texts)
+    anchors = rows.mapInArrow(_anchor_rows(window, anchor, np.array(sorted(hot), np.int64)), _ANCHORS)
+    met = anchors.repartition("anchor", "place").sortWithinPartitions("anchor", "th")
+    recurring = written(met.mapInArrow(_recurring_anchors(hot, shard_segments), "th bigint, anchor bigint, n bigint, salts bigint"), "anchors")
+    total, most = recurring.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("salts"), F.lit(1))).first()
     shards = max(1, -(-total // shard_segments))
 
-    salted = recurring.select("anchor", F.ceil(F.col("n") / shard_segments).cast("bigint").alias("salts"))
-    wanted = anchors.join(salted, "anchor").groupBy("doc_id", "th").agg(F.collect_set(F.struct("anchor", "salts")).alias("wanted"))
+    wanted = recurring.groupBy("th").agg(F.collect_set(F.struct("anchor", "salts")).alias("wanted")).join(heads, "th")
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
-    chosen = rows.join(wanted, same(rows, wanted)).select(rows["doc_id"], rows["text"], rows["th"], "wanted")
+    texts = rows.mapInArrow(per_slice(_packed_rows, "text"), "doc_id bigint, th bigint, packed binary")
+    chosen = texts.join(wanted, same(texts, wanted)).select(texts["doc_id"], texts["packed"], texts["th"], "wanted")
     segments = chosen.mapInArrow(_segment_rows(window, anchor, shards), _SEGMENT)
 
-    local = segments.groupBy("shard", "salt").applyInArrow(_local_firsts(window), "shard bigint, salts bigint, win bigint, low bigint, high bigint")
-    firsts = local.groupBy("shard", "salts", "win").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    confirmed = firsts.select("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), "win", "low")
+    if most > 1:
+        local = segments.groupBy("shard", "salt").applyInArrow(_local_firsts(window), "shard bigint, salts bigint, win bigint, low bigint, high bigint")
+        firsts = local.groupBy("shard", "salts", "win").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+        confirmed = firsts.select("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), "win", "low")
+    else:
+        confirmed = docs.sparkSession.createDataFrame([], "shard bigint, salt bigint, win bigint, low bigint")
     found = segments.groupBy("shard", "salt").cogroup(confirmed.groupBy("shard", "salt")).applyInArrow(_occurrences(window), "doc_id bigint, th bigint, start int, end int")
     spans = found.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    whole = rows.join(spans, same(rows, spans), "left").select(rows["doc_id"], rows["text"], "spans")
-    return whole.mapInArrow(per_slice(_without_spans, "text"), "doc_id bigint, text string, n_words bigint, n_removed bigint, spans array<struct<start:int,end:int>>")
+    marks = spans.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
+    whole = texts.join(marks, same(texts, marks), "left").select(texts["doc_id"], texts["packed"], "spans", "copy")
+    out = "doc_id bigint, text string, n_words bigint, n_removed bigint, spans array<struct<start:int,end:int>>"
+    return whole.mapInArrow(per_slice(_without_spans(window), "packed", SLICE_BYTES // 3), out)

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from martflow.llm import line_dedup, ngram_join, substring_dedup
@@ -55,23 +56,59 @@ def test_substrings_with_clashing_columns_and_empty_tables(spark):
     assert substring_dedup.dedup_substrings(cases.frame(spark, [])).count() == 0
 
 
-def test_segments_of_copies_and_of_a_periodic_text_are_spread(spark):
-    text = " ".join(cases.words(20, 7).split() * 30)
-    ids, th = pa.array([*range(99), None], pa.int64()), pa.array([-5] * 100, pa.int64())
-    batch = pa.RecordBatch.from_arrays([ids, th, pa.array([text] * 100)], names=["doc_id", "th", "text"])
+def packed(texts):
+    return pa.array([zstandard.ZstdCompressor().compress(t.encode()) for t in texts])
+
+
+def test_segments_of_a_periodic_text_and_of_many_texts_are_spread():
+    texts = [" ".join(cases.words(20, 7).split() * 30) + f" end{k}" for k in range(100)]
+    ids, th = pa.array([*range(99), None], pa.int64()), pa.array(range(100), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, th, pa.array(texts), packed(texts)], names=["doc_id", "th", "text", "packed"])
     anchors = pa.Table.from_batches(substring_dedup._anchor_rows(13, 5)([batch])).to_pylist()
-    of_one = [{"anchor": a["anchor"], "salts": 8} for a in anchors if a["doc_id"] == 0]
-    wanted = pa.array([of_one] * 100, pa.list_(pa.struct([("anchor", pa.int64()), ("salts", pa.int64())])))
+    of_each = [[{"anchor": a["anchor"], "salts": 8} for a in anchors if a["th"] == k] for k in range(100)]
+    wanted = pa.array(of_each, pa.list_(pa.struct([("anchor", pa.int64()), ("salts", pa.int64())])))
     segments = pa.Table.from_batches(substring_dedup._segment_rows(13, 5, 1)([batch.append_column("wanted", wanted)])).to_pylist()
     assert sum(a["n"] for a in anchors) == len(segments) > 10 * len(anchors)
     for own in (segments, [s for s in segments if s["start"] == 0], [s for s in segments if s["doc_id"] == 3]):
         sizes = np.bincount([s["salt"] for s in own], minlength=8)
         assert len(sizes) == 8 and sizes.min() > 0 and sizes.max() < 3 * len(own) / 8
+
+
+def test_copies_stand_aside_and_periodic_texts_are_found(spark):
+    text = " ".join(cases.words(20, 7).split() * 30)
     rows = [(k, text if k % 2 else text + " end", "en", "s", 1) for k in range(30)]
+    rows += [(None, text, "en", "s", 1), (3, text, "en", "s", 1), (40, cases.words(12, 8), "en", "s", 1), (41, cases.words(12, 8), "en", "s", 1)]
     found = substring_dedup.dedup_substrings(cases.frame(spark, rows), shard_segments=10)
     assert cases.tuples(found, "doc_id", "text", "n_words", "n_removed") == naive_substrings(rows, 13)
 
 
+def test_hot_anchors_are_spread_and_recur_unseen(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_TEXTS", 5)
+    rows = cases.rows() + [(100 + i, *r) for i, *r in copies(4, 120)]
+    frame = cases.frame(spark, rows)
+    hashed = frame.select("text", F.xxhash64("text").alias("th"))
+    hot = substring_dedup._hot_anchors(hashed, 13, 5, 1000)
+    assert len(hot) > 10
+    keys = np.array(sorted(hot), np.int64)
+    places = hashed.mapInArrow(substring_dedup._anchor_rows(13, 5, keys), substring_dedup._ANCHORS).groupBy("anchor").agg(F.countDistinct("place").alias("p"))
+    spread = {r["anchor"]: r["p"] for r in places.collect()}
+    assert max(spread[k] for k in hot) > 4 and {p for k, p in spread.items() if k not in hot} == {1}
+    for sample in (1000, 20):
+        found = substring_dedup.dedup_substrings(frame, shard_segments=7, sample_texts=sample)
+        assert cases.tuples(found, "doc_id", "text", "n_words", "n_removed") == naive_substrings(rows, 13)
+
+
+def test_recurring_anchors_across_batches():
+    names = ["anchor", "place", "th", "n"]
+    rows = [(1, 0, 5, 1), (2, 0, 5, 2), (2, 0, 6, 1), (2, 0, 6, 1), (2, 0, 9, 4), (3, 0, 1, 1), (3, 0, 1, 1), (7, 3, 1, 1), (8, 0, 1, 1), (8, 0, 2, 1)]
+    expected = [(5, 2, 2, 3), (6, 2, 1, 3), (9, 2, 4, 3), (1, 7, 1, 5), (1, 8, 1, 1), (2, 8, 1, 1)]
+    for size in (1, 2, 3, 100):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[k : k + size]]) for k in range(0, len(rows), size)]
+        found = pa.Table.from_batches(substring_dedup._recurring_anchors({7: 15}, 3)(batches)).to_pylist()
+        assert [tuple(r.values()) for r in found] == expected
+    assert pa.Table.from_batches(substring_dedup._recurring_anchors({}, 3)([])).num_rows == 0
+
+
 def test_every_window_holds_its_anchor():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 50, 500).astype(np.uint64)
