@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.expr import SOLD_STATUSES, any_present, is_true, safe_divide
+from martflow.operators.tagged import column_counts, relation_counts, row_counts
 from martflow.sources.schema import (
     CANDIDATE_ITEM_KEYS,
     CARDINALITY_KEYS,
@@ -75,41 +76,15 @@ def null_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """Type, nulls and distinct values per column.
-
-    One aggregate: distinct values are counted in their own types and collapse before its shuffle.
-    """
-    dtypes = dict(df.dtypes)
-    counted = df.agg(
-        _rows().alias("rows"),
-        *[F.count_if(_missing(c)).alias(f"_null_{i}") for i, c in enumerate(df.columns)],
-        *[F.count_distinct(c).alias(f"_distinct_{i}") for i, c in enumerate(df.columns)],
-    )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(dtypes[c]).alias("dtype"),
-                F.col(f"_null_{i}").alias("null_count"),
-                F.col(f"_distinct_{i}").alias("n_unique"),
-            )
-            for i, c in enumerate(df.columns)
-        ]
-    )
-    return counted.select("rows", F.explode(entries).alias("e")).select(
-        F.lit(table).alias("table"),
-        "e.column",
-        "e.dtype",
-        "e.null_count",
-        F.round(safe_divide(F.col("e.null_count") * 100.0, "rows"), 2).alias("null_pct"),
-        "e.n_unique",
-    )
+    """Type, nulls and exact distinct values per column of one table."""
+    return null_profile({table: df})
 
 
 def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    return union_all([column_profile(df, name) for name, df in tables.items()]).orderBy(
-        "table", F.desc("null_count"), "column"
-    )
+    """Type, nulls and exact distinct values of every column; each table is read once (see tagged.column_counts)."""
+    pct = F.round(safe_divide(F.col("null_count") * 100.0, "rows"), 2).alias("null_pct")
+    profile = column_counts(tables).select("table", "column", "dtype", "null_count", pct, "n_unique")
+    return profile.orderBy("table", F.desc("null_count"), "column")
 
 
 def classify_nulls(
@@ -294,18 +269,22 @@ def foreign_key_coverage(child: DataFrame, parent: DataFrame, child_key: str, pa
 def relationship_report(
     tables: dict[str, DataFrame], relations: list[tuple[str, str, str]] = RELATIONS
 ) -> DataFrame:
-    checks = []
-    for child, parent, key in relations:
-        if child not in tables or parent not in tables:
-            continue
-        if key not in tables[child].columns or key not in tables[parent].columns:
-            continue
-        checks.append(
-            foreign_key_coverage(tables[child], tables[parent], key, key).withColumns(
-                {"child_table": F.lit(child), "parent_table": F.lit(parent)}
-            )
-        )
-    return union_all(checks)
+    """Coverage of every relation whose tables and keys are there; each table is read once for all of its relations."""
+    known = [
+        (child, key, parent, key)
+        for child, parent, key in relations
+        if child in tables and parent in tables and key in tables[child].columns and key in tables[parent].columns
+    ]
+    return relation_counts(tables, known).select(
+        "child_key",
+        "parent_key",
+        "child_non_null_rows",
+        "missing_fk_rows",
+        (1 - safe_divide("missing_fk_rows", "child_non_null_rows", 0.0)).alias("coverage_rate"),
+        F.when(F.col("missing_fk_rows") == 0, "PASS").otherwise("WARN").alias("status"),
+        "child_table",
+        "parent_table",
+    )
 
 
 def order_payment_reconciliation(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -421,28 +400,35 @@ def repeated_row_count(df: DataFrame) -> DataFrame:
 
 
 def audit_overview(tables: dict[str, DataFrame]) -> DataFrame:
-    """Size, null density and fully repeated rows per table."""
-    overviews = []
-    for name, df in tables.items():
-        width = len(df.columns)
-        nulls_per_row = reduce(lambda a, b: a + b, [_missing(c).cast("bigint") for c in df.columns])
-        counts = df.agg(
-            _rows().alias("rows"), F.coalesce(F.sum(nulls_per_row), F.lit(0)).alias("total_null_values")
-        ).withColumn("duplicate_rows", repeated_row_count(df).scalar())
-        overviews.append(
-            counts.select(
-                F.lit(name).alias("table"),
-                "rows",
-                F.lit(width).alias("cols"),
-                "total_null_values",
-                F.round(safe_divide(F.col("total_null_values") * 100.0, F.col("rows") * width), 2).alias(
-                    "null_density_pct"
-                ),
-                "duplicate_rows",
-                F.round(safe_divide(F.col("duplicate_rows") * 100.0, "rows"), 4).alias("duplicate_row_pct"),
-            )
+    """Size, null density and fully repeated rows per table.
+
+    One read of each table counts rows, nulls and row hashes; only tables with equal hashes are read a second
+    time, to compare those rows in full. To know which, the counts (one row a table) come to the driver.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    counts = [(r["table"], r["rows"], len(tables[r["table"]].columns), r["nulls"], r["shared"]) for r in row_counts(tables).collect()]
+    sizes = spark.createDataFrame(counts, "table string, rows bigint, cols int, total_null_values bigint, shared bigint")
+    suspects = [table for table, *_, shared in counts if shared]
+    if suspects:
+        repeats = union_all([repeated_row_count(tables[t]).withColumn("table", F.lit(t)) for t in suspects])
+        sizes = sizes.join(F.broadcast(repeats), "table", "left")
+    else:
+        sizes = sizes.withColumn("duplicate_rows", F.lit(0))
+    repeated = F.coalesce("duplicate_rows", F.lit(0)).cast("bigint")
+    cells = F.col("rows") * F.col("cols")
+    return (
+        sizes.withColumn("duplicate_rows", repeated)
+        .select(
+            "table",
+            "rows",
+            "cols",
+            "total_null_values",
+            F.round(safe_divide(F.col("total_null_values") * 100.0, cells), 2).alias("null_density_pct"),
+            "duplicate_rows",
+            F.round(safe_divide(F.col("duplicate_rows") * 100.0, "rows"), 4).alias("duplicate_row_pct"),
         )
-    return union_all(overviews).orderBy(F.desc("rows"), F.desc("cols"), "table")
+        .orderBy(F.desc("rows"), F.desc("cols"), "table")
+    )
 
 
 def _key_check(df: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:

@@ -147,5 +147,5 @@ def test_submission_frame(spark):
     predicted = spark.createDataFrame([(date(2023, 1, 1), 100.0)], "Date date, Revenue double")
     rows = by_key(forecast.make_submission(predicted, sample), "Date")
     assert rows[date(2023, 1, 1)]["COGS"] == 85.0 and rows[date(2023, 1, 2)]["Revenue"] is None
-    with pytest.raises(ValueError, match="Missing prediction column"):
+    with pytest.raises(ValueError, match="no column 'Revenue'"):
         forecast.make_submission(predicted.withColumnRenamed("Revenue", "x"), sample)
