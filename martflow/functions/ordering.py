@@ -14,17 +14,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; make one only for a local run that has none."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors reach, as the session names it; a temporary one only for a local run without."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         shared = tempfile.mkdtemp(prefix="martflow-checkpoint-")
-    sc.setCheckpointDir(shared)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the cluster's checkpoint folder; make one only for a local run that has none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def materialize(df: DataFrame) -> DataFrame:

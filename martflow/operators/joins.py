@@ -47,19 +47,33 @@ def keys_are_unique(tables: dict[str, tuple[DataFrame, list[str]]]) -> Column:
     return reduce(DataFrame.unionByName, counted).agg(repeated.alias("repeated")).select(verdict).scalar()
 
 
+#: Tables that own a key: label -> (table, key columns). If the key repeats in none of them, it cannot repeat in what
+#: has been computed from them, and the computed side needs no check of its own.
+Owners = dict[str, tuple[DataFrame, list[str]]]
+
+
 def checked_left_join(
-    left: DataFrame, right: DataFrame, on: str | list[str], validate: str | None = "m:1", suffix: str = "_right"
+    left: DataFrame,
+    right: DataFrame,
+    on: str | list[str],
+    validate: str | None = "m:1",
+    suffix: str = "_right",
+    owners: Owners | None = None,
 ) -> DataFrame:
     """Left join that enforces ``m:1`` or ``1:1``; ``None`` skips the check for keys known unique.
 
-    Columns of the right side that already exist on the left get ``suffix``. NULL keys never match.
+    With ``owners`` the check reads the key columns of those tables, each once, instead of computing the sides
+    again; they must vouch for the right key, and for the left one, too, if the join is ``1:1``. Columns of the
+    right side that already exist on the left get ``suffix``. NULL keys never match.
     """
     keys = [on] if isinstance(on, str) else list(on)
     guards = []
-    if validate in ("m:1", "1:1"):
+    if owners is not None and validate is not None:
+        guards += [keys_are_unique(owners)] if owners else []
+    elif validate in ("m:1", "1:1"):
         guards.append(key_is_unique(right, keys, "the right table"))
-    if validate == "1:1":
-        guards.append(key_is_unique(left, keys, "the left table"))
+        if validate == "1:1":
+            guards.append(key_is_unique(left, keys, "the left table"))
     overlap = [c for c in right.columns if c in left.columns and c not in keys]
     renamed = right.withColumnsRenamed({c: f"{c}{suffix}" for c in overlap}) if overlap else right
     guarded = reduce(lambda df, g: df.where(g), guards, left)
@@ -73,10 +87,11 @@ def left_join_with_status(
     status: str,
     validate: str | None = "m:1",
     suffix: str = "_right",
+    owners: Owners | None = None,
 ) -> DataFrame:
     """Checked left join plus a column that says whether the row found a partner."""
     marked = right.withColumn("_found", F.lit(True))
-    joined = checked_left_join(left, marked, on, validate, suffix)
+    joined = checked_left_join(left, marked, on, validate, suffix, owners)
     return joined.withColumn(
         status, F.when(F.col("_found"), F.lit(JOINED)).otherwise(F.lit(LEFT_ONLY))
     ).drop("_found")
@@ -135,24 +150,45 @@ def orders_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def items_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
-    return left_join_with_status(items, orders, "order_id", "order_join_status")
+# ``owners`` of these joins: see checked_left_join; ``checked=False`` for keys that the caller has checked.
+
+
+def items_orders(items: DataFrame, orders: DataFrame, owners: Owners | None = None, checked: bool = True) -> DataFrame:
+    return left_join_with_status(items, orders, "order_id", "order_join_status", _validate("m:1", checked), owners=owners)
 
 
-def items_products(items: DataFrame, products: DataFrame) -> DataFrame:
-    return left_join_with_status(items, products, "product_id", "product_join_status")
+def items_products(items: DataFrame, products: DataFrame, owners: Owners | None = None, checked: bool = True) -> DataFrame:
+    return left_join_with_status(items, products, "product_id", "product_join_status", _validate("m:1", checked), owners=owners)
 
 
-def orders_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    return left_join_with_status(orders, customers, "customer_id", "customer_join_status", suffix="_customer")
+def items_returns(items: DataFrame, returns: DataFrame) -> DataFrame:
+    """Order lines with their returns; a line that was returned in parts has a row for each."""
+    keys = ["order_id", "product_id"]
+    return left_join_with_status(items, returns, keys, "return_join_status", validate=None, suffix="_return")
 
 
-def orders_geography(orders: DataFrame, geography: DataFrame) -> DataFrame:
-    return left_join_with_status(orders, geography, "zip", "geo_join_status", suffix="_geo")
+def items_reviews(items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Order lines with their reviews, one row for each."""
+    keys = ["order_id", "product_id"]
+    return left_join_with_status(items, reviews, keys, "review_join_status", validate=None, suffix="_review")
 
 
-def orders_shipments(orders: DataFrame, shipments: DataFrame) -> DataFrame:
-    return left_join_with_status(orders, shipments, "order_id", "shipment_join_status", "1:1").withColumns(
+def items_double_promotions(items: DataFrame) -> DataFrame:
+    """Order lines under two promotions."""
+    return items.where(F.col("promo_id").isNotNull() & F.col("promo_id_2").isNotNull())
+
+
+def orders_customers(orders: DataFrame, customers: DataFrame, owners: Owners | None = None, checked: bool = True) -> DataFrame:
+    return left_join_with_status(orders, customers, "customer_id", "customer_join_status", _validate("m:1", checked), "_customer", owners)
+
+
+def orders_geography(orders: DataFrame, geography: DataFrame, owners: Owners | None = None, checked: bool = True) -> DataFrame:
+    return left_join_with_status(orders, geography, "zip", "geo_join_status", _validate("m:1", checked), "_geo", owners)
+
+
+def orders_shipments(orders: DataFrame, shipments: DataFrame, owners: Owners | None = None, checked: bool = True) -> DataFrame:
+    joined = left_join_with_status(orders, shipments, "order_id", "shipment_join_status", _validate("1:1", checked), owners=owners)
+    return joined.withColumns(
         {
             "ship_lead_days": F.datediff("ship_date", "order_date"),
             "delivery_lead_days": F.datediff("delivery_date", "order_date"),
@@ -160,6 +196,10 @@ def orders_shipments(orders: DataFrame, shipments: DataFrame) -> DataFrame:
     )
 
 
+def _validate(rule: str, checked: bool) -> str | None:
+    return rule if checked else None
+
+
 def group_share(df: DataFrame, part: str, group: str | list[str], share: str, total: str) -> DataFrame:
     """Share of a measure within its group, for a summary already reduced to a few rows per group."""
     keys = [group] if isinstance(group, str) else list(group)

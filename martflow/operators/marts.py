@@ -24,7 +24,7 @@ from martflow.functions.expr import (
     zero_if_null,
 )
 from martflow.functions.ordering import running_totals
-from martflow.operators.joins import checked_left_join, key_is_unique, keys_are_unique
+from martflow.operators.joins import Owners, checked_left_join, keys_are_unique
 
 PROFILE = ["customer_id", "signup_date", "gender", "age_group", "acquisition_channel"]
 PLACE = ["zip", "region", "district"]
@@ -47,6 +47,12 @@ def _context_sides(customers, geography, payments, shipments) -> dict[str, DataF
     return {"customers": customers, "geography": geography, "payments": payments, "shipments": shipments}
 
 
+def _with_unique(df: DataFrame, sides: dict[str, DataFrame], owners: Owners | None) -> DataFrame:
+    """The frame behind one check of all keys: those of the owners if given, else those of the sides."""
+    keys = {n: (side, JOIN_KEYS[n]) for n, side in sides.items()} if owners is None else owners
+    return df.where(keys_are_unique(keys)) if keys else df
+
+
 def _many_to_one(checked: bool) -> str | None:
     return "m:1" if checked else None
 
@@ -125,15 +131,14 @@ def item_fact(
     returns: DataFrame,
     reviews: DataFrame,
     checked: bool = True,
-    grouped: tuple[str, ...] = (),
+    owners: Owners | None = None,
 ) -> DataFrame:
     """Full order-line fact; one row per line, because returns and reviews are summed beforehand.
 
-    ``grouped`` names tables that are summed by their key already and need no check.
+    ``owners``: tables that own the joined keys, to be checked instead of the joined tables themselves.
     """
     if checked:
-        sides = {"orders": orders, "products": products, **_context_sides(customers, geography, payments, shipments)}
-        items = items.where(keys_are_unique({n: (df, JOIN_KEYS[n]) for n, df in sides.items() if n not in grouped}))
+        items = _with_unique(items, {"orders": orders, "products": products, **_context_sides(customers, geography, payments, shipments)}, owners)
     lines = item_measures(items, products, returns, reviews, checked=False)
     context = order_context(orders, customers, geography, payments, shipments, checked=False)
     return lines.join(context, "order_id", "left").withColumn("order_month", month_key("order_date"))
@@ -148,24 +153,26 @@ def order_line_fact(
     returns: DataFrame | None = None,
     reviews: DataFrame | None = None,
     checked: bool = True,
+    owners: Owners | None = None,
 ) -> DataFrame:
     """Lighter order-line fact with optional payment, shipment, return and review parts.
 
-    A line counts as promoted by its first promotion id alone.
+    A line counts as promoted by its first promotion id alone. For ``owners`` see item_fact.
     """
+    if checked:
+        # Shipments are allowed to repeat, so they are not checked.
+        sides = {"orders": orders, "products": products, "payments": payments}
+        items = _with_unique(items, {n: df for n, df in sides.items() if df is not None}, owners)
     order_side = orders
     if payments is not None:
-        order_side = checked_left_join(order_side, keep_present(payments, PAYMENT), "order_id", _many_to_one(checked))
+        order_side = checked_left_join(order_side, keep_present(payments, PAYMENT), "order_id", validate=None)
     if shipments is not None:
         if {"ship_date", "delivery_date"} <= set(shipments.columns):
             shipments = shipments.withColumn("delivery_lead_days", F.datediff("delivery_date", "ship_date"))
         wanted = ["order_id", "shipping_fee", "delivery_lead_days"]
         order_side = order_side.join(keep_present(shipments, wanted), "order_id", "left")
 
-    fact = checked_left_join(items, products, "product_id", _many_to_one(checked), "_product")
-    # Shipments are allowed to repeat, so only the orders table itself is checked.
-    if checked:
-        fact = fact.where(key_is_unique(orders, ["order_id"], "orders"))
+    fact = checked_left_join(items, products, "product_id", None, "_product")
     fact = fact.join(order_side, "order_id", "left")
     if returns is not None:
         records = F.count_distinct("return_id") if "return_id" in returns.columns else F.count(F.lit(1))
@@ -224,12 +231,11 @@ def order_fact(
     payments: DataFrame,
     shipments: DataFrame,
     checked: bool = True,
-    grouped: tuple[str, ...] = (),
+    owners: Owners | None = None,
 ) -> DataFrame:
-    """Order fact; ``lines`` needs the columns of :func:`item_measures`. For ``grouped`` see item_fact."""
+    """Order fact; ``lines`` needs the columns of :func:`item_measures`. For ``owners`` see item_fact."""
     if checked:
-        sides = _context_sides(customers, geography, payments, shipments)
-        orders = orders.where(keys_are_unique({n: (df, JOIN_KEYS[n]) for n, df in sides.items() if n not in grouped}))
+        orders = _with_unique(orders, _context_sides(customers, geography, payments, shipments), owners)
     context = order_context(orders, customers, geography, payments, shipments, checked=False)
     fact = checked_left_join(context, order_item_totals(lines), "order_id", validate=None)
     return fact.withColumns(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.expr import SOLD_STATUSES, any_present, is_true, safe_divide
-from martflow.operators.tagged import column_counts, relation_counts, row_counts
+from martflow.operators.tagged import column_counts, grain_counts, relation_counts, row_counts
 from martflow.sources.schema import (
     CANDIDATE_ITEM_KEYS,
     CARDINALITY_KEYS,
@@ -87,28 +87,55 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return profile.orderBy("table", F.desc("null_count"), "column")
 
 
-def classify_nulls(
-    df: DataFrame, table: str, rules: dict[str, dict[str, list[str]]] = NULL_RULES
-) -> DataFrame:
-    """Null count of each column with the class its table's rules give it."""
-    label = F.lit("unclassified")
-    for kind in ("unexpected", "expected", "structural"):
-        listed = rules.get(table, {}).get(kind, [])
-        if listed:
-            label = F.when(F.col("column").isin(listed), NULL_CLASSES[kind]).otherwise(label)
-    return null_counts(df, table).select(
+def _class_of(rules: dict[str, dict[str, list[str]]]) -> Column:
+    """Map from "table column" to the class that the rules give it; the first of structural, expected, unexpected wins."""
+    classes = {}
+    for table, kinds in rules.items():
+        for kind in ("unexpected", "expected", "structural"):
+            classes.update({f"{table} {column}": NULL_CLASSES[kind] for column in kinds.get(kind, [])})
+    if not classes:
+        return F.lit(None).cast("map<string,string>")
+    return F.create_map(*[F.lit(x) for entry in sorted(classes.items()) for x in entry])
+
+
+def table_profiles(tables: dict[str, DataFrame], grains: dict[str, list[str]] = EXPECTED_GRAIN) -> DataFrame:
+    """One row a table: rows, cols, its expected key with counts, and the null count of each column.
+
+    Each table is read once, all of them share their shuffles (see tagged.grain_counts). A key that is not
+    given, or not there, has no counts; ``key_state`` says why.
+    """
+    usable = {t: grains[t] for t, df in tables.items() if grains.get(t) and set(grains[t]) <= set(df.columns)}
+    states = []
+    for table, df in tables.items():
+        keys = grains.get(table, [])
+        state = "checked" if table in usable else "missing_key_columns" if keys else "no_key"
+        states.append((table, len(df.columns), ", ".join(keys) if keys else None, state))
+    spark = next(iter(tables.values())).sparkSession
+    known = spark.createDataFrame(states, "table string, cols int, expected_key string, key_state string")
+    checked = F.col("key_state") == "checked"
+    return F.broadcast(known).join(grain_counts(tables, usable), "table").select(
         "table",
-        "column",
-        "position",
-        "null_count",
-        F.round(safe_divide(F.col("null_count") * 100.0, "rows"), 2).alias("null_pct"),
-        label.alias("null_class"),
         "rows",
+        "cols",
+        "expected_key",
+        "key_state",
+        F.when(checked, F.col("null_key_rows")).alias("null_key_rows"),
+        F.when(checked, F.col("distinct_keys")).alias("distinct_keys"),
+        F.when(checked, F.col("rows") - F.col("distinct_keys")).alias("duplicate_key_rows"),
+        "columns",
     )
 
 
-def null_classes(tables: dict[str, DataFrame]) -> DataFrame:
-    return union_all([classify_nulls(df, name) for name, df in tables.items()]).drop("position", "rows")
+def null_classes_of(profiles: DataFrame, rules: dict[str, dict[str, list[str]]] = NULL_RULES) -> DataFrame:
+    """Null count of each column with the class its table's rules give it, from ``table_profiles``."""
+    columns = profiles.select("table", "rows", F.explode("columns").alias("c"))
+    label = F.coalesce(F.try_element_at(_class_of(rules), F.concat_ws(" ", "table", "c.column")), F.lit("unclassified"))
+    pct = F.round(safe_divide(F.col("c.null_count") * 100.0, "rows"), 2)
+    return columns.select("table", "c.column", "c.null_count", pct.alias("null_pct"), label.alias("null_class"))
+
+
+def null_classes(tables: dict[str, DataFrame], rules: dict[str, dict[str, list[str]]] = NULL_RULES) -> DataFrame:
+    return null_classes_of(table_profiles(tables, {}), rules)
 
 
 def missing_payment_rows(orders_payments: DataFrame) -> DataFrame:
@@ -221,24 +248,26 @@ def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(duplicate_groups(df, keys), keys, "inner")
 
 
+def mart_checks_of(profiles: DataFrame, unique: list[str]) -> DataFrame:
+    """Rows, width and key surplus of built tables, from ``table_profiles``; keys of those in ``unique`` may not repeat."""
+    expected = F.col("table").isin(unique)
+    good = ~expected | (F.col("duplicate_key_rows") == 0)
+    return profiles.select(
+        F.col("table").alias("mart"),
+        "rows",
+        "cols",
+        F.col("expected_key").alias("key"),
+        "duplicate_key_rows",
+        expected.alias("expected_unique"),
+        F.when(good, "PASS").otherwise("CHECK").alias("status"),
+    )
+
+
 def mart_checks(marts: dict[str, tuple[DataFrame, list[str], bool]]) -> DataFrame:
-    """Rows, width and key surplus of every built table."""
-    checks = []
-    for name, (df, keys, unique) in marts.items():
-        surplus = F.col("duplicate_key_rows")
-        good = surplus == 0 if unique else F.lit(True)
-        checks.append(
-            key_counts(df, keys).select(
-                F.lit(name).alias("mart"),
-                "rows",
-                F.lit(len(df.columns)).alias("cols"),
-                F.lit(", ".join(keys)).alias("key"),
-                surplus.alias("duplicate_key_rows"),
-                F.lit(unique).alias("expected_unique"),
-                F.when(good, "PASS").otherwise("CHECK").alias("status"),
-            )
-        )
-    return union_all(checks)
+    """Rows, width and key surplus of every built table, each read once."""
+    tables = {name: df for name, (df, _, _) in marts.items()}
+    profiles = table_profiles(tables, {name: keys for name, (_, keys, _) in marts.items()})
+    return mart_checks_of(profiles, [name for name, (_, _, unique) in marts.items() if unique])
 
 
 # ---------------------------------------------------------------- relations
@@ -431,37 +460,16 @@ def audit_overview(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _key_check(df: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
-    """Key counts, or the reason they cannot be taken."""
-    if keys and set(keys) <= set(df.columns):
-        return key_counts(df, keys).select("null_key_rows", "duplicate_key_rows"), "checked"
-    unknown = _constant_row(
-        df.sparkSession,
-        null_key_rows=F.lit(None).cast("bigint"),
-        duplicate_key_rows=F.lit(None).cast("bigint"),
-    )
-    return unknown, "missing_key_columns" if keys else "no_key"
-
+def verdicts_of(profiles: DataFrame, rules: dict[str, dict[str, list[str]]] = NULL_RULES) -> DataFrame:
+    """Grain and null verdict of each table, from ``table_profiles``; the worse of both is its overall status."""
 
-def table_verdict(df: DataFrame, table: str, keys: list[str], rules: dict = NULL_RULES) -> DataFrame:
-    """Grain and null verdict of one table; the worse of both is its overall status."""
-    check, state = _key_check(df, keys)
-    kinds = classify_nulls(df, table, rules)
-    bad = (F.col("null_class") == NULL_CLASSES["unexpected"]) & (F.col("null_count") > 0)
-    structural = (F.col("null_class") == NULL_CLASSES["structural"]) & (F.col("null_count") > 0)
-    # At most one entry per column of the table.
-    bad_columns = F.array_sort(F.collect_list(F.when(bad, F.struct("position", "column"))))
-    nulls = kinds.agg(
-        F.struct(
-            F.max("rows").alias("rows"),
-            F.count_if(bad).alias("unexpected_null_columns"),
-            F.transform(bad_columns, lambda s: s["column"]).alias("_bad"),
-            F.coalesce(F.bool_or(structural), F.lit(False)).alias("_structural"),
-        ).alias("n")
-    )
-    one = check.withColumn("_n", nulls.scalar()).select("null_key_rows", "duplicate_key_rows", "_n.*")
+    def holes(kind: str) -> Column:
+        label = lambda c: F.try_element_at(_class_of(rules), F.concat_ws(" ", F.col("table"), c["column"]))
+        found = F.filter("columns", lambda c: is_true(label(c) == NULL_CLASSES[kind]) & (c["null_count"] > 0))
+        return F.transform(found, lambda c: c["column"])
 
-    surplus, bad_n = F.col("duplicate_key_rows"), F.col("unexpected_null_columns")
+    judged = profiles.withColumns({"_bad": holes("unexpected"), "_structural": F.size(holes("structural")) > 0})
+    surplus, bad_n = F.col("duplicate_key_rows"), F.size("_bad")
     grain = F.when(surplus.isNull(), "WARN").when(surplus == 0, "PASS").when(surplus <= 20, "WARN").otherwise("FAIL")
     risk = F.when(bad_n == 0, "PASS").when(bad_n <= 2, "WARN").otherwise("FAIL")
     notes = F.concat_ws(
@@ -475,32 +483,25 @@ def table_verdict(df: DataFrame, table: str, keys: list[str], rules: dict = NULL
         .when((F.col("grain_check") == "WARN") | (F.col("null_risk") == "WARN"), "WARN")
         .otherwise("PASS")
     )
-    expected = F.lit(None).cast("string") if state == "no_key" else F.lit(", ".join(keys))
     return (
-        one.withColumns({"grain_check": grain, "null_risk": risk, "notes": notes})
+        judged.withColumns({"grain_check": grain, "unexpected_null_columns": bad_n, "null_risk": risk, "notes": notes})
         .withColumn("overall_status", worst)
         .select(
-            F.lit(table).alias("table"),
-            "rows",
-            F.lit(len(df.columns)).alias("cols"),
-            expected.alias("expected_key"),
-            F.lit(state).alias("key_state"),
-            "null_key_rows",
-            "duplicate_key_rows",
-            "grain_check",
-            "unexpected_null_columns",
-            "null_risk",
-            "overall_status",
-            "notes",
+            "table", "rows", "cols", "expected_key", "key_state", "null_key_rows", "duplicate_key_rows", "grain_check",
+            "unexpected_null_columns", "null_risk", "overall_status", "notes",
         )
     )
 
 
+def table_verdict(df: DataFrame, table: str, keys: list[str], rules: dict = NULL_RULES) -> DataFrame:
+    """Grain and null verdict of one table."""
+    return verdicts_of(table_profiles({table: df}, {table: keys}), rules)
+
+
 def audit_conclusion(
     tables: dict[str, DataFrame], grains: dict[str, list[str]] = EXPECTED_GRAIN, rules: dict = NULL_RULES
 ) -> DataFrame:
-    verdicts = [table_verdict(df, name, grains.get(name, []), rules) for name, df in tables.items()]
-    return union_all(verdicts).orderBy("overall_status", "table")
+    return verdicts_of(table_profiles(tables, grains), rules).orderBy("overall_status", "table")
 
 
 def submission_check(submission: DataFrame, sample: DataFrame) -> DataFrame:

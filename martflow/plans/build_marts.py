@@ -13,19 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.operators import joins, marts, quality
+from martflow.plans import audit
 from martflow.session import build_session
 from martflow.sources.raw import load_raw_data
+from martflow.sources.schema import MART_KEYS
 from martflow.sources.writers import save_csv, save_layer
 
 
 def write_joined_tables(t: dict[str, DataFrame], interim_dir: str) -> dict[str, DataFrame]:
+    """The nine joined tables. Call :func:`require_join_keys` first; the joins do not repeat that check."""
     built = {
         "orders_payments": joins.orders_payments(t["orders"], t["payments"]),
-        "items_orders": joins.items_orders(t["order_items"], t["orders"]),
-        "items_products": joins.items_products(t["order_items"], t["products"]),
-        "orders_customers": joins.orders_customers(t["orders"], t["customers"]),
-        "orders_geography": joins.orders_geography(t["orders"], t["geography"]),
-        "orders_shipments": joins.orders_shipments(t["orders"], t["shipments"]),
+        "items_orders": joins.items_orders(t["order_items"], t["orders"], checked=False),
+        "items_products": joins.items_products(t["order_items"], t["products"], checked=False),
+        "items_returns": joins.items_returns(t["order_items"], t["returns"]),
+        "items_reviews": joins.items_reviews(t["order_items"], t["reviews"]),
+        "items_double_promotions": joins.items_double_promotions(t["order_items"]),
+        "orders_customers": joins.orders_customers(t["orders"], t["customers"], checked=False),
+        "orders_geography": joins.orders_geography(t["orders"], t["geography"], checked=False),
+        "orders_shipments": joins.orders_shipments(t["orders"], t["shipments"], checked=False),
     }
     return {name: save_layer(df, interim_dir, name) for name, df in built.items()}
 
@@ -83,31 +89,24 @@ def build_light_marts(t: dict[str, DataFrame], out_dir: str) -> dict[str, DataFr
     return {"order_line_fact": fact, **written}
 
 
-# Key and expected uniqueness of every written table.
-MART_KEYS: dict[str, tuple[list[str], bool]] = {
-    "item_fact": (["order_id", "product_id"], False),
-    "order_fact": (["order_id"], True),
-    "customer_360": (["customer_id"], True),
-    "product_360": (["product_id"], True),
-    "daily_panel": (["Date"], True),
-    "product_month_panel": (["snapshot_date", "product_id"], True),
-}
-
-
-def write_build_reports(t: dict[str, DataFrame], built: dict[str, DataFrame], out_dir: str) -> None:
+def write_build_reports(
+    t: dict[str, DataFrame], joined: dict[str, DataFrame], built: dict[str, DataFrame], out_dir: str
+) -> None:
+    """Checks of the keys and joins, and the audit of all joined and built tables, from the written files."""
     save_csv(quality.cardinality_checks(t), f"{out_dir}/reports/cardinality_checks")
     save_csv(joins.join_log(t), f"{out_dir}/reports/join_logs")
     checks = {name: (built[name], *MART_KEYS[name]) for name in MART_KEYS}
     save_csv(quality.mart_checks(checks), f"{out_dir}/reports/output_datamart_checks")
+    audit.write_reports(audit.built_reports({**joined, **{name: built[name] for name in MART_KEYS}}), f"{out_dir}/reports")
 
 
 def run(spark: SparkSession, data_dir: str, out_dir: str) -> dict[str, DataFrame]:
     tables = load_raw_data(spark, data_dir)
     require_join_keys(tables)
-    write_joined_tables(tables, f"{out_dir}/interim")
+    joined = write_joined_tables(tables, f"{out_dir}/interim")
     built = build_marts(tables, out_dir)
     light = build_light_marts(tables, out_dir)
-    write_build_reports(tables, built, out_dir)
+    write_build_reports(tables, joined, built, out_dir)
     return {**built, **light}
 
 

@@ -312,6 +312,25 @@ from v_orders o left join v_shipments s on o.order_id = s.order_id"""
 
 # ---- customers
 
+VIEWS["m_items_returns"] = """
+select i.*, r.return_id, r.return_date, r.return_reason, r.return_quantity, r.refund_amount,
+       case when r.return_id is null then 'left_only' else 'both' end as return_join_status
+from v_order_items i left join v_returns r on i.order_id = r.order_id and i.product_id = r.product_id"""
+
+VIEWS["m_items_reviews"] = """
+select i.*, w.review_id, w.customer_id, w.review_date, w.rating,
+       case when w.review_id is null then 'left_only' else 'both' end as review_join_status
+from v_order_items i left join v_reviews w on i.order_id = w.order_id and i.product_id = w.product_id"""
+
+VIEWS["m_items_double_promotions"] = """
+select * from v_order_items where promo_id is not null and promo_id_2 is not null"""
+
+VIEWS["m_product_month_audit"] = """
+select *, extract(year from snapshot_date) as year, extract(month from snapshot_date) as month from m_product_month"""
+
+# Views of audited tables that are not named like them.
+AUDIT_VIEWS = {"product_month_panel": "m_product_month_audit"}
+
 VIEWS["m_promo_orders"] = """
 select order_id, customer_id, order_date, period, sum(net_item_revenue) as revenue, sum(gross_merch_value) as gross_merch_value,
        sum(gross_profit) as gross_profit, sum(discount_amount) as discount_amount, max(promo_used_flag) as promo_used

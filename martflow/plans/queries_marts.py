@@ -57,7 +57,8 @@ PRODUCT_MONTH = (
 
 def order_facts(v: RetailViews, checked: bool = False):
     return marts.order_fact(
-        v.orders(), item_lines(v), v.customers(), v.geography(), v.payments(), v.shipments(), checked, grouped=("shipments",)
+        v.orders(), item_lines(v), v.customers(), v.geography(), v.payments(), v.shipments(), checked,
+        v.owners("customers", "geography", "payments", "shipments"),
     )
 
 
@@ -67,7 +68,8 @@ def order_days(v: RetailViews):
 
 def line_fact(v: RetailViews):
     return marts.order_line_fact(
-        v.order_items(), v.orders(), v.products(), v.payments(), v.shipments(), v.returns(), v.reviews()
+        v.order_items(), v.orders(), v.products(), v.payments(), v.shipments(), v.returns(), v.reviews(),
+        owners=v.owners("orders", "products", "payments"),
     )
 
 
@@ -84,7 +86,8 @@ def item_facts(v: RetailViews, checked: bool = False):
     t = v.tables()
     return marts.item_fact(
         t["order_items"], t["orders"], t["products"], t["customers"], t["geography"], t["payments"],
-        t["shipments"], t["returns"], t["reviews"], checked, grouped=("shipments",),
+        t["shipments"], t["returns"], t["reviews"], checked,
+        v.owners("orders", "products", "customers", "geography", "payments", "shipments"),
     )
 
 
@@ -106,25 +109,6 @@ def daily_panels(v: RetailViews):
     return marts.daily_panel(v.sales(), v.web_traffic(), order_days(v))
 
 
-def all_marts(v: RetailViews) -> dict:
-    return {
-        "item_fact": (item_facts(v), ["order_id", "product_id"], False),
-        "order_fact": (order_facts(v), ["order_id"], True),
-        "customer_360": (customers_360(v), ["customer_id"], True),
-        "product_360": (marts.product_360(v.products(), item_lines(v)), ["product_id"], True),
-        "daily_panel": (daily_panels(v), ["Date"], True),
-        "product_month_panel": (product_months(v), ["snapshot_date", "product_id"], True),
-    }
-
-
-def _mart_check_sql(name: str, view: str, columns: str, keys: list[str], unique: bool) -> str:
-    k = ", ".join(f'"{c}"' for c in keys)
-    good = "dup = 0" if unique else "true"
-    return f"""select '{name}' as mart, n_rows as "rows", {len(columns.split())} as cols, '{", ".join(keys)}' as "key",
-        dup as duplicate_key_rows, {str(unique).lower()} as expected_unique, case when {good} then 'PASS' else 'CHECK' end as status
-        from (select sum(n) as n_rows, sum(n - 1) as dup from (select {k}, count(*) as n from {view} group by {k}) g) d"""
-
-
 QUERIES: dict[str, Query] = {
     "line_money": Query(
         "order_id:i product_id:i line_revenue:4 line_cogs:4 gross_profit:4 gross_margin:6",
@@ -256,18 +240,4 @@ QUERIES: dict[str, Query] = {
                     avg(fill_rate) as avg_fill_rate, sum(units_sold) as total_units_sold_inventory from v_inventory group by 1) i
            on strftime(s."Date", '%Y-%m') = i.ym""",
     ),
-    "mart_checks": Query(
-        "mart rows:i cols:i key duplicate_key_rows:i expected_unique status",
-        lambda v: quality.mart_checks(all_marts(v)),
-        " union all ".join(
-            [
-                _mart_check_sql("item_fact", "m_item_fact", ITEM_FACT, ["order_id", "product_id"], False),
-                _mart_check_sql("order_fact", "m_order_fact", ORDER_FACT, ["order_id"], True),
-                _mart_check_sql("customer_360", "m_customer_360", CUSTOMER_360, ["customer_id"], True),
-                _mart_check_sql("product_360", "m_product_360", PRODUCT_360, ["product_id"], True),
-                _mart_check_sql("daily_panel", "m_daily_panel", DAILY_PANEL, ["Date"], True),
-                _mart_check_sql("product_month_panel", "m_product_month", PRODUCT_MONTH, ["snapshot_date", "product_id"], True),
-            ]
-        ),
-    ),
 }

@@ -111,49 +111,6 @@ def _growth_sql(name: str, left: str, right: str, key: str, expected: str) -> st
         cross join (select count(*) as o from v_{left} x left join v_{right} y on x."{key}" = y."{key}") c"""
 
 
-def _verdict_sql(name: str, keys) -> str:
-    columns = JOINED_COLUMNS[name].split()
-    rules = NULL_RULES[name]
-    bad = [c for c in columns if c in rules.get("unexpected", [])]
-    structural = [c for c in columns if c in rules.get("structural", [])]
-    nulls = ", ".join(f'count(*) - count("{c}") as n_{c}' for c in sorted({*bad, *structural, *keys}))
-    bad_n = " + ".join(f"case when n_{c} > 0 then 1 else 0 end" for c in bad)
-    bad_list = ", ".join(f"case when n_{c} > 0 then '{c}' end" for c in bad)
-    has_structural = " or ".join(f"n_{c} > 0" for c in structural) or "false"
-    return f"""select '{name}' as "table", n_rows as "rows", {len(columns)} as cols, '{", ".join(keys)}' as expected_key,
-        'checked' as key_state, key_nulls as null_key_rows, dup as duplicate_key_rows, grain_check,
-        bad_n as unexpected_null_columns, null_risk,
-        case when 'FAIL' in (grain_check, null_risk) then 'FAIL' when 'WARN' in (grain_check, null_risk) then 'WARN' else 'PASS' end
-          as overall_status,
-        concat_ws(' | ', case when dup > 0 then concat('duplicate by expected grain = ', cast(dup as bigint)) end,
-                  case when bad_n > 0 then concat('unexpected null in: ', concat_ws(', ', {bad_list})) end,
-                  case when {has_structural} then 'structural null present (likely normal)' end) as notes
-        from (select *, {bad_n} as bad_n,
-                     case when dup = 0 then 'PASS' when dup <= 20 then 'WARN' else 'FAIL' end as grain_check,
-                     case when {bad_n} = 0 then 'PASS' when {bad_n} <= 2 then 'WARN' else 'FAIL' end as null_risk
-              from ({_duplicates_sql("m_" + name, keys)}) d
-              cross join (select {nulls} from m_{name}) z
-              cross join (select count(*) as key_nulls from m_{name} where {_has_null(keys)}) k) t"""
-
-
-def joined_tables(v: RetailViews) -> dict:
-    t = v.tables("orders", "order_items", "products", "customers", "geography", "payments", "shipments")
-    return {
-        "orders_customers": joins.orders_customers(t["orders"], t["customers"]),
-        "orders_payments": joins.orders_payments(t["orders"], t["payments"]),
-        "orders_geography": joins.orders_geography(t["orders"], t["geography"]),
-        "orders_shipments": joins.orders_shipments(t["orders"], t["shipments"]),
-        "items_orders": joins.items_orders(t["order_items"], t["orders"]),
-        "items_products": joins.items_products(t["order_items"], t["products"]),
-    }
-
-
-JOINED_GRAIN = {
-    name: ["order_id"] if name.startswith("orders_") else ["order_id", "product_id", "unit_price"]
-    for name in JOINED_COLUMNS
-}
-
-
 def _overview_sql(table: str) -> str:
     names = [c for c, _ in _columns(table)]
     nulls = " + ".join(f'(count(*) - count("{c}"))' for c in names)
@@ -164,19 +121,6 @@ def _overview_sql(table: str) -> str:
         cross join (select coalesce(sum(n - 1), 0) as dup from (select count(*) as n from v_{table} group by {_quoted(names)}) g) b"""
 
 
-def _class_sql(name: str) -> str:
-    kinds = {"structural": "structural_null", "expected": "expected_nullable", "unexpected": "unexpected_null"}
-    label = {c: kinds[k] for k, cs in NULL_RULES[name].items() for c in cs}
-    return _union(
-        [
-            f"""select '{name}' as "table", '{c}' as "column", count(*) - count("{c}") as null_count,
-                round((count(*) - count("{c}")) * 100.0 / count(*), 2) as null_pct,
-                '{label.get(c, "unclassified")}' as null_class from m_{name}"""
-            for c in JOINED_COLUMNS[name].split()
-        ]
-    )
-
-
 def settled_tables(v: RetailViews) -> dict[str, DataFrame]:
     """All tables; sums of doubles rounded, since their last digits depend on the order of addition."""
     tables = v.tables()
@@ -205,11 +149,6 @@ QUERIES: dict[str, Query] = {
         lambda v: quality.null_profile(settled_tables(v)),
         f"select *, round(null_count * 100.0 / n_rows, 2) as null_pct from ({_null_sql(TABLE_COLUMNS)}) x",
     ),
-    "null_classes": Query(
-        "table column null_count:i null_pct:2 null_class",
-        lambda v: quality.null_classes(joined_tables(v)),
-        _union([_class_sql(name) for name in JOINED_COLUMNS]),
-    ),
     "duplicate_keys": Query(
         "table keys status duplicate_rows:i",
         lambda v: quality.duplicate_key_report(v.tables()),
@@ -292,7 +231,7 @@ QUERIES: dict[str, Query] = {
     ),
     "shipment_violations": Query(
         "missing_shipment:i unexpected_shipment:i",
-        lambda v: quality.shipment_violations(joins.orders_shipments(v.orders_without_place(), v.shipments())),
+        lambda v: quality.shipment_violations(joins.orders_shipments(v.orders_without_place(), v.shipments(), v.owners("payments"))),
         """select sum(case when needs and not has then 1 else 0 end) as missing_shipment,
                   sum(case when not needs and has then 1 else 0 end) as unexpected_shipment
            from (select order_status in ('shipped', 'delivered', 'returned') as needs,
@@ -311,12 +250,6 @@ QUERIES: dict[str, Query] = {
         lambda v: quality.audit_overview(v.tables()),
         _union([_overview_sql(t) for t in TABLE_COLUMNS]),
     ),
-    "audit_conclusion": Query(
-        "table rows:i cols:i expected_key key_state null_key_rows:i duplicate_key_rows:i grain_check unexpected_null_columns:i "
-        "null_risk overall_status notes",
-        lambda v: quality.audit_conclusion(joined_tables(v)),
-        _union([_verdict_sql(name, JOINED_GRAIN[name]) for name in JOINED_COLUMNS]),
-    ),
     "missing_payment_rows": Query(
         "order_id:i order_status payment_method payment_value:2 installments:i",
         lambda v: quality.missing_payment_rows(joins.orders_payments(v.orders(), v.payments())),
@@ -346,28 +279,28 @@ QUERIES: dict[str, Query] = {
     "items_orders": Query(
         "order_id:i product_id:i quantity:2 unit_price:6 discount_amount:4 promo_id promo_id_2 order_date:d customer_id:i zip:i "
         "order_status payment_method order_join_status",
-        lambda v: joins.items_orders(v.order_items(), v.orders()),
+        lambda v: joins.items_orders(v.order_items(), v.orders(), v.owners("orders")),
         "select * from m_items_orders",
     ),
     "items_products": Query(
         "order_id:i product_id:i quantity:2 unit_price:6 product_name category segment size:i price:2 cogs:3 product_join_status",
-        lambda v: joins.items_products(v.order_items(), v.products()),
+        lambda v: joins.items_products(v.order_items(), v.products(), v.owners("products")),
         "select * from m_items_products",
     ),
     "orders_customers": Query(
         "order_id:i order_date:d customer_id:i zip:i order_status payment_method zip_customer:i age_group customer_join_status",
-        lambda v: joins.orders_customers(v.orders(), v.customers()),
+        lambda v: joins.orders_customers(v.orders(), v.customers(), v.owners("customers")),
         "select * from m_orders_customers",
     ),
     "orders_geography": Query(
         "order_id:i order_date:d customer_id:i zip:i order_status payment_method district region geo_join_status",
-        lambda v: joins.orders_geography(v.orders(), v.geography()),
+        lambda v: joins.orders_geography(v.orders(), v.geography(), v.owners("geography")),
         "select * from m_orders_geography",
     ),
     "orders_shipments": Query(
         "order_id:i order_date:d customer_id:i zip:i order_status payment_method ship_date:d delivery_date:d shipping_fee:4 "
         "shipment_join_status ship_lead_days:i delivery_lead_days:i",
-        lambda v: joins.orders_shipments(v.orders(), v.shipments()),
+        lambda v: joins.orders_shipments(v.orders(), v.shipments(), v.owners("orders", "shipments")),
         "select * from m_orders_shipments",
     ),
 }

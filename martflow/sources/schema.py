@@ -126,6 +126,7 @@ EXPECTED_GRAIN: dict[str, list[str]] = {
     "items_products": ["order_id", "product_id", "unit_price"],
     "items_returns": ["order_id", "product_id", "unit_price"],
     "items_reviews": ["order_id", "product_id", "unit_price"],
+    "items_double_promotions": ["order_id", "product_id", "unit_price"],
     "item_fact": ["order_id", "product_id", "unit_price"],
     "order_fact": ["order_id"],
     "customer_360": ["customer_id"],
@@ -134,6 +135,16 @@ EXPECTED_GRAIN: dict[str, list[str]] = {
     "product_month_panel": ["product_id", "year", "month"],
 }
 
+# Key and expected uniqueness of every written mart.
+MART_KEYS: dict[str, tuple[list[str], bool]] = {
+    "item_fact": (["order_id", "product_id"], False),
+    "order_fact": (["order_id"], True),
+    "customer_360": (["customer_id"], True),
+    "product_360": (["product_id"], True),
+    "daily_panel": (["Date"], True),
+    "product_month_panel": (["snapshot_date", "product_id"], True),
+}
+
 # Which columns may be null, per built table. "structural" nulls come from the
 # data model, "expected" ones from optional profile fields, "unexpected" ones are defects.
 NULL_RULES: dict[str, dict[str, list[str]]] = {
@@ -159,6 +170,10 @@ NULL_RULES: dict[str, dict[str, list[str]]] = {
         "structural": ["review_id", "review_date", "rating", "review_title"],
         "unexpected": ["order_id", "product_id"],
     },
+    "items_double_promotions": {
+        "structural": ["promo_id", "promo_id_2"],
+        "unexpected": ["order_id", "product_id"],
+    },
     "item_fact": {
         "structural": ["promo_id", "promo_id_2", "return_id", "review_id", "rating"],
         "expected": ["gender", "age_group", "acquisition_channel"],
@@ -203,6 +218,8 @@ DATA_DICTIONARY: list[tuple[str, str, str, str, str, str]] = [
      "order line with its returns"),
     ("items_reviews", "one row per order line", "order_id, product_id, unit_price", "order_items", "reviews",
      "order line with its reviews"),
+    ("items_double_promotions", "one row per order line", "order_id, product_id, unit_price", "order_items", "promotions",
+     "order line under two promotions"),
     ("item_fact", "one row per order line", "order_id, product_id, unit_price", "order_items",
      "orders, products, customers, geography, payments, shipments, returns, reviews", "full order-line fact"),
     ("order_fact", "one row per order", "order_id", "orders",

@@ -78,3 +78,35 @@ def test_order_joins_of_the_shop(shop):
     sent = {r["order_id"]: r for r in joins.orders_shipments(shop["orders"], shop["shipments"]).collect()}
     assert (sent[1]["ship_lead_days"], sent[1]["delivery_lead_days"]) == (1, 4)
     assert sent[5]["shipment_join_status"] == "left_only" and sent[5]["ship_lead_days"] is None
+
+
+def test_owners_are_checked_instead_of_the_sides(sides, spark):
+    left, right = sides
+    good, bad = spark.createDataFrame([(1,), (2,), (None,), (None,)], "k int"), spark.createDataFrame([(1,), (1,)], "k int")
+    out = joins.checked_left_join(left, right, "k", "1:1", owners={"good": (good, ["k"])})
+    assert out.count() == 5
+    out = joins.checked_left_join(left, right, "k", owners={"good": (good, ["k"]), "bad": (bad, ["k"])})
+    with pytest.raises(Exception, match="not unique in bad"):
+        out.collect()
+    assert joins.checked_left_join(left, right, "k", owners={}).count() == 5
+
+
+def test_owner_check_does_not_compute_a_side_again(spark, tmp_path):
+    spark.range(20).selectExpr("id as k", "id % 5 as c").write.parquet(str(tmp_path / "orders"))
+    spark.range(5).selectExpr("id as c", "'x' as place").write.parquet(str(tmp_path / "customers"))
+    read = lambda t: spark.read.parquet(str(tmp_path / t))
+    view = read("orders").join(read("customers"), "c", "left")
+    lines = spark.range(50).selectExpr("id % 20 as k")
+    out = joins.items_orders(lines.withColumnRenamed("k", "order_id"), view.withColumnRenamed("k", "order_id"), {"o": (read("orders").select("k"), ["k"]), "c": (read("customers").select("c"), ["c"])})
+    assert out.count() == 50
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 4
+
+
+def test_lines_with_their_returns_reviews_and_promotions(shop):
+    returned = joins.items_returns(shop["order_items"], shop["returns"]).collect()
+    assert sorted((r["order_id"], r["return_id"]) for r in returned if r["return_id"]) == [(1, "r3"), (1, "r3"), (3, "r1"), (3, "r2")]
+    assert len(returned) == 7 and {r["return_join_status"] for r in returned if r["return_id"] is None} == {"left_only"}
+    reviewed = joins.items_reviews(shop["order_items"], shop["reviews"])
+    assert reviewed.count() == 8 and reviewed.where("review_join_status = 'both'").count() == 5
+    assert [r["order_id"] for r in joins.items_double_promotions(shop["order_items"]).collect()] == [3]

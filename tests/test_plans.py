@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from martflow.operators import models
-from martflow.plans import answers, audit, build_marts, forecasting
+from martflow.plans import answers, audit, build_marts, forecasting, layers, queries_audit
 from martflow.sources.raw import load_raw_data
 from martflow.sources.retail_views import RetailViews
+from martflow.sources.schema import EXPECTED_GRAIN
 from tests.conftest import SF_SMALL
 
 pytestmark = pytest.mark.skipif(not SF_SMALL.exists(), reason="test tables are not here")
@@ -23,6 +24,7 @@ def raw_dir(spark, tmp_path_factory):
     views = RetailViews(spark, str(SF_SMALL))
     tables = views.tables()
     tables["returns"] = tables["returns"].dropDuplicates(["return_id"])
+    tables["inventory"] = tables["inventory"].withColumns({"year": F.year("snapshot_date"), "month": F.month("snapshot_date")})
     sales = tables["sales"]
     tables["sales"] = sales.where("Date < '2001-01-01'")
     tables["sample_submission"] = sales.where("Date >= '2001-01-01'")
@@ -50,8 +52,44 @@ def test_build_writes_consistent_layers(spark, raw_dir, tmp_path):
         assert built[name].agg(F.sum(column)).first()[0] == pytest.approx(total), name
     checks = spark.read.option("header", True).csv(f"{tmp_path}/reports/output_datamart_checks")
     assert {r["status"] for r in checks.collect()} == {"PASS"} and checks.count() == 6
-    verdicts = {r["table"]: r for r in audit.built_reports({k: built[k] for k in ("order_fact", "daily_panel")})["audit_conclusion"].collect()}
+    read = lambda name: spark.read.option("header", True).csv(f"{tmp_path}/reports/{name}").collect()
+    verdicts = {r["table"]: r for r in read("audit_conclusion")}
+    assert set(verdicts) == set(EXPECTED_GRAIN) and len(verdicts) == 15
     assert verdicts["order_fact"]["grain_check"] == "PASS" and verdicts["daily_panel"]["overall_status"] == "PASS"
+    assert {r["key_state"] for r in verdicts.values()} == {"checked"}
+    classes = {(r["table"], r["column"]): r for r in read("null_classes")}
+    assert classes["items_returns", "return_id"]["null_class"] == "structural_null" and int(classes["items_returns", "return_id"]["null_count"]) > 0
+    assert {t for t, _ in classes} == set(verdicts) == {r["table"] for r in read("audit_overview")} == {r["table"] for r in read("null_audit_detail")}
+
+
+def test_audited_columns_are_those_of_the_tables(spark):
+    v = RetailViews(spark, str(SF_SMALL))
+    tables = queries_audit.audited_tables(v, queries_audit.layer_of(v))
+    assert {name: sorted(df.columns) for name, df in tables.items()} == {name: sorted(c.split()) for name, c in queries_audit.AUDITED_COLUMNS.items()}
+
+
+def test_layers_are_built_once_for_the_same_files(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    built = []
+
+    def build(n):
+        built.append(n)
+        return spark.range(n)
+
+    def table(n):
+        return layers.Layer(spark, [str(tmp_path / "in")]).table("t", lambda: build(n)).count()
+
+    assert (table(3), table(4), built) == (3, 3, [3])
+    spark.range(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert (table(4), built) == (4, [3, 4])
+
+
+def test_a_layer_that_did_not_end_is_built_anew(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    layer = layers.Layer(spark, [str(tmp_path / "in")])
+    with pytest.raises(Exception, match="boom"):
+        layer.table("t", lambda: spark.range(3).select(F.raise_error(F.lit("boom"))))
+    assert layer.table("t", lambda: spark.range(3)).count() == 3
 
 
 def test_audit_writes_four_reports(spark, raw_dir, tmp_path):

@@ -8,6 +8,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from martflow.operators import quality, tagged
 
@@ -128,3 +129,32 @@ def test_row_counts_and_repeats(spark):
     assert (overview["t"]["rows"], overview["t"]["total_null_values"], overview["t"]["duplicate_rows"]) == (180, nulls, 180 - len(seen))
     assert (overview["none"]["rows"], overview["none"]["null_density_pct"], overview["none"]["duplicate_row_pct"]) == (0, None, None)
     assert (overview["ids"]["rows"], overview["ids"]["duplicate_rows"], overview["ids"]["cols"]) == (50, 0, 1)
+
+
+@pytest.mark.parametrize("keys", [["a"], ["c", "i"], ["l", "m", "f"], ["j", "k", "o.p", "n"], []])
+def test_grain_counts_equal_plain_python(spark, keys):
+    rows = random_rows(300, 9)
+    df = spark.createDataFrame(rows, TYPES)
+    other = spark.createDataFrame([(1, 2.0, None), (1, 2.0, 5), (None, 2.0, 5), (None, 2.0, 6)], "id int, x double, y int")
+    wide = spark.range(3).select(*[F.when(F.col("id") >= k % 4, F.lit(1)).alias(f"w{k}") for k in range(130)])
+    tables = {"t": df, "o": other, "wide": wide, "none": other.limit(0)}
+    grains = {"t": keys, "o": ["id", "x"], "wide": ["w0"], "none": ["id"]}
+    found = {r["table"]: r for r in tagged.grain_counts(tables, grains).collect()}
+    at = [df.columns.index(k) for k in keys]
+    key_of = lambda r: tuple(repr(plain(r[i])) for i in at)
+    assert (found["t"]["rows"], found["t"]["distinct_keys"]) == (300, len(set(map(key_of, rows))))
+    assert found["t"]["null_key_rows"] == sum(any(r[i] is None for i in at) for r in rows)
+    nulls = [(c["column"], c["position"], c["dtype"], c["null_count"]) for c in found["t"]["columns"]]
+    assert nulls == [(name, k, dtype, sum(r[k] is None for r in rows)) for k, (name, dtype) in enumerate(df.dtypes)]
+    assert tuple(found["o"])[1:4] == (4, 2, 2) and [c["null_count"] for c in found["o"]["columns"]] == [2, 0, 1]
+    assert [c["null_count"] for c in found["wide"]["columns"]] == [k % 4 for k in range(130)] and found["wide"]["distinct_keys"] == 1
+    assert tuple(found["none"])[1:4] == (0, 0, 0) and [c["null_count"] for c in found["none"]["columns"]] == [0, 0, 0]
+
+
+def test_each_table_is_read_once_for_its_verdict(shop):
+    tables = {t: shop[t] for t in ("orders", "payments", "shipments")}
+    quality.audit_conclusion(tables, {t: ["order_id"] for t in tables}, {}).collect()
+    plan = quality.table_profiles(tables, {t: ["order_id"] for t in tables})
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in text and text.count("Union") == 1
