@@ -53,19 +53,56 @@ def window_anchors(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndar
     n = len(words) - window + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    low, back = grams[:n].copy(), np.zeros(n, np.int64)
-    for j in range(1, window - anchor + 1):
-        here = grams[j : j + n]
-        less = here < low
-        low[less] = here[less]
-        back[less] = j
+    # the least of ``reach`` neighbours, from the least of ever more of them
+    reach, low, size = window - anchor + 1, grams, 1
+    while size < reach:
+        step = min(size, reach - size)
+        low = np.minimum(low[:-step], low[step:])
+        size += step
+    low = low[:n]
+    back = np.zeros(n, np.int64)
+    for j in range(reach - 1, -1, -1):
+        np.putmask(back, grams[j : j + n] == low, j)
     return np.arange(n) + back, low.view(np.int64)
 
 
-def _words_of(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray]:
-    """The words of all texts in one list, and where each text ends in it."""
-    words = [t.split() if t else [] for t in texts]
-    return list(chain.from_iterable(words)), np.cumsum([len(w) for w in words], dtype=np.int64)
+_IS_SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
+
+
+class Words:
+    """The words of several texts in a row, as places in their joined bytes; no word is an object of its own."""
+
+    def __init__(self, texts: list[bytes | None]):
+        self.data = b"\n".join(t or b"" for t in texts) + b"\n"
+        space = _IS_SPACE[np.frombuffer(self.data, np.uint8)]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        edges = edges if space[0] else np.concatenate([[0], edges])
+        self.starts, self.stops = edges[::2], edges[1::2]
+        closed = np.cumsum([len(t or b"") + 1 for t in texts], dtype=np.int64)
+        #: where each text ends among the words
+        self.ends = np.searchsorted(self.starts, closed)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def codes(self) -> tuple[np.ndarray, list[bytes]]:
+        """A number for each word, equal for equal words, and the distinct words by number (blanks among them)."""
+        if not len(self):
+            return np.empty(0, np.int64), []
+        # words and what lies between them, in turn
+        offsets = np.empty(2 * len(self), np.int64)
+        offsets[::2], offsets[1::2] = self.starts, self.stops
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(self.data)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+        return coded.indices.to_numpy()[::2].astype(np.int64), coded.dictionary.to_pylist()
+
+    def hashes(self, known: WordHashes) -> np.ndarray:
+        codes, distinct = self.codes()
+        return known.of(distinct)[codes] if len(codes) else np.empty(0, np.uint64)
+
+    def between(self, first: int, last: int) -> bytes:
+        """The text from word ``first`` to word ``last``, with the white space between them as it is."""
+        return self.data[self.starts[first] : self.stops[last]]
 
 
 def _inside(n: int, ends: np.ndarray, window: int) -> np.ndarray:
@@ -88,8 +125,9 @@ def _anchor_rows(window: int, anchor: int, hot: np.ndarray | None = None):
         # copies within the batch have the same anchors
         batch = batch.take(pa.array(np.unique(th, return_index=True)[1]))
         th = batch.column("th").to_numpy(zero_copy_only=False)
-        words, ends = _words_of(as_bytes(batch.column("text")))
-        at, grams = window_anchors(hashes.of(words), window, anchor)
+        words = Words(as_bytes(batch.column("text")))
+        ends = words.ends
+        at, grams = window_anchors(words.hashes(hashes), window, anchor)
         inside = _inside(len(grams), ends, window)
         rows = np.searchsorted(ends, np.flatnonzero(inside), "right")
         at, grams = at[inside], grams[inside]
@@ -172,29 +210,30 @@ def _segment_rows(window: int, anchor: int, shards: int):
     hashes = WordHashes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, ends = _words_of(_unpacked(batch.column("packed")))
-        place, grams = window_anchors(hashes.of(words), window, anchor)
+        words = Words(_unpacked(batch.column("packed")))
+        ends = words.ends
+        place, grams = window_anchors(words.hashes(hashes), window, anchor)
         inside = _inside(len(grams), ends, window)
         row_of = np.searchsorted(ends, np.arange(len(grams)), "right")
+        # windows in a row that have the same anchor make one segment
+        same = np.zeros(len(grams), bool)
+        same[1:] = inside[1:] & inside[:-1] & (place[1:] == place[:-1]) & (row_of[1:] == row_of[:-1])
+        firsts = np.flatnonzero(inside & ~same)
+        lasts = np.flatnonzero(inside & ~np.append(same[1:], False)[: len(same)])
         column = batch.column("wanted")
         wanted = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
         found = column.flatten()
-        keys, salts = found.field("anchor").to_numpy(), found.field("salts").to_numpy()
-        # a window is wanted if its row wants its anchor: both sides sorted by (row, anchor)
-        order = np.lexsort((keys, wanted))
-        keys, salts, wanted = keys[order], salts[order], wanted[order]
-        begin, stop = np.searchsorted(wanted, row_of), np.searchsorted(wanted, row_of, "right")
-        low = _search_within(keys, begin, stop, grams)
-        hit = inside & (low < stop) & (keys[np.minimum(low, len(keys) - 1)] == grams) if len(keys) else np.zeros(len(grams), bool)
-        same = np.zeros(len(grams), bool)
-        same[1:] = hit[1:] & hit[:-1] & (place[1:] == place[:-1]) & (row_of[1:] == row_of[:-1])
-        firsts = np.flatnonzero(hit & ~same)
-        lasts = np.flatnonzero(hit & ~np.append(same[1:], False))
+        keys, salts = _paired(found.field("anchor").to_numpy(), wanted), found.field("salts").to_numpy()
+        order = np.argsort(keys)
+        keys, salts = keys[order], salts[order]
+        own = _paired(grams[firsts], row_of[firsts])
+        at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
+        hit = keys[at] == own if len(keys) else np.zeros(len(own), bool)
+        firsts, lasts, k = firsts[hit], lasts[hit], salts[at[hit]]
         rows = row_of[firsts]
-        k = salts[low[firsts]] if len(firsts) else np.empty(0, np.int64)
         th = batch.column("th").to_numpy(zero_copy_only=False)[rows]
         ids = _ids(batch.column("doc_id"))[rows]
-        text = [b" ".join(words[s : e + window]) for s, e in zip(firsts.tolist(), lasts.tolist())]
+        text = [words.between(s, e + window - 1) for s, e in zip(firsts.tolist(), lasts.tolist())]
         at = pa.array(rows)
         starts = firsts - np.concatenate([[0], ends[:-1]])[rows]
         columns = [pa.array(grams[firsts] % shards), pa.array(_salts_of(ids, th, starts, k)), pa.array(k), batch.column("doc_id").take(at), pa.array(th), pa.array(starts.astype(np.int32)), pa.array(text, pa.binary()).cast(pa.string())]
@@ -203,15 +242,9 @@ def _segment_rows(window: int, anchor: int, shards: int):
     return per_slice(work, "packed", SLICE_BYTES // 3)
 
 
-def _search_within(keys: np.ndarray, begin: np.ndarray, stop: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """For each value the first place in keys[begin:stop], which is sorted, that isn't smaller."""
-    low, high = begin.copy(), stop.copy()
-    while (open_ := low < high).any():
-        mid = (low + high) // 2
-        smaller = open_ & (keys[np.minimum(mid, len(keys) - 1)] < values)
-        low = np.where(smaller, mid + 1, low)
-        high = np.where(open_ & ~smaller, mid, high)
-    return low
+def _paired(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """One key of an anchor and a row. Equal keys of different pairs would only add a segment without a match."""
+    return mixed(anchors.view(np.uint64) ^ mixed(rows.astype(np.uint64), 1))
 
 
 _SEGMENT = "shard bigint, salt bigint, salts bigint, doc_id bigint, th bigint, start int, words string"
@@ -227,11 +260,11 @@ def _shard_hashes() -> WordHashes:
     return WordHashes()
 
 
-def _shard_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all segments in a row, and the end of each segment."""
-    texts = as_bytes(table.column("words").combine_chunks())
-    ends = np.cumsum([t.count(b" ") + 1 for t in texts], dtype=np.int64)
-    return _shard_hashes().of(b" ".join(texts).split(b" ")), ends
+def _shard_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers and hashes of the words of all segments in a row, and the end of each segment."""
+    words = Words(as_bytes(table.column("words").combine_chunks()))
+    codes, distinct = words.codes()
+    return codes, _shard_hashes().of(distinct)[codes], words.ends
 
 
 def _shard_windows(words: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,7 +290,7 @@ def _local_firsts(window: int):
         table = table.filter(pc.greater(table.column("salts"), 1))
         windows, ids, salts = (np.empty(0, np.int64),) * 3
         if table.num_rows:
-            windows, _, rows = _shard_windows(*_shard_words(table), window)
+            windows, _, rows = _shard_windows(*_shard_words(table)[1:], window)
             ids, salts = _ids(table.column("doc_id"))[rows], table.column("salts").to_numpy()[rows]
         # a window has one anchor, and an anchor one number of salts
         order = np.argsort(windows, kind="stable")
@@ -268,15 +301,14 @@ def _local_firsts(window: int):
     return firsts
 
 
-def _as_symbols(words: np.ndarray) -> tuple[str, int]:
+def _as_symbols(codes: np.ndarray) -> tuple[str, int]:
     """Each distinct word as the same number of characters, and that number.
 
     The automaton looks through the children of a node one by one, so a word is written in digits of
     base 512. Every digit has an alphabet of its own: matches only start where words start.
     """
-    distinct, codes = np.unique(words, return_inverse=True)
-    width = max(1, -(-(max(1, len(distinct) - 1)).bit_length() // 9))
-    digits = np.empty((len(words), width), np.uint32)
+    width = max(1, -(-int(codes.max(initial=0)).bit_length() // 9))
+    digits = np.empty((len(codes), width), np.uint32)
     for d in range(width):
         digits[:, d] = (codes >> (9 * d) & 511) + (256 + 512 * d)
     return digits.tobytes().decode("utf-32-le"), width
@@ -288,9 +320,9 @@ def _occurrences(window: int):
     def spans(segments: pa.Table, confirmed: pa.Table) -> pa.Table:
         rows = starts = stops = np.empty(0, np.int64)
         if segments.num_rows:
-            words, ends = _shard_words(segments)
+            codes, words, ends = _shard_words(segments)
             windows, at, row = _shard_windows(words, ends, window)
-            line, width = _as_symbols(words)
+            line, width = _as_symbols(codes)
             distinct, places = np.unique(windows, return_index=True)
             # windows of unsalted anchors are all here; the others have been confirmed over all salts
             here = segments.column("salts").to_numpy()[row] == 1
@@ -303,7 +335,7 @@ def _occurrences(window: int):
                 automaton.add_word(line[place * width : (place + window) * width], which_first)
             if len(automaton):
                 automaton.make_automaton()
-                found = np.array(list(automaton.iter(line)), np.int64).reshape(-1, 2)
+                found = np.fromiter(chain.from_iterable(automaton.iter(line)), np.int64).reshape(-1, 2)
                 found[:, 0] //= width
                 begin = found[:, 0] - window + 1
                 segment = np.searchsorted(ends, begin, "right")
@@ -338,20 +370,20 @@ def _without_spans(window: int):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, counts, removed, gone = [], [], [], []
         for text, spans, copy in zip(_unpacked(batch.column("packed")), batch.column("spans").to_pylist(), batch.column("copy").to_pylist()):
-            words = text.split() if text else []
+            words = kept = text.split() if text else []
             if copy and len(words) >= window:
                 spans = [{"start": 0, "end": len(words)}]
-            change = np.zeros(len(words) + 1, np.int32)
-            for s in spans or ():
-                change[s["start"]] += 1
-                change[s["end"]] -= 1
-            covered = np.cumsum(change)[:-1] > 0
-            kept = [w for w, c in zip(words, covered.tolist()) if not c] if spans else words
-            texts.append(b" ".join(kept).decode() if text is not None else None)
+            if spans:
+                change = np.zeros(len(words) + 1, np.int32)
+                for s in spans:
+                    change[s["start"]] += 1
+                    change[s["end"]] -= 1
+                kept = [w for w, c in zip(words, (np.cumsum(change) > 0).tolist()) if not c]
+            texts.append(b" ".join(kept) if text is not None else None)
             counts.append(len(words))
             removed.append(len(words) - len(kept))
             gone.append(spans)
-        columns = [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+        columns = [batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
         return pa.RecordBatch.from_arrays([*columns, pa.array(gone, batch.schema.field("spans").type)], names=["doc_id", "text", "n_words", "n_removed", "spans"])
 
     return work
