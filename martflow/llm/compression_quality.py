@@ -4,24 +4,25 @@ Two zstandard dictionaries are trained, one from good and one from bad labelled
 into blocks, each block is compressed once with either dictionary, and the normalised difference of the
 two total sizes, (good - bad) / (good + bad), says whose wording the text shares. A logistic curve over
 that difference and the compression ratios for the text's length (texts that repeat themselves shrink
-with any dictionary), fitted on other labelled texts, turns it into the probability of label 1.
+with any dictionary) turns it into the probability of label 1. The curve is fitted on all labelled texts, each
+measured with dictionaries that have not seen it: those of the other half of the labels.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.llm.common import as_bytes, with_computed
 
-#: Labelled texts of each class from which a dictionary is trained, and from which the curve is fitted.
-DICTIONARY_TEXTS = 1_000
-CALIBRATION_TEXTS = 2_000
+#: Labelled texts of each class and half from which dictionaries are trained and the curve is fitted.
+TEXTS_PER_HALF = 1_000
 #: Blocks of a labelled text that go into a dictionary, evenly spread over the whole text.
 BLOCKS_PER_TEXT = 6
 BLOCK = 2_048
@@ -91,7 +92,7 @@ def _dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 40) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton's method; the first column is constant."""
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
@@ -105,16 +106,27 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 4
     return w
 
 
-def _picked(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, each: int, salt: int) -> DataFrame:
-    """Texts of at most ``each`` labelled documents of each class: the first by a hash of the id."""
-    ids = None
-    for value in (0, 1):
-        own = labels.where(F.col(label) == value).select(F.col(doc_id).alias("k"), F.lit(value).alias("y")).distinct()
-        own = own.orderBy(F.xxhash64("k", F.lit(salt)), "k").limit(each)
-        ids = own if ids is None else ids.unionByName(own)
+def _picked(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, each: int) -> DataFrame:
+    """(y, half, t): texts of at most ``each`` labelled documents of each class and half, the first by a hash of the id."""
+    half = F.pmod(F.xxhash64(F.col(doc_id), F.lit(5)), F.lit(2)).cast("int")
+    own = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("k"), F.col(label).cast("int").alias("y"), half.alias("half")).distinct()
+    parts = [own.where((F.col("y") == y) & (F.col("half") == h)).orderBy(F.xxhash64("k", F.lit(1)), "k").limit(each) for y in (0, 1) for h in (0, 1)]
+    ids = reduce(DataFrame.unionByName, parts)
     return docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull()).join(F.broadcast(ids), "k")
 
 
+def _spread(batches):
+    """(y, half, part): blocks from all over each text."""
+    for batch in batches:
+        made = []
+        for y, half, text in zip(batch.column("y").to_pylist(), batch.column("half").to_pylist(), as_bytes(batch.column("t"))):
+            parts = blocks(text)
+            made += [(y, half, part) for part in parts[:: max(1, -(-len(parts) // BLOCKS_PER_TEXT))]]
+        if made:
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*made), (pa.int32(), pa.int32(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["y", "half", "part"])
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -122,51 +134,41 @@ def fit_quality(
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "quality",
-    dictionary_texts: int = DICTIONARY_TEXTS,
-    calibration_texts: int = CALIBRATION_TEXTS,
+    texts_per_half: int = TEXTS_PER_HALF,
 ) -> QualityModel:
     """Learns from the label rows that ``learn`` (over the columns of ``labels``) picks.
 
-    The fit takes at most ``dictionary_texts`` texts of each class for the dictionaries and at most
-    ``calibration_texts`` others of each class for the curve, chosen by a hash of the id. Rows with a null
-    label or id teach nothing. If a class has no texts, every score is the share of label 1 (0.5 without).
+    The fit takes at most ``texts_per_half`` texts of each class from either half of the labels, chosen and halved
+    by a hash of the id. Rows with a null label or id teach nothing. If a class has no texts, every score is the
+    share of label 1 (0.5 without).
     """
     usable = labels.where(learn & F.col(doc_id).isNotNull() & F.col(label).isNotNull())
-    half = F.pmod(F.xxhash64(F.col(doc_id), F.lit(5)), F.lit(2))
     counts = {r[0]: r[1] for r in usable.groupBy(label).count().collect()}
     total = counts.get(0, 0) + counts.get(1, 0)
     prior = counts.get(1, 0) / total if total else 0.5
 
-    def spread(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            made = []
-            for y, t in zip(batch.column("y").to_pylist(), as_bytes(batch.column("t"))):
-                parts = blocks(t)
-                step = max(1, -(-len(parts) // BLOCKS_PER_TEXT))
-                made += [(y, p) for p in parts[::step]]
-            if made:
-                yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made], pa.binary())], names=["y", "part"])
-
-    samples = _picked(docs, usable.where(half == 0), doc_id, text, label, dictionary_texts, 1).mapInArrow(spread, "y int, part binary").collect()
-    by_class = {y: sorted(bytes(r["part"]) for r in samples if r["y"] == y) for y in (0, 1)}
-    if not by_class[0] or not by_class[1]:
+    picked = _picked(docs, usable, doc_id, text, label, texts_per_half)
+    samples = [(r["y"], r["half"], bytes(r["part"])) for r in picked.select("y", "half", "t").mapInArrow(_spread, "y int, half int, part binary").collect()]
+    if {y for y, _, _ in samples} != {0, 1}:
         return QualityModel(b"", b"", (), (), (), prior)
-    good, bad = _dictionary(by_class[1]), _dictionary(by_class[0])
 
-    others = _picked(docs, usable.where(half == 1), doc_id, text, label, calibration_texts, 2)
-    rows = with_computed(others, "t", "f array<double>", lambda texts: [features(texts, good, bad).tolist()]).select("y", "f").collect()
-    if len({r["y"] for r in rows}) < 2:
-        return QualityModel(good, bad, (), (), (), prior)
+    def dictionaries(*halves: int) -> tuple[bytes, bytes]:
+        good, bad = (_dictionary(sorted(part for own, half, part in samples if own == y and half in halves)) for y in (1, 0))
+        return good, bad
+
+    rows = []
+    for half in (0, 1):
+        others = dictionaries(1 - half)
+        measured = with_computed(picked.where(F.col("half") == half), "t", "f array<double>", lambda texts, d=others: [features(texts, *d).tolist()])
+        rows += measured.select("y", "f").collect()
     x, y = _basis(np.array([r["f"] for r in rows])), np.array([r["y"] for r in rows], float)
     center, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
     weights = _logistic(np.column_stack([np.ones(len(x)), (x - center) / scale]), y)
-    # the calibration rows hold as many bad texts as there are; weigh the constant to the true share
+    # the fitted rows may hold as many bad texts as good ones; weigh the constant to the true share
     seen = y.mean()
-    if 0 < prior < 1:
+    if 0 < prior < 1 and 0 < seen < 1:
         weights[0] += np.log(prior / (1 - prior)) - np.log(seen / (1 - seen))
-    return QualityModel(good, bad, tuple(weights), tuple(center), tuple(scale), prior)
+    return QualityModel(*dictionaries(0, 1), tuple(weights), tuple(center), tuple(scale), prior)
 
 
 def quality_scores(docs: DataFrame, model: QualityModel, text: str = "text", score: str = "score") -> DataFrame:

@@ -111,6 +111,24 @@ def test_held_out_quality(corpus):
     assert sum(s >= 0.3 for s in good) >= 0.97 * len(good)
 
 
+@pytest.mark.parametrize("kept", [2, 3])
+def test_few_labels_are_enough(corpus, kept):
+    """A share of the labels, so that each half has a dozen bad texts or so."""
+    docs, labels = corpus
+    model = compression_quality.fit_quality(docs, labels, (fold_of("doc_id", 5) != 0) & (F.pmod(F.xxhash64("doc_id"), F.lit(4)) < kept))
+    scored = compression_quality.quality_scores(docs, model).join(labels, "doc_id").where(fold_of("doc_id", 5) == 0)
+    rows = [(r["score"], r["quality"]) for r in scored.collect()]
+    good, bad = [s for s, q in rows if q == 1], [s for s, q in rows if q == 0]
+    assert sum(g > b for g, b in itertools.product(good, bad)) > 0.9 * len(good) * len(bad)
+
+
+def test_one_label_of_a_class(spark, corpus):
+    docs, _ = corpus
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 0, 0), (3, 0, 0)], "doc_id bigint, quality int, toxic int")
+    model = compression_quality.fit_quality(docs, labels, F.lit(True))
+    assert all(0 <= r["score"] <= 1 for r in compression_quality.quality_scores(docs.limit(20), model).collect())
+
+
 def test_scores_of_awkward_rows(spark, corpus):
     model = compression_quality.fit_quality(*corpus, F.lit(True))
     rows = compression_quality.quality_scores(cases.clashing(spark), model).collect()
