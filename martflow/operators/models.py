@@ -1,7 +1,8 @@
 """Tree-ensemble models on MLlib: single model, regime-split seeded ensemble, importances.
 
 Models are trained on calendar days. The fits of an ensemble do not depend on each other, so they
-are submitted from a few driver threads and run side by side on the executors.
+are submitted from a few driver threads and run side by side on the executors. Boosting stops when days that a
+fit has held out stop gaining, so the number of rounds is a bound and not a cost.
 """
 
 from __future__ import annotations
@@ -9,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martflow.functions.ordering import exact_quantiles, materialize
@@ -99,6 +101,39 @@ def build_learner(model_type: str, label: str, seed: int = 42) -> Estimator:
     return GBTRegressor(labelCol=label, maxIter=100, maxDepth=5, stepSize=0.1, seed=seed)
 
 
+def stump_booster(label: str = "label", rounds: int = 3, step: float = 0.5) -> Estimator:
+    """Boosted trees of one split each, on all rows and features: small enough to follow by hand."""
+    return GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=1, stepSize=step, maxBins=64)
+
+
+@dataclass(frozen=True)
+class SingleModel:
+    """One fitted learner with its preprocessing."""
+
+    prep: Preprocessing
+    model: Model
+    features: list[str]
+    target_col: str
+    date_col: str
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """The rows with their prediction as ``pred``; columns made on the way are dropped."""
+        return self.model.transform(self.prep.transform(df)).select(*df.columns, F.col("prediction").alias("pred"))
+
+
+def fit_single(
+    train: DataFrame,
+    target_col: str = "Revenue",
+    date_col: str = "Date",
+    model_type: str = "gbt",
+    learner: Estimator | None = None,
+) -> SingleModel:
+    features = feature_columns(train, target_col, date_col)
+    prep = fit_preprocessing(train, features)
+    ready = materialize(prep.transform(train).select(F.col(target_col).alias("label"), "features"))
+    return SingleModel(prep, (learner or build_learner(model_type, "label")).fit(ready), features, target_col, date_col)
+
+
 def train_and_evaluate(
     train: DataFrame,
     valid: DataFrame,
@@ -108,13 +143,30 @@ def train_and_evaluate(
     learner: Estimator | None = None,
 ):
     """Fit one model, predict the validation days; returns (model, metrics, predictions)."""
-    features = feature_columns(train, target_col, date_col)
-    prep = fit_preprocessing(train, features)
-    ready = materialize(prep.transform(train).select(F.col(target_col).alias("label"), "features"))
-    model = (learner or build_learner(model_type, "label")).fit(ready)
-    scored = model.transform(prep.transform(valid))
-    predictions = scored.select(date_col, F.col(target_col).alias("actual"), F.col("prediction").alias("pred"))
-    return model, regression_report(predictions), predictions
+    single = fit_single(train, target_col, date_col, model_type, learner)
+    predictions = single.predict(valid).select(date_col, F.col(target_col).alias("actual"), "pred")
+    return single.model, regression_report(predictions), predictions
+
+
+def permutation_importance(single: SingleModel, days: DataFrame, shift: int = 45) -> DataFrame:
+    """(feature, MAE, increase): the error when one feature's values move to other days, and by how much it grows.
+
+    The permutation is fixed: in order of date, each day takes the value of the day ``shift`` places later, the last
+    days those of the first. Days are a calendar, so they are numbered in one task.
+    """
+    numbered = materialize(days.withColumn("_row", F.row_number().over(Window.orderBy(single.date_col)) - 1))
+    size = F.lit(max(1, numbered.count()))
+    actual = F.col(single.target_col)
+    frames = [single.predict(days).select(F.lit("").alias("feature"), actual.alias("actual"), "pred")]
+    for feature in single.features:
+        moved = numbered.select(F.pmod(F.col("_row") - shift, size).alias("_row"), F.col(feature))
+        permuted = numbered.drop(feature).join(moved, "_row").select(*days.columns)
+        frames.append(single.predict(permuted).select(F.lit(feature).alias("feature"), actual.alias("actual"), "pred"))
+    errors = reduce(DataFrame.unionByName, frames).groupBy("feature").agg(F.avg(F.abs(F.col("actual") - F.col("pred"))).alias("MAE"))
+    plain = errors.where(F.col("feature") == "").select(F.col("MAE").alias("_plain"))
+    # one row a feature, against one row
+    found = errors.where(F.col("feature") != "").crossJoin(F.broadcast(plain))
+    return found.select("feature", "MAE", (F.col("MAE") - F.col("_plain")).alias("increase"))
 
 
 # ---------------------------------------------------------------- ensemble
@@ -124,14 +176,16 @@ def train_and_evaluate(
 class EnsembleSize:
     """How large each learner is. Jobs and registered queries share these defaults.
 
-    They are chosen so that all fits of a forecast end within minutes on one machine; a cluster takes more
-    rounds at a smaller step.
+    ``boosted_rounds`` is an upper bound: a boosted fit holds out ``held_out`` of the days, by seed, and ends when a
+    round lowers their error by less than ``tolerance`` of it.
     """
 
-    boosted_rounds: int = 10
-    forest_trees: int = 30
-    depth: int = 4
-    step: float = 0.3
+    boosted_rounds: int = 1_000
+    forest_trees: int = 200
+    depth: int = 6
+    step: float = 0.1
+    held_out: float = 0.1
+    tolerance: float = 0.001
     seeds: tuple[int, ...] = SEEDS
     threads: int = 4
 
@@ -139,10 +193,16 @@ class EnsembleSize:
 def _boosted(size: EnsembleSize, depth: int) -> Callable[[int], Estimator]:
     return lambda seed: GBTRegressor(
         maxIter=size.boosted_rounds, maxDepth=depth, stepSize=size.step, subsamplingRate=0.8,
-        featureSubsetStrategy="0.8", seed=seed,
+        featureSubsetStrategy="0.8", seed=seed, validationIndicatorCol=f"held_{seed}", validationTol=size.tolerance,
     )
 
 
+def _with_held_out(ready: DataFrame, size: EnsembleSize) -> DataFrame:
+    """A column for each seed that tells its held-out days, by a hash of the day."""
+    draw = lambda seed: F.pmod(F.xxhash64("Date", F.lit(seed)), F.lit(1_000)) < int(1_000 * size.held_out)
+    return ready.withColumns({f"held_{seed}": draw(seed) for seed in size.seeds})
+
+
 def _forest(size: EnsembleSize) -> Callable[[int], Estimator]:
     return lambda seed: RandomForestRegressor(
         numTrees=size.forest_trees, maxDepth=size.depth, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed
@@ -158,37 +218,63 @@ def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df)
 
 
-def ensemble_predict(
+@dataclass(frozen=True)
+class Ensemble:
+    """Fitted learners as (number of the learner, seed, model)."""
+
+    members: list[tuple[int, int, Model]]
+    features: list[str]
+    log_target: bool
+
+    def predict(self, test: DataFrame) -> DataFrame:
+        """Mean prediction per day over all learners and seeds, on the original scale."""
+        days = materialize(_vectors(test, self.features).select("Date", "features"))
+        scale = F.expm1("prediction") if self.log_target else F.col("prediction")
+        scored = [model.transform(days).select("Date", scale.alias("prediction")) for _, _, model in self.members]
+        return reduce(DataFrame.unionByName, scored).groupBy("Date").agg(F.avg("prediction").alias("prediction"))
+
+    def rounds(self, spark: SparkSession) -> DataFrame:
+        """(learner, seed, trees): the rounds that each boosted fit has used, and the trees of each forest."""
+        rows = [(k, seed, model.getNumTrees) for k, seed, model in self.members]
+        return spark.createDataFrame(rows, "learner int, seed int, trees int")
+
+
+def fit_ensemble(
     train: DataFrame,
-    test: DataFrame,
     learners: list[Callable[[int], Estimator]],
     size: EnsembleSize,
     target: str = "Revenue",
     log_target: bool = True,
     features: list[str] = FORECAST_FEATURES,
-) -> DataFrame:
-    """Mean prediction per day over all learners and seeds, on the original scale."""
+) -> Ensemble:
+    """Every learner with every seed."""
     label = F.log1p(F.col(target)) if log_target else F.col(target)
-    ready = materialize(_vectors(train, features).select("features", label.alias("label")))
-    days = materialize(_vectors(test, features).select("Date", "features"))
-    scale = F.expm1("prediction") if log_target else F.col("prediction")
+    vectors = _with_held_out(_vectors(train, features).withColumn("label", label), size)
+    ready = materialize(vectors.select("features", "label", *[f"held_{seed}" for seed in size.seeds]))
 
-    def fit(make: Callable[[int], Estimator], seed: int):
+    def fit(make: Callable[[int], Estimator], seed: int) -> Model:
         return make(seed).fit(ready)
 
     with ThreadPoolExecutor(size.threads) as pool:
         fits = [
-            pool.submit(inheritable_thread_target(ready.sparkSession)(fit), make, seed)
-            for make in learners
+            (k, seed, pool.submit(inheritable_thread_target(ready.sparkSession)(fit), make, seed))
+            for k, make in enumerate(learners)
             for seed in size.seeds
         ]
-        models = [f.result() for f in fits]
+        return Ensemble([(k, seed, f.result()) for k, seed, f in fits], features, log_target)
 
-    scored = [m.transform(days).select("Date", scale.alias("prediction")) for m in models]
-    stacked = scored[0]
-    for one in scored[1:]:
-        stacked = stacked.unionByName(one)
-    return stacked.groupBy("Date").agg(F.avg("prediction").alias("prediction"))
+
+def ensemble_predict(
+    train: DataFrame,
+    test: DataFrame,
+    learners: list[Callable[[int], Estimator]],
+    size: EnsembleSize,
+    target: str = "Revenue",
+    log_target: bool = True,
+    features: list[str] = FORECAST_FEATURES,
+) -> DataFrame:
+    """Mean prediction per day over all learners and seeds, on the original scale."""
+    return fit_ensemble(train, learners, size, target, log_target, features).predict(test)
 
 
 def regime_frames(features: DataFrame, first: int, split: int, last: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -245,8 +331,9 @@ def feature_importance(
     train: DataFrame, size: EnsembleSize, features: list[str] = FORECAST_FEATURES, target: str = "Revenue"
 ) -> DataFrame:
     """Importance and group of every feature in one boosted model; one row per feature."""
-    ready = materialize(_vectors(train, features).select("features", F.log1p(target).alias("label")))
-    model = _boosted(size, size.depth)(size.seeds[0]).fit(ready)
+    ready = _with_held_out(_vectors(train, features).withColumn("label", F.log1p(target)), size)
+    seed = size.seeds[0]
+    model = _boosted(size, size.depth)(seed).fit(materialize(ready.select("features", "label", f"held_{seed}")))
     group_of = {c: g for g, members in FEATURE_GROUPS.items() for c in members}
     rows = [(f, group_of[f], float(v)) for f, v in zip(features, model.featureImportances.toArray())]
     spark = train.sparkSession

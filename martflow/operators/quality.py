@@ -138,11 +138,20 @@ def null_classes(tables: dict[str, DataFrame], rules: dict[str, dict[str, list[s
     return null_classes_of(table_profiles(tables, {}), rules)
 
 
+def incomplete_rows(df: DataFrame, needed: tuple[str, ...]) -> DataFrame:
+    """Rows that lack one of the needed columns' values; columns that the table does not have are not asked for."""
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed if c in df.columns], F.lit(True))
+    return df.where(~complete)
+
+
 def missing_payment_rows(orders_payments: DataFrame) -> DataFrame:
     """Orders whose payment is missing or incomplete."""
-    needed = [c for c in ("payment_method", "payment_value", "installments") if c in orders_payments.columns]
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed], F.lit(True))
-    return orders_payments.where(~complete)
+    return incomplete_rows(orders_payments, ("payment_method", "payment_value", "installments"))
+
+
+def missing_shipment_rows(orders_shipments: DataFrame) -> DataFrame:
+    """Orders whose shipment is missing or incomplete."""
+    return incomplete_rows(orders_shipments, ("ship_date", "delivery_date", "shipping_fee"))
 
 
 # ---------------------------------------------------------------- keys

@@ -257,6 +257,12 @@ QUERIES: dict[str, Query] = {
            left join v_payments p on o.order_id = p.order_id
            where o.payment_method is null or p.payment_value is null or p.installments is null""",
     ),
+    "missing_shipment_rows": Query(
+        "order_id:i order_status ship_date:d delivery_date:d shipping_fee:4",
+        lambda v: quality.missing_shipment_rows(joins.orders_shipments(v.orders_without_place(), v.shipments(), v.owners("payments"))),
+        """select order_id, order_status, ship_date, delivery_date, shipping_fee from m_orders_shipments
+           where ship_date is null or delivery_date is null or shipping_fee is null""",
+    ),
     "join_log": Query(
         "join_name left_rows:i right_rows:i output_rows:i growth_vs_left:6 left_key right_key expected status note",
         lambda v: joins.join_log(v.tables()),

@@ -91,6 +91,11 @@ def test_missing_payments(shop):
     assert sorted(r["order_id"] for r in rows) == [4, 6]
 
 
+def test_missing_shipments(shop):
+    rows = quality.missing_shipment_rows(joins.orders_shipments(shop["orders"], shop["shipments"])).collect()
+    assert sorted(r["order_id"] for r in rows) == [5, 6]
+
+
 def test_audit_overview_counts_repeated_rows(shop):
     doubled = shop["payments"].union(shop["payments"])
     row = quality.audit_overview({"payments": doubled}).first()
