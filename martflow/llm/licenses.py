@@ -1,13 +1,16 @@
 """Licence scans: ordered regex signatures behind a keyword prefilter, as SQL expressions only.
 
 A text is first searched for any word that licences are named by; most texts end there. For the rest,
-only signatures whose keyword stands in the text are tried. Their matches are intervals; where they
-overlap, a match is suppressed by one that contains it and is at least as good, and by a partial overlap
-with a better one. What is left is the result, in order of place.
+only signatures whose keyword stands in the text are tried. Their matches are intervals and are taken in order of
+priority, longer ones first: a match is suppressed by one already taken that contains it, or that overlaps it
+and has a better priority. What has itself been suppressed suppresses nothing. The matches taken are
+the result, in order of place.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +19,16 @@ from martflow.llm.quality_rules import let
 
 #: Phrases of words and the labels they stand for (fixed values).
 BASE_PHRASES: dict[str, str] = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _NOT_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Any signature's keyword or base phrase needs one of these. An underscore ends a word, unlike at ``\b``.
-_ANY = r"(?i)licen[cs]|copyright|creative|©|(?<![a-z0-9])cc|gpl|bsd|wtfpl|cddl|public|rights|derechos|droits|rechte|proprietary|prohibited|as.is|granted|redistribution|advertising|neither|permission|(?<![a-z0-9])mit(?![a-z0-9])|unicode|zlib|rail|boost\.org|mozilla\.org|apache|cecill|mulan"
+#: Any signature's keyword or base phrase needs one of these in the lower-cased text: plain strings first.
+_ANY = (
+    "licens", "licenc", "copyright", "creative", "©", "gpl", "bsd", "wtfpl", "cddl", "public", "rights", "derechos", "droits", "rechte",
+    "proprietary", "prohibited", "granted", "redistribution", "advertising", "neither", "permission", "unicode", "zlib", "rail",
+    "boost.org", "mozilla.org", "apache", "cecill", "mulan",
+)
+#: Short names, looked for as words only. An underscore ends a word, unlike at ``\b``.
+_SHORT = r"(?<![a-z0-9])(?:cc|mit(?![a-z0-9]))|as.is"
 #: How sure a match of each priority is.
 _SURE = {1: 1.0, 2: 0.95, 3: 0.8, 4: 0.4}
 
@@ -30,6 +38,12 @@ def lowered(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
+def is_likely(low: Column) -> Column:
+    """Whether a lower-cased text may hold a licence. Plain strings are found much faster than alternatives of a regex."""
+    strings = reduce(lambda a, b: a | b, (F.contains(low, F.lit(s)) for s in _ANY))
+    return strings | F.rlike(low, F.lit(_SHORT))
+
+
 def detections(low: Column, rules: list[Signature]) -> Column:
     """All matches of the signatures in a lower-cased text: label, priority, start, end (characters)."""
     table = F.array(*(F.struct(F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern")) for r in rules))
@@ -57,23 +71,26 @@ def detections(low: Column, rules: list[Signature]) -> Column:
 
 
 def resolved(found: Column) -> Column:
-    """The matches that no other suppresses, by place and label."""
-
-    def survivors(all_: Column) -> Column:
-        def suppressed(d: Column) -> Column:
-            def by(o: Column) -> Column:
-                longer = (o["end"] - o["start"]) > (d["end"] - d["start"])
-                contains = (o["start"] <= d["start"]) & (o["end"] >= d["end"])
-                same = (o["start"] == d["start"]) & (o["end"] == d["end"])
-                overlaps = (o["start"] < d["end"]) & (o["end"] > d["start"])
-                better = (o["priority"] < d["priority"]) | ((o["priority"] == d["priority"]) & (o["label"] < d["label"]))
-                return (contains & longer & (o["priority"] <= d["priority"])) | (same & better) | (overlaps & ~contains & (o["priority"] < d["priority"]))
+    """The matches that are taken (see above), by place and label."""
+    ranked = F.sort_array(
+        F.transform(
+            F.array_distinct(found),
+            lambda d: F.struct(d["priority"].alias("priority"), (d["start"] - d["end"]).alias("size"), d["start"].alias("start"), d["label"].alias("label"), d["end"].alias("end")),
+        )
+    )
 
-            return F.exists(all_, by)
+    def suppressed(d: Column, taken: Column) -> Column:
+        # those taken before are at least as good, and as long if no better
+        contains = lambda o: (o["start"] <= d["start"]) & (o["end"] >= d["end"])
+        overlaps = lambda o: (o["start"] < d["end"]) & (o["end"] > d["start"])
+        return F.exists(taken, lambda o: contains(o) | (overlaps(o) & (o["priority"] < d["priority"])))
 
-        return F.filter(all_, lambda d: ~suppressed(d))
+    def take(taken: Column, d: Column) -> Column:
+        match = F.struct(d["start"].alias("start"), d["end"].alias("end"), d["label"].alias("label"), d["priority"].alias("priority"))
+        return F.when(suppressed(d, taken), taken).otherwise(F.concat(taken, F.array(match)))
 
-    return F.sort_array(F.transform(let(F.array_distinct(found), survivors), lambda d: F.struct(d["start"].alias("start"), d["end"].alias("end"), d["label"].alias("label"), d["priority"].alias("priority"))))
+    none = F.expr("CAST(array() AS array<struct<start:int,end:int,label:string,priority:int>>)")
+    return F.sort_array(F.aggregate(ranked, none, take))
 
 
 def phrase_places(norm: Column, phrases: dict[str, str]) -> Column:
@@ -108,21 +125,20 @@ def license_scan(docs: DataFrame, text: str = "text", rules: list[Signature] | N
     signatures find there. Rows are never merged or dropped; other columns pass through.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    likely = F.rlike(whole, F.lit(_ANY))
-    norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered(whole), _NOT_WORDS, " ")), F.lit(" "))
+    norm = lambda low: F.concat(F.lit(" "), F.trim(F.regexp_replace(low, _NOT_WORDS, " ")), F.lit(" "))
     none_base = F.expr("CAST(array() AS array<struct<word:int,label:string>>)")
     none_found = F.expr("CAST(array() AS array<struct<start:int,end:int,label:string,priority:int>>)")
     chosen = signatures() if rules is None else rules
-    # one branch for both results, so that the prefilter runs once for each text
-    found = F.when(
-        likely,
-        F.struct(let(norm, lambda n: phrase_places(n, BASE_PHRASES)).alias("base"), resolved(let(lowered(whole), lambda low: detections(low, chosen))).alias("licenses")),
-    ).otherwise(F.struct(none_base.alias("base"), none_found.alias("licenses")))
+
+    # one lower-cased copy of the text and one branch for both results, so that the prefilter runs once for each text
+    def scan(low: Column) -> Column:
+        base = let(norm(low), lambda n: phrase_places(n, BASE_PHRASES))
+        found = F.when(is_likely(low), F.struct(base.alias("base"), resolved(detections(low, chosen)).alias("licenses")))
+        words = F.size(F.array_remove(F.split(low, _NOT_WORDS), "")).cast("long")
+        return F.struct(words.alias("n_words"), found.otherwise(F.struct(none_base.alias("base"), none_found.alias("licenses"))).alias("found"))
+
     holder = next(n for n in (f"__found{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
-    scanned = (
-        docs.withColumns({"n_words": F.regexp_count(whole, F.lit(_WORD)).cast("long"), holder: found})
-        .withColumns({"base": F.col(f"{holder}.base"), "licenses": F.col(f"{holder}.licenses")})
-        .drop(holder)
-    )
+    parts = {"n_words": f"{holder}.n_words", "base": f"{holder}.found.base", "licenses": f"{holder}.found.licenses"}
+    scanned = docs.withColumn(holder, let(lowered(whole), scan)).withColumns({n: F.col(c) for n, c in parts.items()}).drop(holder)
     sure = F.array_max(F.transform("licenses", lambda d: F.coalesce(*(F.when(d["priority"] == p, F.lit(s)) for p, s in _SURE.items()), F.lit(0.0))))
     return scanned.withColumn("license_score", F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(sure, F.lit(0.0))))

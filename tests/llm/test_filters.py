@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -145,6 +146,37 @@ def test_signatures_and_suppression(spark, text, labels):
         assert 0 <= d["start"] < d["end"] <= len(text)
 
 
+def naive_resolved(found):
+    """Matches (start, end, label, priority) taken in order of priority, from the definition."""
+    taken = []
+    for s, e, label, priority in sorted(set(found), key=lambda d: (d[3], d[0] - d[1], d[0], d[2])):
+        contained = any(a <= s and b >= e for a, b, *_ in taken)
+        if not contained and not any(a < e and b > s and p < priority for a, b, _, p in taken):
+            taken.append((s, e, label, priority))
+    return sorted(taken)
+
+
+def test_overlaps_are_resolved_in_order_of_priority(spark):
+    rng = random.Random(6)
+    chain = [(0, 10, "c", 3), (8, 20, "b", 2), (18, 30, "a", 1)]
+    sets = [chain, chain * 2, [], [(0, 5, "a", 1), (0, 5, "b", 1)], [(0, 9, "x", 2), (2, 4, "y", 2), (2, 4, "z", 1)]]
+    for _ in range(200):
+        spans = [(s, s + rng.randint(1, 12)) for s in (rng.randint(0, 30) for _ in range(rng.randint(0, 9)))]
+        sets.append([(s, e, rng.choice("abcd"), rng.randint(1, 4)) for s, e in spans])
+    rows = [(k, [(label, p, s, e) for s, e, label, p in found]) for k, found in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "k int, found array<struct<label:string,priority:int,start:int,end:int>>")
+    got = {r["k"]: [(d["start"], d["end"], d["label"], d["priority"]) for d in r["left"]] for r in frame.select("k", licenses.resolved(F.col("found")).alias("left")).collect()}
+    assert got == {k: naive_resolved(found) for k, found in enumerate(sets)}
+    assert got[0] == [(0, 10, "c", 3), (18, 30, "a", 1)]
+
+
+def test_every_signature_passes_the_prefilter():
+    """The wording that a pattern asks for holds one of the prefilter's strings."""
+    for rule in license_rules.signatures():
+        wording = rule.pattern.replace(license_rules._gap("_"), " ").replace("[sc]", "s").replace("\\.", ".").replace("[eé]", "é")
+        assert any(s in wording for s in licenses._ANY) or re.search(licenses._SHORT, wording), rule
+
+
 def test_there_are_hundreds_of_signatures_and_all_compile(spark):
     rules = license_rules.signatures()
     assert len(rules) > 250
