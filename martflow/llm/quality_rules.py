@@ -1,13 +1,15 @@
 """Quality rules as a short-circuit cascade of SQL expressions.
 
-Each rule rejects a text by a boolean expression. On a sample of bounded size the cascade measures how
-long every rule takes and what share of the sample it rejects, then evaluates the rules in the order of
-rejection per cost. A rule is only evaluated for texts that all rules before it let pass: CASE WHEN
-stops at the first branch that is true. The order changes the work, never which texts are kept.
+Each rule rejects a text by a boolean expression over the raw text. On a sample of bounded size the cascade measures
+what every rule costs, counting included, and what share of the sample it rejects, then evaluates the rules in the
+order of rejection per cost. A rule, with the counts that only it needs, is only evaluated for texts that all rules
+before it let pass: CASE WHEN stops at the first branch that is true. The order changes the work, never which texts
+are kept.
 """
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 
 from martflow.llm.common import written
 
-#: Expected number of rows of the sample on which costs and rejections are estimated.
-SAMPLE_ROWS = 1_000
+#: Expected number of rows of the sample on which costs and rejections are estimated; how often a rule is evaluated on
+#: each of them in one run, so that its own time stands out; and how many runs there are.
+SAMPLE_ROWS, SAMPLE_COPIES, SAMPLE_RUNS = 1_000, 6, 3
 _GAP = "[ \\t-\\r]"
 
 
@@ -56,11 +59,32 @@ def repeated_window_words(words: Column, size: int = 3) -> Column:
     return let(words, count)
 
 
-def with_counts(docs: DataFrame, text: str = "text", name: str = "counts") -> DataFrame:
-    """Adds a struct of counts of each text, which the rules read: n_words, word_chars, n_symbols (of
+class TextCounts:
+    """Counts of a text by name, each an expression of its own over the raw text: n_words, word_chars, n_symbols (of
     ``#*$%&|<>``), n_lines (with a word), n_dup_lines (equal to an earlier one), n_repeat_words."""
-    whole = F.coalesce(F.col(text), F.lit(""))
 
+    NAMES = ("n_words", "word_chars", "n_repeat_words", "n_symbols", "n_lines", "n_dup_lines")
+
+    def __init__(self, text: Column):
+        self.text = F.coalesce(text, F.lit(""))
+
+    def lines(self) -> Column:
+        return F.filter(F.split(self.text, "\n"), lambda x: F.rlike(x, F.lit("[^ \\t-\\r]")))
+
+    def __getitem__(self, name: str) -> Column:
+        made = {
+            "n_words": lambda: F.size(words_of(self.text)),
+            "word_chars": lambda: F.length(F.array_join(words_of(self.text), "")),
+            "n_repeat_words": lambda: repeated_window_words(words_of(self.text)),
+            "n_symbols": lambda: F.length(F.regexp_replace(self.text, "[^#*$%&|<>]+", "")),
+            "n_lines": lambda: F.size(self.lines()),
+            "n_dup_lines": lambda: let(self.lines(), lambda x: F.size(x) - F.size(F.array_distinct(x))),
+        }
+        return made[name]().cast("long")
+
+
+def with_counts(docs: DataFrame, text: str = "text", name: str = "counts") -> DataFrame:
+    """Adds a struct of all counts of each text (see TextCounts); words and lines are split once for all of them."""
     def counts(w: Column) -> Column:
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
@@ -74,9 +98,8 @@ def with_counts(docs: DataFrame, text: str = "text", name: str = "counts") -> Da
             (F.size(found) - F.size(F.array_distinct(found))).cast("long").alias("n_dup_lines"),
         )
 
-    with_word = F.filter(F.split(whole, "\n"), lambda x: F.rlike(x, F.lit("[^ \\t-\\r]")))
-    symbols = F.length(F.regexp_replace(whole, "[^#*$%&|<>]+", "")).cast("long")
-    parts = docs.withColumns({f"{name}_w": let(words_of(F.col(text)), counts), f"{name}_l": let(with_word, lines), f"{name}_s": symbols})
+    symbols = TextCounts(F.col(text))["n_symbols"]
+    parts = docs.withColumns({f"{name}_w": let(words_of(F.col(text)), counts), f"{name}_l": let(TextCounts(F.col(text)).lines(), lines), f"{name}_s": symbols})
     return parts.withColumn(
         name,
         F.struct(*(F.col(f"{name}_w.{c}").alias(c) for c in ("n_words", "word_chars", "n_repeat_words")), F.col(f"{name}_s").alias("n_symbols"), f"{name}_l.n_lines", f"{name}_l.n_dup_lines"),
@@ -85,10 +108,10 @@ def with_counts(docs: DataFrame, text: str = "text", name: str = "counts") -> Da
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` gets the text and the struct of counts; null counts as passed."""
+    """``fails`` gets the text and its counts by name (see TextCounts, or a struct of them); null counts as passed."""
 
     name: str
-    fails: Callable[[Column, Column], Column]
+    fails: Callable[[Column, TextCounts | Column], Column]
 
 
 def _share(text: Column, kind: str, of: str) -> Column:
@@ -116,50 +139,64 @@ RULES: tuple[Rule, ...] = (
 
 @dataclass(frozen=True)
 class RuleCost:
+    """``seconds`` of one evaluation of the sample, and the share of the sample that the rule rejects."""
+
     rule: Rule
     seconds: float
     rejected: float
 
-    @property
-    def rank(self) -> float:
-        return self.rejected / max(self.seconds, 1e-4)
+    def rank(self, unit: float) -> float:
+        """Rejection per cost. Costs count as powers of two of ``unit``: finer differences are noise."""
+        return self.rejected / 2.0 ** round(math.log2(max(self.seconds, unit) / unit))
 
 
-def ordered_rules(docs: DataFrame, text: str, counts: str, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[RuleCost]:
+def in_order(costs: list[RuleCost]) -> list[RuleCost]:
+    """Best rejection per cost first; ties keep the given order. A sixteenth of the dearest rule is the unit of cost."""
+    unit = max((c.seconds for c in costs), default=0.0) / 16 or 1.0
+    return sorted(costs, key=lambda c: -c.rank(unit))
+
+
+def ordered_rules(docs: DataFrame, text: str, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[RuleCost]:
     """The rules, best rejection per cost first, from a sample of about ``sample_rows`` rows.
 
-    Cost is the time to evaluate one rule over the written sample, less that of reading it; ties keep the
-    given order. An empty table keeps the given order as well.
+    Cost is the time to evaluate one rule on the raw texts of the written sample, the least of several runs, less that
+    of reading it. An empty table keeps the given order.
     """
     total = docs.count()
     if not total:
         return [RuleCost(r, 0.0, 0.0) for r in rules]
     picked = docs.select(text) if total <= sample_rows else docs.select(text).sample(sample_rows / total, seed=11)
-    sample = written(with_counts(picked, text, counts), "rule-sample")
-    tests = {r.name: F.coalesce(r.fails(F.coalesce(F.col(text), F.lit("")), F.col(counts)), F.lit(False)) for r in rules}
+    sample = written(picked.coalesce(1), "rule-sample")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    tests = {r.name: F.coalesce(r.fails(whole, TextCounts(F.col(text))), F.lit(False)) for r in rules}
     shares = sample.agg(*(F.avg(t.cast("double")).alias(n) for n, t in tests.items())).first()
+    copies = sample.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(SAMPLE_COPIES))))
 
-    def seconds(column: Column) -> float:
+    def seconds(test: Column) -> float:
         start = time.perf_counter()
-        sample.agg(F.count_if(column)).collect()
+        # the copy's number keeps the test from being evaluated once for all copies
+        copies.agg(F.count_if(test & (F.col("copy") > 0))).collect()
         return time.perf_counter() - start
 
-    plain = min(seconds(F.col(text).isNull()) for _ in range(2))
-    found = [RuleCost(r, max(0.0, seconds(tests[r.name]) - plain), shares[r.name] or 0.0) for r in rules]
-    return sorted(found, key=lambda f: -f.rank)
+    runs = [{"": seconds(F.col(text).isNotNull()), **{n: seconds(t) for n, t in tests.items()}} for _ in range(SAMPLE_RUNS)]
+    least = {n: min(run[n] for run in runs) for n in runs[0]}
+    return in_order([RuleCost(r, max(0.0, least[r.name] - least[""]) / SAMPLE_COPIES, shares[r.name] or 0.0) for r in rules])
 
 
-def quality_cascade(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, counts: str = "counts") -> DataFrame:
-    """Adds ``counts`` (see with_counts), ``rejected_by`` (a rule's name, null if kept) and ``kept``.
+def quality_cascade(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, counts: str | None = None) -> DataFrame:
+    """Adds ``rejected_by`` (a rule's name, null if kept) and ``kept``.
 
+    Counts are made inside the branches, for texts that get there. Who needs them all of all texts names a
+    column ``counts``: they are then made first (see with_counts), added, and read by the rules.
     Null and empty texts have no words and fall to the rule on few words. Rows are never merged or
     dropped; other columns pass through. ``rejected_by`` names the first failed rule in the measured
     order, so it may differ from run to run where several rules fail; ``kept`` does not.
     """
-    order = ordered_rules(docs, text, counts, rules)
-    counted = with_counts(docs, text, counts)
+    order = ordered_rules(docs, text, rules)
+    counted = docs if counts is None else with_counts(docs, text, counts)
+    known = TextCounts(F.col(text)) if counts is None else F.col(counts)
     whole = F.coalesce(F.col(text), F.lit(""))
     verdict = F.lit(None).cast("string")
     for found in reversed(order):
-        verdict = F.when(found.rule.fails(whole, F.col(counts)), F.lit(found.rule.name)).otherwise(verdict)
+        verdict = F.when(found.rule.fails(whole, known), F.lit(found.rule.name)).otherwise(verdict)
     return counted.withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())

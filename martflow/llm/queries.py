@@ -92,7 +92,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality_rules.quality_cascade(docs)
+    judged = quality_rules.quality_cascade(docs, counts="counts")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return (

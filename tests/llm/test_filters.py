@@ -90,14 +90,35 @@ def test_cascade_keeps_what_passes_every_rule_in_any_order(spark):
     fails = [F.coalesce(r.fails(whole, F.col("own_counts")), F.lit(False)) for r in quality_rules.RULES]
     all_pass = counted.select("doc_id", "text", (~F.greatest(*fails)).alias("kept"))
     assert cases.tuples(judged, "doc_id", "text", "kept") == cases.tuples(all_pass, "doc_id", "text", "kept")
+    lazy = quality_rules.quality_cascade(docs)
+    assert cases.tuples(lazy, "doc_id", "text", "kept") == cases.tuples(all_pass, "doc_id", "text", "kept")
+    assert "own_counts" not in lazy.columns and lazy.where("counts = 'own counts'").count() == docs.count()
     assert judged.where("doc_id = 12 and kept").count() == 1 and judged.where("doc_id = 16 and kept").count() == 0
     assert judged.where("kept = (rejected_by is null)").count() == docs.count()
 
 
 def test_rules_are_ordered_by_rejection_per_cost():
-    rule = quality_rules.RULES[0]
-    cheap, dear = quality_rules.RuleCost(rule, 0.1, 0.2), quality_rules.RuleCost(rule, 1.0, 0.4)
-    assert cheap.rank > dear.rank > quality_rules.RuleCost(rule, 1.0, 0.0).rank
+    rules = quality_rules.RULES
+    cheap, dear, never = quality_rules.RuleCost(rules[0], 0.1, 0.2), quality_rules.RuleCost(rules[1], 1.0, 0.4), quality_rules.RuleCost(rules[2], 0.1, 0.0)
+    assert quality_rules.in_order([never, dear, cheap]) == [cheap, dear, never]
+    # small differences of time are no differences, and ties keep their order
+    a, b = quality_rules.RuleCost(rules[0], 0.50, 0.1), quality_rules.RuleCost(rules[1], 0.45, 0.1)
+    assert quality_rules.in_order([a, b, dear]) == [dear, a, b] and quality_rules.in_order([b, a, dear]) == [dear, b, a]
+    assert quality_rules.in_order([]) == []
+
+
+def test_counts_cost_the_rules_that_need_them(spark):
+    """The rule on repeated windows has to sort all windows of a text: it must come out dearer than a plain count."""
+    docs = cases.frame(spark, [(k, cases.words(400, k), "en", "s", 1) for k in range(300)])
+    costs = {c.rule.name: c.seconds for c in quality_rules.ordered_rules(docs, "text")}
+    assert costs["repeated_windows"] > 3 * costs["few_words"]
+
+
+@pytest.mark.parametrize("name", quality_rules.TextCounts.NAMES)
+def test_counts_by_name_equal_the_struct(spark, name):
+    docs = cases.frame(spark)
+    both = quality_rules.with_counts(docs).select(F.col(f"counts.{name}").alias("a"), quality_rules.TextCounts(F.col("text"))[name].alias("b"))
+    assert both.where("a <=> b").count() == docs.count()
 
 
 def test_cascade_of_an_empty_table(spark):
