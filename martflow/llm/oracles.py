@@ -31,8 +31,11 @@ WITH l AS (
         lead(k) OVER (PARTITION BY doc_id ORDER BY ord) AS nx FROM n WHERE k <> ''
 ), d AS (
     SELECT doc_id, rn FROM (SELECT doc_id, rn, row_number() OVER (PARTITION BY k, nx ORDER BY doc_id, rn) AS place FROM s WHERE nx IS NOT NULL) WHERE place > 1
+), e AS (
+    SELECT doc_id, ord FROM (SELECT doc_id, ord, k, row_number() OVER (PARTITION BY k ORDER BY doc_id, rn) AS place FROM s)
+    WHERE place > 1 AND len(list_filter(regexp_split_to_array(k, '[\x20\x09-\x0D]+'), lambda x: x <> '')) >= 13
 ), g AS (
-    SELECT DISTINCT s.doc_id, s.ord FROM s JOIN d ON s.doc_id = d.doc_id AND s.rn IN (d.rn, d.rn + 1)
+    SELECT s.doc_id, s.ord FROM s JOIN d ON s.doc_id = d.doc_id AND s.rn IN (d.rn, d.rn + 1) UNION SELECT doc_id, ord FROM e
 ), t AS (
     SELECT n.doc_id, count(*) FILTER (k <> '') AS n_lines, count(g.ord) AS n_removed,
         string_agg(line, chr(10) ORDER BY n.ord) FILTER (g.ord IS NULL) AS kept

@@ -118,31 +118,68 @@ def test_every_window_holds_its_anchor():
     assert same[0] == grams[100] and again[0] + 100 == place[100]
 
 
-def naive_lines(rows, least):
+def naive_lines(rows, least, long_words=13):
     blanks = " \t\v\f\r"
     solid = [[(k, s) for k, x in enumerate((t or "").split("\n")) if (s := x.strip(blanks))] for _, t, *_ in rows]
     order = [LAST if i is None else i for i, *_ in rows]
-    # rows alike in id and text are the same place
+    # windows of ``least`` lines, and long lines by themselves; rows alike in id and text are the same place
+    def windows(lines):
+        found = [(k, tuple(s for _, s in lines[k : k + least])) for k in range(len(lines) - least + 1)]
+        return found + [(k, (s,)) for k, (_, s) in enumerate(lines) if least > 1 and len(s.encode().split()) >= long_words]
+
     places: dict = {}
     for o, (_, t, *_), lines in zip(order, rows, solid):
-        for k in range(len(lines) - least + 1):
-            places.setdefault(tuple(s for _, s in lines[k : k + least]), set()).add((o, k, t))
+        for k, window in windows(lines):
+            places.setdefault(window, set()).add((o, k, t))
     out = []
     for o, (i, t, *_), lines in zip(order, rows, solid):
         gone = set()
-        for k in range(len(lines) - least + 1):
-            if any((p, q) < (o, k) and (p < o or u == t) for p, q, u in places[tuple(s for _, s in lines[k : k + least])]):
-                gone.update(lines[k + j][0] for j in range(least))
+        for k, window in windows(lines):
+            if any((p, q) < (o, k) and (p < o or u == t) for p, q, u in places[window]):
+                gone.update(lines[k + j][0] for j in range(len(window)))
+                # the lines beside it go, too, if they are those beside the first place
+                _, q, u = min(places[window], key=lambda x: x[:2])
+                source = [x.strip(blanks) for x in u.split("\n") if x.strip(blanks)]
+                gone.update(lines[k + d][0] for d in (-1, len(window)) if 0 <= q + d < len(source) and 0 <= k + d < len(lines) and source[q + d] == lines[k + d][1])
         new = t if not gone else "" if len(gone) == len(lines) else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
         out.append((i, new, len(lines), len(gone)))
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("least", [1, 2, 3])
-def test_lines_equal_brute_force(spark, least):
+@pytest.mark.parametrize("least, long_words", [(1, 13), (2, 13), (3, 13), (2, 4), (4, 2)])
+def test_lines_equal_brute_force(spark, least, long_words):
     rows = [r for r in cases.rows() if r[0] not in (None, 1)] + [(100 + i, *r) for i, *r in copies(2)]
-    found = line_dedup.dedup_lines(cases.frame(spark, rows), min_lines=least)
-    assert cases.tuples(found, "doc_id", "text", "n_lines", "n_removed") == naive_lines(rows, least)
+    found = line_dedup.dedup_lines(cases.frame(spark, rows), min_lines=least, long_words=long_words)
+    assert cases.tuples(found, "doc_id", "text", "n_lines", "n_removed") == naive_lines(rows, least, long_words)
+
+
+def test_one_shared_long_line_between_different_neighbours(spark):
+    long, short = cases.words(13, 21), cases.words(12, 22)
+    rows = [(k, f"{cases.words(3, 30 + k)}\n{long}\n{cases.words(4, 40 + k)}\n{short}\nend {k}", "en", "s", 1) for k in range(4)]
+    rows += [(9, long, "en", "s", 1), (10, short, "en", "s", 1)]
+    found = {r["doc_id"]: r for r in line_dedup.dedup_lines(cases.frame(spark, rows)).collect()}
+    assert [long in found[k]["text"] for k in (0, 1, 2, 3, 9)] == [True, False, False, False, False]
+    assert all(short in found[k]["text"] for k in (0, 1, 2, 3, 10)) and found[9]["text"] == ""
+    assert [tuple(x) for x in found[2]["runs"]] == [(1, 2, 0, 1)]
+
+
+def test_only_window_minima_become_rows():
+    text = "\n".join(cases.words(3, k) for k in range(400)).encode()
+    for window in (2, 4, 8):
+        found = line_dedup.fingerprints(text, window, 13)
+        hashes = line_dedup.line_hashes(line_dedup.solid_lines(text))
+        # about 2 of window + 1 lines are minima, and every window is named by exactly one of them
+        assert 1.5 / (window + 1) < len(found) / 400 < 2.5 / (window + 1)
+        named = sorted((start, place) for place, _, own in found for start, *_ in own)
+        assert named == [(k, k + int(np.argmin(hashes[k : k + window]))) for k in range(400 - window + 1)]
+
+
+def test_matches_grow_to_equal_lines_beside_them():
+    match = {"at": 5, "size": 2, "src": 1, "src_at": 15, "left": 1, "right": 0}
+    assert line_dedup.extended([match]) == [(4, 7, 1, 14)]
+    beside = {**match, "at": 7, "src_at": 17, "left": 0, "right": 1}
+    other = {**match, "at": 7, "src_at": 30, "left": 0, "right": 0}
+    assert line_dedup.extended([beside, match, other]) == [(4, 10, 1, 14), (7, 9, 1, 30)]
 
 
 def test_line_runs_extend_both_ways(spark):
