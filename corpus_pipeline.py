@@ -2,6 +2,12 @@
 
 Every stage is (name, function); a function takes (spark, docs, sf_dir) and returns the next stage's
 docs. All but the last keep the columns of ``documents``.
+
+Null texts count as empty: they have no lines, shingles, benchmark words or tokens, and stay as far as the classifier
+lets empty texts stay. Rows with a null id take part like others and come after them where order matters. Rows
+alike in id and text are one place for the line stage and one document for the join, which keeps one of them; rows
+that repeat an id with other texts are documents of their own. Extra columns pass through all stages but the
+last, whatever their names. An empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -15,6 +21,8 @@ from martflow.llm.queries import BPE_VOCAB
 
 #: A document scored below this is rejected by the classifier.
 LEAST_QUALITY = 0.3
+#: Near copies share at least so many of 100 shingles of so many words.
+COPY_SHINGLE, COPY_PERCENT = 5, 80
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +42,9 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
+    """One document of each component of near copies: five-word shingles, a similarity of 0.8 or more."""
     ship(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, size=COPY_SHINGLE, percent=COPY_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
