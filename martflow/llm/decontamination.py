@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from martflow.llm.common import as_bytes, per_slice, with_computed
 
 WINDOW = 13
-#: An automaton is held by every worker, so its nodes have a bound (about 70 bytes each). A window of 13 words takes at most
+#: An automaton is held by every worker, so its nodes have a bound (about 90 bytes each). A window of 13 words takes at most
 #: 13 times the symbols of a word.
 MAX_NODES = 4_000_000
 

@@ -98,6 +98,21 @@ def test_other_scripts_are_rejected(spark, corpus):
     assert language_id.identify(spark.createDataFrame([(text,)], "text string"), model).first()["rejected"]
 
 
+def test_counts_of_many_tasks_are_summed_in_levels(spark):
+    rng = np.random.default_rng(4)
+    values = rng.random((70, 3, 5))
+    rows = [(part, block, values[part, block].tobytes()) for part in range(70) for block in range(3)]
+    parts = spark.createDataFrame(rows, "part int, block int, counts binary")
+    for fan_in, levels in ((4, 4), (256, 3), (70, 1)):
+        found = hmm.summed_blocks(parts, fan_in, levels).collect()
+        assert sorted(r["block"] for r in found) == [0, 1, 2]
+        for r in found:
+            np.testing.assert_allclose(np.frombuffer(r["counts"], np.float64), values[:, r["block"]].sum(axis=0))
+    one = hmm.summed_blocks(parts, 4, 1).groupBy("block").count().collect()
+    assert {r["count"] for r in one} == {18}
+    assert hmm.summed_blocks(parts.where("false")).count() == 0
+
+
 # --- compression classifier
 
 
