@@ -139,6 +139,9 @@ QUERIES: dict[str, Query] = {
         lambda v: raw.item_level(v.order_items(), v.orders_without_place(), v.products()),
         "select * from v_item_level",
     ),
+    "sales_by_date": Query(
+        "date:d Revenue:2 COGS:2", lambda v: raw.sales_by_date(v.sales()), 'select "Date" as date, "Revenue", "COGS" from v_sales'
+    ),
     "null_report": Query(
         "table column null_count:i null_rate:6",
         lambda v: quality.null_report(v.tables()),

@@ -42,7 +42,7 @@ def _typed(name: str, ddl: str) -> Column:
 def read_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
     """CSV with a header. Known columns are cast by name, others stay text; no inference pass."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"CSV not found: {path}")
+        raise FileNotFoundError(f"no CSV file or folder at {path}")
     text = normalize_columns(spark.read.option("header", True).option("inferSchema", False).csv(path))
     types = types or {}
     return text.select(*[_typed(c, types.get(c, "string")) for c in text.columns])

@@ -37,7 +37,7 @@ def test_missing_files_are_listed_together(spark, tmp_path):
     with pytest.raises(FileNotFoundError) as error:
         raw.load_raw_data(spark, str(tmp_path))
     assert str(error.value).count(".csv") == len(RAW_TABLES) - 1 and "sales.csv" not in str(error.value)
-    with pytest.raises(FileNotFoundError, match="CSV not found"):
+    with pytest.raises(FileNotFoundError, match="no CSV file"):
         raw.read_csv(spark, str(tmp_path / "no.csv"))
 
 
