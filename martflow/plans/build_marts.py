@@ -8,6 +8,8 @@ its joins, and a lost executor costs no more than its own tasks.
 from __future__ import annotations
 
 import argparse
+import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from martflow.plans import audit
 from martflow.session import build_session
 from martflow.sources.raw import load_raw_data
 from martflow.sources.schema import MART_KEYS
-from martflow.sources.writers import save_csv, save_layer
+from martflow.sources.writers import save_bucketed, save_csv, save_layer, save_months
 
 
 def write_joined_tables(t: dict[str, DataFrame], interim_dir: str) -> dict[str, DataFrame]:
@@ -41,6 +43,58 @@ def require_join_keys(t: dict[str, DataFrame]) -> None:
     quality.require_unique({name: (t[name], key) for name, key in marts.JOIN_KEYS.items() if name in t})
 
 
+#: Tables that meet by order.
+BY_ORDER = ("orders", "order_items", "payments", "shipments", "returns", "reviews")
+#: Rows of one order beyond which its bucket would be a task of its own size.
+HOT_ORDER_ROWS = 100_000
+
+
+def bucket_by_order(
+    t: dict[str, DataFrame], out_dir: str, buckets: int, hot_rows: int = HOT_ORDER_ROWS
+) -> dict[str, DataFrame]:
+    """The tables with those that meet by order written once in buckets of ``order_id``.
+
+    Each is shuffled once here instead of once in every join and aggregation of a build. Bucketed joins are never
+    split at run time, so a table in which one order (or the missing one) has more than ``hot_rows`` rows stays as
+    it is; to know that, rows are counted per order, before any shuffle.
+    """
+    spark = t["orders"].sparkSession
+    known = [name for name in BY_ORDER if name in t]
+    largest = [
+        t[name].groupBy("order_id").count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("most")).select(F.lit(name).alias("table"), "most")
+        for name in known
+    ]
+    # one row a table
+    cool = [r["table"] for r in quality.union_all(largest).collect() if r["most"] <= hot_rows]
+    mark = uuid.uuid4().hex[:12]
+    written = {name: save_bucketed(t[name], f"{out_dir}/bucketed/{name}", f"{name}_{mark}", "order_id", buckets) for name in cool}
+    return {**t, **written}
+
+
+def refresh_facts(t: dict[str, DataFrame], out_dir: str, months: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(item fact, order fact) after the rows of the given order months (``yyyy-MM``) have been built anew.
+
+    Only orders of these months are read from the raw tables on, and only their lines are joined; the order fact
+    takes its lines from the month folders of the written item fact. An order that moved from one month to
+    another needs both. Orders without a date have no month and stay as the last whole build left them.
+    """
+    day = F.col("order_date")
+    first = F.date_trunc("month", day).cast("date")
+    # as dates, so that the condition reaches the scan
+    wanted = first.isin([date.fromisoformat(f"{m}-01") for m in months])
+    orders = t["orders"].where(wanted)
+    lines = t["order_items"].join(orders.select("order_id"), "order_id", "left_semi")
+    items = marts.item_fact(
+        lines, orders, t["products"], t["customers"], t["geography"], t["payments"], t["shipments"], t["returns"], t["reviews"],
+        checked=False,
+    )
+    interim = f"{out_dir}/interim"
+    item_fact = save_months(items, interim, "item_fact", "order_date", months)
+    fresh = orders.sparkSession.read.parquet(f"{interim}/item_fact").where(F.col("month_part").isin(months)).drop("month_part")
+    order_fact = marts.order_fact(orders, fresh, t["customers"], t["geography"], t["payments"], t["shipments"], checked=False)
+    return item_fact, save_months(order_fact, interim, "order_fact", "order_date", months)
+
+
 def build_facts(t: dict[str, DataFrame], interim_dir: str) -> tuple[DataFrame, DataFrame]:
     """(item fact, order fact), both written."""
     item_fact = marts.item_fact(
@@ -100,9 +154,12 @@ def write_build_reports(
     audit.write_reports(audit.built_reports({**joined, **{name: built[name] for name in MART_KEYS}}), f"{out_dir}/reports")
 
 
-def run(spark: SparkSession, data_dir: str, out_dir: str) -> dict[str, DataFrame]:
+def run(spark: SparkSession, data_dir: str, out_dir: str, buckets: int | None = None) -> dict[str, DataFrame]:
+    """The whole job; ``buckets`` writes the tables that meet by order in so many buckets first."""
     tables = load_raw_data(spark, data_dir)
     require_join_keys(tables)
+    if buckets:
+        tables = bucket_by_order(tables, out_dir, buckets)
     joined = write_joined_tables(tables, f"{out_dir}/interim")
     built = build_marts(tables, out_dir)
     light = build_light_marts(tables, out_dir)
@@ -114,8 +171,16 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Build interim tables and marts from raw CSV files.")
     parser.add_argument("--data-dir", required=True)
     parser.add_argument("--out-dir", required=True)
+    parser.add_argument("--buckets", type=int, help="buckets by order of the raw tables; none by default")
+    parser.add_argument("--months", nargs="*", help="only rebuild the facts of these order months (yyyy-MM)")
     args = parser.parse_args()
-    run(build_session("martflow-build-marts"), args.data_dir, args.out_dir)
+    spark = build_session("martflow-build-marts")
+    if args.months:
+        tables = load_raw_data(spark, args.data_dir)
+        require_join_keys(tables)
+        refresh_facts(tables, args.out_dir, args.months)
+    else:
+        run(spark, args.data_dir, args.out_dir, args.buckets)
 
 
 if __name__ == "__main__":

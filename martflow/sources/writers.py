@@ -34,6 +34,28 @@ def save_layer(df: DataFrame, layer_dir: str, name: str, month_of: str | None =
     return back.drop("month_part")
 
 
+def save_months(df: DataFrame, layer_dir: str, name: str, month_of: str, months: list[str]) -> DataFrame:
+    """Replace the given months (``yyyy-MM``) of a table that ``save_layer`` wrote by month; returns the whole table.
+
+    ``df`` holds the new rows of these months and no others. Each month is a folder and is written by a job of its
+    own, so a month that has no rows any more ends up empty, and months that are not named are never touched.
+    """
+    path = f"{layer_dir}/{name}"
+    for month in months:
+        own = df.where(F.date_format(F.col(month_of), "yyyy-MM") == month)
+        own.write.mode("overwrite").parquet(f"{path}/month_part={month}")
+    return df.sparkSession.read.parquet(path).drop("month_part")
+
+
+def save_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> DataFrame:
+    """Write the table in buckets of its key and return it read back: joins of tables with equal buckets on that
+    key, and aggregations by it, need no shuffle. Rows are dealt to their bucket before they are written, so there is
+    one file a bucket."""
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def save_metrics(metrics: DataFrame, path: str) -> str:
     """One-row KPI frame as JSON."""
     metrics.coalesce(1).write.mode("overwrite").json(path)

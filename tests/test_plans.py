@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from martflow.operators import models
+from martflow.operators import joins, marts, models
 from martflow.plans import answers, audit, build_marts, forecasting, layers, queries_audit
 from martflow.sources.raw import load_raw_data
 from martflow.sources.retail_views import RetailViews
@@ -62,6 +62,54 @@ def test_build_writes_consistent_layers(spark, raw_dir, tmp_path):
     assert {t for t, _ in classes} == set(verdicts) == {r["table"] for r in read("audit_overview")} == {r["table"] for r in read("null_audit_detail")}
 
 
+def test_refreshed_months_equal_a_whole_build(spark, tables, tmp_path):
+    before, out = dict(tables), str(tmp_path / "a")
+    build_marts.build_facts(before, f"{out}/interim")
+    # one month gains lines and loses an order, one loses all its orders, the others must not be touched
+    months = ["1996-03", "1997-05"]
+    month = F.date_format("order_date", "yyyy-MM")
+    march = [r["order_id"] for r in tables["orders"].where(month == "1996-03").select("order_id").orderBy("order_id").limit(2).collect()]
+    more = tables["order_items"].where(F.col("order_id") == march[1]).withColumn("quantity", F.col("quantity") + 1)
+    changed = {
+        **tables,
+        "orders": tables["orders"].where((month != "1997-05") & (F.col("order_id") != march[0])),
+        "order_items": tables["order_items"].unionByName(more),
+    }
+    untouched = sorted(p.name for p in (tmp_path / "a/interim/item_fact/month_part=1996-04").iterdir())
+    items, orders = build_marts.refresh_facts(changed, out, months)
+    assert sorted(p.name for p in (tmp_path / "a/interim/item_fact/month_part=1996-04").iterdir()) == untouched
+    whole_items, whole_orders = build_marts.build_facts(changed, str(tmp_path / "b/interim"))
+    rows = lambda df: sorted(map(repr, df.where(F.col("order_date").isNotNull()).select(*sorted(df.columns)).collect()))
+    assert rows(items) == rows(whole_items) and rows(orders) == rows(whole_orders)
+    assert orders.where(month == "1997-05").count() == 0 < orders.where(month == "1996-03").count()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tables, tmp_path):
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bucketed = build_marts.bucket_by_order(tables, str(tmp_path), 4)
+        joined = joins.items_orders(bucketed["order_items"], bucketed["orders"], checked=False)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert "Exchange" not in bucketed["order_items"].groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+        plain = joins.items_orders(tables["order_items"], tables["orders"], checked=False)
+        assert sorted(map(repr, joined.select(*sorted(joined.columns)).collect())) == sorted(map(repr, plain.select(*sorted(plain.columns)).collect()))
+        fact = lambda t: marts.item_fact(*(t[n] for n in ("order_items", "orders", "products", "customers", "geography", "payments", "shipments", "returns", "reviews")), checked=False)
+        a, b = fact(bucketed), fact(tables)
+        exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert exchanges(a) < exchanges(b)
+        assert a.agg(F.count("*"), F.round(F.sum("line_revenue"), 2)).first() == b.agg(F.count("*"), F.round(F.sum("line_revenue"), 2)).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def test_a_table_with_a_hot_order_is_not_bucketed(spark, tables, tmp_path):
+    hot = {**tables, "order_items": tables["order_items"].withColumn("order_id", F.when(F.col("order_id") % 3 == 0, 1).otherwise(F.col("order_id")))}
+    bucketed = build_marts.bucket_by_order(hot, str(tmp_path), 2, hot_rows=100)
+    assert bucketed["order_items"] is hot["order_items"] and bucketed["orders"] is not hot["orders"]
+
+
 def test_audited_columns_are_those_of_the_tables(spark):
     v = RetailViews(spark, str(SF_SMALL))
     tables = queries_audit.audited_tables(v, queries_audit.layer_of(v))
