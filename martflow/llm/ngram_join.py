@@ -8,9 +8,11 @@ Under any one order of all shingles, two sets that similar share a shingle among
    frequent ones (counted over all documents), then the rest by hash. Prefix shingles that no other class
    has are dropped; classes that share one are joined into clusters (connected components), so a frequent
    shingle never makes pairs.
-3. A cluster is cut into blocks of bounded size; each pair of blocks is one task. There, pairs must also
-   share prefix shingles under two further orders and fit in size. What is left is verified on the
-   whole sets, and the task returns a spanning forest of its links, never all pairs.
+3. A large cluster is cut into blocks of bounded size, classes of one leading prefix shingle beside each other. Two
+   blocks meet, as one task, only if they have a prefix shingle in common: in a cluster that is a long chain of
+   neighbours, a block meets the few beside it. There, pairs must also share prefix shingles under two further orders
+   and fit in size. What is left is verified on the whole sets, and the task returns a spanning forest of its
+   links, never all pairs.
 4. The components of the forests are the components of all links.
 """
 
@@ -165,11 +167,37 @@ def _cell(percent: int):
     return links
 
 
-def links_forest(docs: DataFrame, profiles: DataFrame, clustered: DataFrame, size: int, percent: int) -> DataFrame:
+def blocks_of(chosen: DataFrame, prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, cluster, block) of the classes ``chosen`` (key, n, cluster), and the cells (cluster, i, j), i <= j, of blocks
+    that meet. Clusters of one block have one cell.
+
+    A class goes to a block by the least hash of the prefix shingles that it shares; a shingle that leads more classes
+    than a block takes is spread over several. Classes that share any prefix shingle meet in some cell.
+    """
+    sizes = chosen.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    sized = written(chosen.select("key", "cluster").join(sizes, "cluster"), "block-sizes")
+    small = sized.where("blocks = 1").select("key", "cluster", F.lit(0).alias("block"))
+    rows = prefixes.join(sized.where("blocks > 1"), "key")
+    shared = rows.groupBy("cluster", "t").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("cluster", "t")
+    rows = written(rows.join(shared, ["cluster", "t"]), "shared-prefixes")
+    lead = rows.groupBy("key", "cluster", "blocks").agg(F.min(F.xxhash64("t")).alias("lead"))
+    spread = lead.groupBy("cluster", "lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("places"))
+    place = F.pmod(F.xxhash64("lead", F.pmod(F.xxhash64("key"), F.col("places"))), F.col("blocks")).cast("int")
+    large = lead.join(spread, ["cluster", "lead"]).select("key", "cluster", place.alias("block"))
+    own = written(small.unionByName(large), "blocks")
+    # which blocks of a cluster have a shingle: a frequent one is one row a block by then
+    held = rows.select("key", "t").join(own, "key").select("cluster", "t", "block").distinct()
+    left, right = held.withColumnRenamed("block", "i"), held.withColumnRenamed("block", "j")
+    meet = left.join(right, ["cluster", "t"]).where("i <= j").select("cluster", "i", "j")
+    alone = own.select("cluster", F.col("block").alias("i"), F.col("block").alias("j"))
+    return own, meet.unionByName(alone).distinct()
+
+
+def links_forest(docs: DataFrame, profiles: DataFrame, clustered: DataFrame, prefixes: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v): links between classes, enough of them to connect whatever all links connect."""
     chosen = profiles.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")).join(clustered, "key")
-    blocks = chosen.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    wanted = chosen.join(blocks, "cluster").select("rep", "key", "cluster", "blocks")
+    own, cells = blocks_of(chosen.select("key", "n", "cluster"), prefixes)
+    wanted = chosen.select("key", "rep").join(own, "key")
     hashes = WordHashes()
 
     def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -178,16 +206,18 @@ def links_forest(docs: DataFrame, profiles: DataFrame, clustered: DataFrame, siz
         right = pa.array([set_key(s) == k for s, k in zip(sets, batch.column("key").to_pylist())])
         kept = [s for s, ok in zip(sets, right.to_pylist()) if ok]
         flat = np.concatenate([np.empty(0, np.uint64), *kept]).view(np.int64)
-        others = [batch.column(c).filter(right) for c in ("key", "cluster", "blocks")]
-        return pa.RecordBatch.from_arrays([*others, list_array(flat, [len(s) for s in kept], pa.int64())], names=["key", "cluster", "blocks", "shingles"])
+        others = [batch.column(c).filter(right) for c in ("key", "cluster", "block")]
+        return pa.RecordBatch.from_arrays([*others, list_array(flat, [len(s) for s in kept], pa.int64())], names=["key", "cluster", "block", "shingles"])
 
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "key", "cluster", "blocks")
-    sets = texts.mapInArrow(per_slice(sets_of, "text"), "key bigint, cluster bigint, blocks int, shingles array<bigint>")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "key", "cluster", "block")
+    sets = texts.mapInArrow(per_slice(sets_of, "text"), "key bigint, cluster bigint, block int, shingles array<bigint>")
     # side 2: both blocks of the cell are the same one
-    cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j"), F.when(own == o, 2).when(own < o, 0).otherwise(1).alias("side"))))
-    cells = sets.select("key", "cluster", "shingles", cell.alias("cell")).select("key", "cluster", "shingles", "cell.*")
-    return cells.groupBy("cluster", "i", "j").applyInArrow(_cell(percent), "u bigint, v bigint")
+    sides = F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("block"), F.lit(2).alias("side")))).otherwise(
+        F.array(F.struct(F.col("i").alias("block"), F.lit(0).alias("side")), F.struct(F.col("j").alias("block"), F.lit(1).alias("side")))
+    )
+    visits = cells.select("cluster", "i", "j", F.inline(sides))
+    placed = sets.join(visits, ["cluster", "block"]).select("key", "cluster", "shingles", "i", "j", "side")
+    return placed.groupBy("cluster", "i", "j").applyInArrow(_cell(percent), "u bigint, v bigint")
 
 
 def _by_class(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -196,8 +226,9 @@ def _by_class(docs: DataFrame, doc_id: str, text: str, size: int, percent: int)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("th", F.xxhash64("text"))
     kind = dict(rows.dtypes)["doc_id"]
     profiles = written(rows.mapInArrow(_profiles(size, percent), f"doc_id {kind}, th bigint, n bigint, key bigint, n_first bigint, first array<bigint>, later array<bigint>"), "profiles")
-    clustered = written(clusters(written(prefix_rows(profiles, percent), "prefixes")), "clusters")
-    linked = components(written(links_forest(rows, profiles, clustered, size, percent), "links"))
+    prefixes = written(prefix_rows(profiles, percent), "prefixes")
+    clustered = written(clusters(prefixes), "clusters")
+    linked = components(written(links_forest(rows, profiles, clustered, prefixes, size, percent), "links"))
     classes = profiles.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"))
     rooted = classes.join(linked, classes["key"] == linked["node"], "left").select("key", F.coalesce("root", "key").alias("root"), "low")
     return profiles.select("doc_id", "th", "n", "key"), rooted
