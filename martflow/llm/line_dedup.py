@@ -141,7 +141,8 @@ def dedup_lines(
 
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "runs")]
     joined = keyed.join(found, (order == F.col(key_id)) & (F.col(th) == F.col(key_th)), "left").select(*kept, found_name)
-    schema = T.StructType([*(f for f in docs.schema if f.name in kept), *T.StructType.fromDDL("n_lines bigint, n_removed bigint, runs array<struct<start:bigint,end:bigint,source:bigint,source_start:bigint>>")])
+    new = T.StructType.fromDDL("n_lines bigint, n_removed bigint, runs array<struct<start:bigint,end:bigint,source:bigint,source_start:bigint>>")
+    schema = T.StructType([*(f for f in docs.schema if f.name in kept), *new])
 
     def delete(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, lines, removed, runs = [], [], [], []

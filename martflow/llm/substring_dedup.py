@@ -236,7 +236,8 @@ def _segment_rows(window: int, anchor: int, shards: int):
         text = [words.between(s, e + window - 1) for s, e in zip(firsts.tolist(), lasts.tolist())]
         at = pa.array(rows)
         starts = firsts - np.concatenate([[0], ends[:-1]])[rows]
-        columns = [pa.array(grams[firsts] % shards), pa.array(_salts_of(ids, th, starts, k)), pa.array(k), batch.column("doc_id").take(at), pa.array(th), pa.array(starts.astype(np.int32)), pa.array(text, pa.binary()).cast(pa.string())]
+        columns = [pa.array(grams[firsts] % shards), pa.array(_salts_of(ids, th, starts, k)), pa.array(k), batch.column("doc_id").take(at)]
+        columns += [pa.array(th), pa.array(starts.astype(np.int32)), pa.array(text, pa.binary()).cast(pa.string())]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "salt", "salts", "doc_id", "th", "start", "words"])
 
     return per_slice(work, "packed", SLICE_BYTES // 3)
