@@ -38,9 +38,9 @@ WINDOW = 13
 ANCHOR = 5
 #: Segments that one task of a shard gets, roughly.
 SHARD_SEGMENTS = 20_000
-#: Texts of which very frequent anchors are learned, roughly, and how often one must occur among them. This only
-#: decides where rows are sent. At most SAMPLE_TEXTS * anchors of a text / HOT_TEXTS anchors are hot.
-SAMPLE_TEXTS, HOT_TEXTS = 20_000, 40
+#: Texts of which very frequent anchors are learned, roughly, how many of them must have one, and how many anchors are
+#: taken at most, the most frequent ones first. This only decides where rows are sent.
+SAMPLE_TEXTS, HOT_TEXTS, MAX_HOT = 20_000, 40, 100_000
 #: Places over which a hot anchor's texts are spread.
 HOT_PLACES = 64
 #: The id of rows whose id is null: they come after all others.
@@ -157,7 +157,8 @@ def _hot_anchors(rows: DataFrame, window: int, anchor: int, sample_texts: int) -
     step = max(1, rows.count() // sample_texts)
     sampled = rows.where(F.pmod(F.xxhash64("th"), F.lit(step)) == 0).dropDuplicates(["th"])
     counted = sampled.mapInArrow(_anchor_rows(window, anchor), _ANCHORS).groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
-    return {r["anchor"]: r["n"] * step for r in counted.where(F.col("c") >= HOT_TEXTS).select("anchor", "n").collect()}
+    hot = counted.where(F.col("c") >= HOT_TEXTS).orderBy(F.desc("c"), "anchor").limit(MAX_HOT)
+    return {r["anchor"]: r["n"] * step for r in hot.select("anchor", "n").collect()}
 
 
 def _recurring_anchors(hot: dict[int, int], shard_segments: int):
