@@ -270,30 +270,3 @@ def test_connected_components(spark, edges):
             a, b = root[u], root[v]
             root = {k: min(a, b) if r in (a, b) else r for k, r in root.items()}
     assert found == root
-
-
-def test_blocks_of_a_chain_meet_only_beside_each_other(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 5)
-    # 60 classes; each shares one prefix shingle with the next, and all of the last ten share one
-    prefixes = spark.createDataFrame([(1000 + k, key) for k in range(59) for key in (k, k + 1)] + [(5000, k) for k in range(50, 60)] + [(9000 + k, k) for k in range(60)], "t bigint, key bigint")
-    chosen = spark.createDataFrame([(k, 10, 0) for k in range(60)] + [(100, 10, 7), (101, 10, 7)], "key bigint, n bigint, cluster bigint")
-    own, cells = ngram_join.blocks_of(chosen, prefixes)
-    block = {r["key"]: (r["cluster"], r["block"]) for r in own.collect()}
-    met = {tuple(r) for r in cells.collect()}
-    assert len(block) == 62 and block[100] == block[101] == (7, 0) and (7, 0, 0) in met
-    # 12 blocks have 78 pairs; a chain of 60 needs at most 59 of them besides the blocks themselves
-    assert all(tuple([0, *sorted((block[k][1], block[k + 1][1]))]) in met for k in range(59))
-    assert all(tuple([0, *sorted((block[a][1], block[b][1]))]) in met for a in range(50, 60) for b in range(50, 60))
-    links = {tuple(sorted((block[a][1], block[b][1]))) for a, b in [(k, k + 1) for k in range(59)] + [(a, b) for a in range(50, 60) for b in range(50, 60)]}
-    assert {(i, j) for c, i, j in met if c == 0} == links | {(b, b) for c, b in block.values() if c == 0}
-    assert len(block) > max(sum(1 for x in block.values() if x == b) for b in set(block.values())) <= 20
-
-
-def test_a_hot_leading_shingle_is_spread(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 10)
-    prefixes = spark.createDataFrame([(7, k) for k in range(200)], "t bigint, key bigint")
-    chosen = spark.createDataFrame([(k, 10, 0) for k in range(200)], "key bigint, n bigint, cluster bigint")
-    own, cells = ngram_join.blocks_of(chosen, prefixes)
-    sizes = [r["count"] for r in own.groupBy("block").count().collect()]
-    assert max(sizes) < 60 and sum(sizes) == 200
-    assert cells.count() == len(sizes) * (len(sizes) + 1) // 2
