@@ -158,3 +158,16 @@ def test_each_table_is_read_once_for_its_verdict(shop):
     plan.collect()
     text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in text and text.count("Union") == 1
+
+
+def test_keys_and_nulls_are_counted_in_one_shuffle(spark):
+    rows = spark.createDataFrame([(1, None, 2), (1, 3, None), (None, 3, 4), (2, None, None)], "id int, x int, y int")
+    counts = tagged.grain_counts({"t": rows}, {"t": ["id"]})
+    found = counts.first()
+    assert tuple(found)[1:4] == (4, 3, 1) and [c["null_count"] for c in found["columns"]] == [1, 2, 2]
+    # only the groups themselves travel with a key: all later shuffles are by table alone
+    counts = tagged.grain_counts({"t": rows}, {"t": ["id"]})
+    counts.collect()
+    text = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    shuffles = [line for line in text.splitlines() if "+- Exchange hashpartitioning" in line and "whole0" in line]
+    assert len(shuffles) == 1 and "ReusedExchange" in text, text
