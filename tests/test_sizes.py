@@ -30,7 +30,7 @@ def given(spark):
 def test_partitions_follow_the_rows_and_the_given_session_stays(given):
     own = sized_session(given, 10 * ROWS_A_PARTITION + 1)
     assert own.conf.get("spark.sql.shuffle.partitions") == "11"
-    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "4m"
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     assert own.conf.get("spark.sql.files.maxPartitionBytes") == "1m"  # smaller already
     assert own.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
     assert sized_session(given, 0).conf.get("spark.sql.shuffle.partitions") == "3"
