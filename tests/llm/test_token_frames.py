@@ -148,3 +148,21 @@ def test_query_over_the_whole_table(spark, library):
         assert tuple(found[doc["doc_id"]]) == (doc["doc_id"], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
     assert len(found) == len(docs)
+
+
+def test_a_repeated_chunk_is_looked_up_once(library):
+    class Counting(token_frames.WordCodec):
+        looked_up = 0
+
+        def get(self, chunk, default=None):
+            self.looked_up += 1
+            return super().get(chunk, default)
+
+        def __getitem__(self, chunk):
+            self.looked_up += 1
+            return super().__getitem__(chunk)
+
+    codec = Counting(queries.WORD_VOCAB)
+    texts = [" again\tand\x0bagain ", "", "\n", "and  again it's " * 500]
+    assert [ids_of(x) for x in codec.encode([*(t.encode() for t in texts), None])] == [*map(library, texts), []]
+    assert codec.looked_up < 20 and codec.encode([]) == []
