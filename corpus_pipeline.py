@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.llm import bpe, compression_quality, decontamination, line_dedup, ngram_join
-from martflow.llm.common import fold_of, read_table, ship
+from martflow.llm.common import fold_of, read_table, ship, small_batches, written
 from martflow.llm.queries import BPE_VOCAB
 
 #: A document scored below this is rejected by the classifier.
@@ -25,8 +25,15 @@ LEAST_QUALITY = 0.3
 COPY_SHINGLE, COPY_PERCENT = 5, 80
 
 
+def prepare(spark: SparkSession) -> None:
+    """What every stage needs of the session, where executors stay up through all of them."""
+    ship(spark)
+    small_batches(spark)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier doesn't reject; it learns from the labelled ones."""
+    prepare(spark)
     model = compression_quality.fit_quality(docs, read_table(spark, sf_dir, "labels"), fold_of("doc_id", 5) != 0)
     scored = compression_quality.quality_scores(docs, model, score="quality_score")
     return scored.where(F.col("quality_score") >= LEAST_QUALITY).select(*docs.columns)
@@ -34,7 +41,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeats of line runs; one of which nothing is left goes."""
-    ship(spark)
+    prepare(spark)
     found = line_dedup.dedup_lines(docs)
     cut = F.col("n_removed") > 0
     changed = found.where(~(cut & (F.col("text") == ""))).withColumn("n_chars", F.when(cut, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
@@ -43,20 +50,23 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def join_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: five-word shingles, a similarity of 0.8 or more."""
-    ship(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs, size=COPY_SHINGLE, percent=COPY_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passages of the benchmark, or hardly any."""
+    prepare(spark)
     found = decontamination.contamination(docs, read_table(spark, sf_dir, "benchmark"))
     return found.where(~decontamination.is_contaminated(F.col("n_hit"), F.col("n_words"))).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of the ids and of the text that they decode to."""
-    ship(spark)
-    decoded = bpe.bpe_decode(bpe.bpe_encode(docs, BPE_VOCAB), BPE_VOCAB)
+    prepare(spark)
+    # written in between: else each task has one Python worker that encodes and another that decodes
+    encoded = written(bpe.bpe_encode(docs, BPE_VOCAB), "token-ids")
+    decoded = bpe.bpe_decode(encoded, BPE_VOCAB)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
