@@ -260,6 +260,43 @@ def test_one_of_each_component_stays(spark):
     assert ngram_join.one_of_each(cases.frame(spark, [])).count() == 0
 
 
+def test_sketches_never_part_what_links():
+    rng = random.Random(11)
+    for percent in (60, 80, 85, 100):
+        for _ in range(300):
+            n = rng.randint(1, 400)
+            own = rng.sample(range(4000), n)
+            other = sorted({*rng.sample(own, rng.randint(n // 2, n)), *rng.sample(range(4000), rng.randint(0, n // 4 + 1))})
+            a, b = (ngram_join.mixed(np.array(x, np.uint64)) for x in (own, other))
+            sides = [(len(x), 8 * len(ngram_join.sketch(x)), int.from_bytes(ngram_join.sketch(x), "little")) for x in (a, b)]
+            shared = len({*own} & {*other})
+            if 100 * shared >= percent * (len(own) + len(other) - shared):
+                assert ngram_join.may_link(*sides[0], *sides[1], percent) and ngram_join.may_link(*sides[1], *sides[0], percent)
+    apart = [(300, 512, int.from_bytes(ngram_join.sketch(ngram_join.mixed(np.arange(k, k + 300, dtype=np.uint64))), "little")) for k in (0, 150)]
+    assert not ngram_join.may_link(*apart[0], *apart[1], 85)
+
+
+def chained(n: int, step: int = 20) -> list[tuple]:
+    """Texts that share half of their words with the one before and half with the next; every tenth has a near copy."""
+    words = cases.words(step * (n + 1), 900).split()
+    texts = [words[k * step : (k + 2) * step] for k in range(n)]
+    texts += [[*t[:-1], "other"] for t in texts[::10]]
+    return [(k, " ".join(t), "en", "s", 1) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("group", [2_048, 2])
+def test_chains_of_shared_shingles_dont_meet_in_pairs_of_blocks(spark, monkeypatch, group):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 8)
+    monkeypatch.setattr(ngram_join, "GROUP_CLASSES", group)
+    met = []
+    monkeypatch.setattr(ngram_join, "links_forest", lambda docs, *rest, f=ngram_join.links_forest: met.append(rest[-3]) or f(docs, *rest))
+    rows = chained(120)
+    want, _, _ = naive_components(rows)
+    assert cases.tuples(ngram_join.ngram_components(cases.frame(spark, rows)), "doc_id", "n_shingles", "component_id") == sorted(want, key=repr)
+    # before: up to 40 classes a cluster, which took five blocks
+    assert max(r["count"] for r in met[0].groupBy("cluster").count().collect()) <= 8
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(k, k + 1) for k in range(40)], [(0, k) for k in range(30)], [(5, 3), (3, 5), (9, 8), (8, 3), (20, 21), (None, 3)]])
 def test_connected_components(spark, edges):
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
