@@ -279,3 +279,22 @@ def test_rounds_cover_all_texts_and_the_sample_stays_bounded(spark, monkeypatch)
     samples.clear()
     hmm.fit_hmm(same_rows, F.lit(True), own_words=10, states=2, sample_texts=50, full_rounds=0)
     assert all(len(s) <= 200 for s in samples)
+
+
+def test_every_round_is_over_all_texts_unless_a_sample_is_asked_for(spark, monkeypatch):
+    """What a fit learns by default is what as many rounds over all texts give, from the drawn parameters on."""
+    starts, samples = [], []
+    expected, summed = hmm.expected_counts, hmm._summed_counts
+    monkeypatch.setattr(hmm, "_summed_counts", lambda encoded, p, wide: (starts.append((p, encoded.count())), summed(encoded, p, wide))[1])
+    monkeypatch.setattr(hmm, "expected_counts", lambda symbols, p: (samples.append(len(symbols)), expected(symbols, p))[1])
+    docs = spark.createDataFrame([(k, f"a b c d e {k % 7}") for k in range(60)], "doc_id bigint, text string")
+    model, _, _ = hmm.fit_hmm(docs, F.lit(True), own_words=10, states=2)
+    assert samples == [] and [n for _, n in starts] == [60] * 11
+    own = [w for w, _ in model.own]
+    symbols = hmm.Symbols(own).of([hmm.tokens_of(f"a b c d e {k % 7}".encode()) for k in range(60)])
+    frequency = np.concatenate([model.shape_tokens, [60], [c for _, c in model.own]])
+    p, prior = hmm.Parameters.drawn(frequency, 2), (frequency + 0.5) / (frequency + 0.5).sum()
+    for _ in range(11):
+        p = hmm.Parameters.from_counts(expected(symbols, p), 2, prior)
+    for name in ("start", "move", "emit"):
+        np.testing.assert_allclose(getattr(model.parameters, name), getattr(p, name), rtol=1e-6)
