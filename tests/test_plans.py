@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from martflow.operators import joins, marts, models
+from martflow.operators import joins, marts, models, quality
 from martflow.plans import answers, audit, build_marts, forecasting, layers, queries_audit
 from martflow.sources.raw import load_raw_data
 from martflow.sources.retail_views import RetailViews
@@ -116,6 +117,25 @@ def test_audited_columns_are_those_of_the_tables(spark):
     assert {name: sorted(df.columns) for name, df in tables.items()} == {name: sorted(c.split()) for name, c in queries_audit.AUDITED_COLUMNS.items()}
 
 
+def test_layers_leave_no_shuffles_and_profile_one_table_at_a_time(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in disk.getAllFiles().mkString("|").split("|") if "/shuffle_" in f}
+    before, layer = shuffles(), layers.Layer(spark, [str(tmp_path / "in")])
+    tables = {"a": spark.range(900).select((F.col("id") % 300).alias("k")), "b": spark.range(40).select(F.col("id").cast("string").alias("k"))}
+    found = queries_audit.profiled(layer, "profile", tables, {"a": ["k"], "b": ["k"]})
+    # what the last table was shuffled through may go with the next one
+    for k in range(20):
+        layer.table(f"next-{k}", lambda: spark.range(1))
+        time.sleep(0.2)
+        if not shuffles() - before:
+            break
+    assert not shuffles() - before
+    together = quality.table_profiles(tables, {"a": ["k"], "b": ["k"]})
+    assert sorted(found.collect()) == sorted(together.collect())
+    assert [layer.table(f"profile-{t}", lambda: None).count() for t in tables] == [1, 1]
+
+
 def test_layers_are_built_once_for_the_same_files(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "in"))
     built = []
